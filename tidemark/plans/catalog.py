@@ -389,3 +389,11 @@ QUERIES = {
     "cap_top": cap_top,
     "order_status": order_status,
 }
+
+
+def _register_streams() -> None:
+    from tidemark.streaming.twins import STREAM_QUERIES
+    QUERIES.update(STREAM_QUERIES)
+
+
+_register_streams()

@@ -257,3 +257,12 @@ SELECT order_id,
             ELSE 'bad_type' END AS status,
        create_ts, pay_ts, delay_s
 FROM d"""
+
+
+def _stream_oracles() -> None:
+    from tidemark.streaming.twins import BATCH_TWIN
+    for stream_name, batch_name in BATCH_TWIN.items():
+        SQL[stream_name] = SQL[batch_name]
+
+
+_stream_oracles()

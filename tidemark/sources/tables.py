@@ -35,7 +35,11 @@ def behaviour_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     behavior event_type (click, error, purchase, signup, view)
     value    reading
     """
-    ev = table(spark, sf_dir, "events")
+    return behaviour_from(table(spark, sf_dir, "events"))
+
+
+def behaviour_from(ev: DataFrame) -> DataFrame:
+    """Map rows shaped like `events` (batch or stream) to the behaviour log."""
     return ev.select(
         F.col("event_id").alias("seq"),
         event_time("ts").alias("ts"),
