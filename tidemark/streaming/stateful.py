@@ -9,12 +9,15 @@ reference's event-time timer) fires between rows when a row comes later than
 it, or when the watermark passes it.  Results are then the same whatever the
 micro-batch boundaries, and equal to the batch operators.
 
-State per key is O(1) values plus the rows not yet passed by the watermark.
-Times inside the processors are integer epoch microseconds.
+Per key and micro-batch the processor reads its state once, works on plain
+Python values, and writes it back once; one timer per key is armed at the
+earliest buffered row.  State per key is O(1) values plus the rows not yet
+passed by the watermark.  Times inside the processors are epoch microseconds.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 from typing import Iterator
 
@@ -25,8 +28,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.streaming.run import FLUSH_TS
 
-FLUSH_US = int((FLUSH_TS - FLUSH_TS.__class__(1970, 1, 1)).total_seconds()) * 1_000_000
-
+FLUSH_US = int((FLUSH_TS - dt.datetime(1970, 1, 1)).total_seconds()) * 1_000_000
 _DAY_US = 86_400_000_000
 
 
@@ -34,52 +36,56 @@ def _ms_ceil(us: int) -> int:
     return int(math.ceil(us / 1000))
 
 
+def _py(v):
+    if v is None:
+        return None
+    if isinstance(v, float) and math.isnan(v):
+        return None
+    return v.item() if hasattr(v, "item") else v
+
+
 class OrderedProcessor(StatefulProcessor):
-    """Base: subclasses set FIELDS (buffered columns besides ts/seq), OUT
-    (output column names after the key columns) and implement `setup`,
-    `on_row(key, ts_us, seq, fields)` and `on_deadline(key, when_us)`, each
-    returning a list of output tuples (without the key)."""
+    """Base class.  Subclasses set
 
+      KEYS        key column names (set in __init__)
+      FIELDS      buffered input columns besides ts/seq, FIELD_TYPES their types
+      STATE       DDL of the processor's own state row, INITIAL its start value
+      OUT         output column names after the key columns
+
+    and implement `on_row(s, ts_us, seq, fields)` and `on_deadline(s, when_us)`
+    working on `s`, a mutable list holding the state row; both return a list
+    of output tuples.  `set_deadline` / `clear_deadline` manage the single
+    event-time deadline of the key."""
+
+    KEYS: tuple[str, ...] = ()
     FIELDS: tuple[str, ...] = ()
     FIELD_TYPES: tuple[str, ...] = ()
+    STATE: str = "x bigint"
+    INITIAL: tuple = (None,)
     OUT: tuple[str, ...] = ()
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         extra = "".join(f", {n} {t}" for n, t in zip(self.FIELDS, self.FIELD_TYPES))
         self.buf = handle.getListState("buf", f"ts_us bigint, seq bigint{extra}")
-        self.deadline = handle.getValueState("deadline", "t bigint")
-        # earliest buffered row time a timer is armed for
-        self.armed = handle.getValueState("armed", "t bigint")
-        self.setup(handle)
-
-    # hooks ---------------------------------------------------------------
-    def setup(self, handle: StatefulProcessorHandle) -> None:
-        pass
-
-    def on_row(self, key, ts_us: int, seq: int, fields: tuple) -> list[tuple]:
+        # deadline: the key's event-time timer; armed: earliest buffered row
+        # time a timer is registered for
+        self.meta = handle.getValueState("meta", "deadline bigint, armed bigint")
+        self.st = handle.getValueState("st", self.STATE)
+        self._dl = None
+
+    # hooks for subclasses -------------------------------------------------
+    def on_row(self, s: list, ts_us: int, seq: int, fields: tuple) -> list[tuple]:
         return []
 
-    def on_deadline(self, key, when_us: int) -> list[tuple]:
+    def on_deadline(self, s: list, when_us: int) -> list[tuple]:
         return []
 
-    # deadline helpers ------------------------------------------------------
     def set_deadline(self, when_us: int) -> None:
-        self.clear_deadline()
-        self.deadline.update((int(when_us),))
-        self.handle.registerTimer(_ms_ceil(when_us))
+        self._dl = int(when_us)
 
     def clear_deadline(self) -> None:
-        if self.deadline.exists():
-            old = self.deadline.get()[0]
-            self.deadline.clear()
-            try:
-                self.handle.deleteTimer(_ms_ceil(old))
-            except Exception:  # timer may have fired already
-                pass
-
-    def _pending(self):
-        return self.deadline.get()[0] if self.deadline.exists() else None
+        self._dl = None
 
     # engine callbacks ------------------------------------------------------
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -89,67 +95,66 @@ class OrderedProcessor(StatefulProcessor):
             if pdf.empty:
                 continue
             us = pdf["ts_us"].tolist()
-            cols = [pdf[f].tolist() for f in self.FIELDS]
             seqs = pdf["seq"].tolist()
-            for i in range(len(us)):
-                new.append((int(us[i]), int(seqs[i]), *[_py(c[i]) for c in cols]))
+            cols = [pdf[f].tolist() for f in self.FIELDS]
+            new.extend((int(us[i]), int(seqs[i]), *[_py(c[i]) for c in cols])
+                       for i in range(len(us)))
         if new:
             self.buf.appendList(new)
-            self._arm(min(r[0] for r in new))
+            deadline, armed = self.meta.get() if self.meta.exists() else (None, None)
+            first = min(r[0] for r in new)
+            if armed is None or first < armed:
+                self.handle.registerTimer(_ms_ceil(first))
+                self.meta.update((deadline, first))
         return iter(())
 
-    def _arm(self, ts_us: int) -> None:
-        """Keep one timer at the earliest buffered row time."""
-        if not self.armed.exists() or ts_us < self.armed.get()[0]:
-            self.armed.update((int(ts_us),))
-            self.handle.registerTimer(_ms_ceil(ts_us))
-
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        # Eager on purpose (not a generator): all state access must happen
-        # while the engine has this key selected.
+        # Eager on purpose (not a generator): all state access happens while
+        # the engine has this key selected.
         return iter(self._advance(key, timerValues.getCurrentWatermarkInMs() * 1000))
 
     def _advance(self, key, wm_us: int) -> list[pd.DataFrame]:
-        rows = list(self.buf.get()) if self.buf.exists() else []
+        deadline, armed = self.meta.get() if self.meta.exists() else (None, None)
+        rows = list(self.buf.get()) if (armed is not None and armed <= wm_us) else []
         ready = sorted((r for r in rows if r[0] <= wm_us), key=lambda r: (r[0], r[1]))
         rest = [r for r in rows if r[0] > wm_us]
+        if not ready and (deadline is None or deadline > wm_us):
+            return []
+        s = list(self.st.get()) if self.st.exists() else list(self.INITIAL)
+        self._dl = deadline
         out: list[tuple] = []
         for r in ready:
-            d = self._pending()
-            while d is not None and d < r[0]:
-                self.deadline.clear()
-                out += self.on_deadline(key, d)
-                d = self._pending()
-            out += self.on_row(key, r[0], r[1], tuple(r[2:]))
-        d = self._pending()
-        while d is not None and d <= wm_us:
-            self.deadline.clear()
-            out += self.on_deadline(key, d)
-            d = self._pending()
+            while self._dl is not None and self._dl < r[0]:
+                d, self._dl = self._dl, None
+                out += self.on_deadline(s, d)
+            out += self.on_row(s, r[0], r[1], tuple(r[2:]))
+        while self._dl is not None and self._dl <= wm_us:
+            d, self._dl = self._dl, None
+            out += self.on_deadline(s, d)
+        self.st.update(tuple(s))
+        if self._dl != deadline:
+            if deadline is not None and deadline > wm_us:
+                self.handle.deleteTimer(_ms_ceil(deadline))
+            if self._dl is not None:
+                self.handle.registerTimer(_ms_ceil(self._dl))
         if ready:
-            self.armed.clear()
             if rest:
                 self.buf.put(rest)
-                self._arm(min(r[0] for r in rest))
+                armed = min(r[0] for r in rest)
+                self.handle.registerTimer(_ms_ceil(armed))
             else:
                 self.buf.clear()
-        if out:
-            k = tuple(_py(v) for v in key)
-            return [pd.DataFrame([k + o for o in out], columns=list(self.KEYS) + list(self.OUT))]
-        return []
+                armed = None
+        self.meta.update((self._dl, armed))
+        if not out:
+            return []
+        k = tuple(_py(v) for v in key)
+        return [pd.DataFrame([k + o for o in out], columns=list(self.KEYS) + list(self.OUT))]
 
     def close(self) -> None:
         pass
 
 
-def _py(v):
-    if v is None:
-        return None
-    if isinstance(v, float) and math.isnan(v):
-        return None
-    return v.item() if hasattr(v, "item") else v
-
-
 # ---------------------------------------------------------------------------
 class ChangeAlert(OrderedProcessor):
     """Compare each reading with the key's previous one (initially
@@ -157,19 +162,17 @@ class ChangeAlert(OrderedProcessor):
 
     FIELDS = ("value",)
     FIELD_TYPES = ("double",)
+    STATE = "last double"
     OUT = ("seq", "ts_us", "last_value", "cur_value")
 
     def __init__(self, keys, threshold: float, initial: float = 0.0):
         self.KEYS = tuple(keys)
-        self.threshold, self.initial = threshold, initial
-
-    def setup(self, handle):
-        self.last = handle.getValueState("last", "v double")
+        self.threshold = threshold
+        self.INITIAL = (initial,)
 
-    def on_row(self, key, ts_us, seq, fields):
-        cur = fields[0]
-        last = self.last.get()[0] if self.last.exists() else self.initial
-        self.last.update((cur,))
+    def on_row(self, s, ts_us, seq, fields):
+        cur, last = fields[0], s[0]
+        s[0] = cur
         if cur is not None and last is not None and abs(cur - last) > self.threshold:
             return [(seq, ts_us, float(last), float(cur))]
         return [(seq, ts_us, 0.0, 0.0)]
@@ -179,37 +182,32 @@ class DailyCap(OrderedProcessor):
     """K7: the first `cap` rows of a key per UTC day pass (output "pass");
     the first row over the cap raises one alarm (output "alarm"), once per
     key for ever (scope "lifetime") or once per day (scope "day").  A
-    deadline at the next midnight clears the day counter."""
+    deadline at the next midnight resets the day counter."""
 
+    STATE = "day bigint, n bigint, alarm_day bigint"
+    INITIAL = (None, 0, None)
     OUT = ("output", "seq", "ts_us")
 
     def __init__(self, keys, cap: int, alarm_scope: str = "lifetime"):
         self.KEYS = tuple(keys)
         self.cap, self.scope = cap, alarm_scope
 
-    def setup(self, handle):
-        self.count = handle.getValueState("count", "day bigint, n bigint")
-        self.alarmed = handle.getValueState("alarmed", "day bigint")
-
-    def on_row(self, key, ts_us, seq, fields):
+    def on_row(self, s, ts_us, seq, fields):
         day = ts_us // _DAY_US
-        n = 0
-        if self.count.exists():
-            d, n = self.count.get()
-            if d != day:
-                n = 0
-        if n < self.cap:
-            self.count.update((day, n + 1))
-            if n == 0:
+        if s[0] != day:
+            s[0], s[1] = day, 0
+        if s[1] < self.cap:
+            s[1] += 1
+            if s[1] == 1:
                 self.set_deadline((day + 1) * _DAY_US)
             return [("pass", seq, ts_us)]
-        if self.alarmed.exists() and (self.scope == "lifetime" or self.alarmed.get()[0] == day):
+        if s[2] is not None and (self.scope == "lifetime" or s[2] == day):
             return []
-        self.alarmed.update((day,))
+        s[2] = day
         return [("alarm", seq, ts_us)]
 
-    def on_deadline(self, key, when_us):
-        self.count.clear()
+    def on_deadline(self, s, when_us):
+        s[0], s[1] = None, 0
         return []
 
 
@@ -223,48 +221,41 @@ class OrderStatus(OrderedProcessor):
 
     FIELDS = ("event_type",)
     FIELD_TYPES = ("string",)
+    STATE = "create_us bigint, pay_us bigint, n bigint"
+    INITIAL = (None, None, 0)
     OUT = ("status", "create_us", "pay_us", "delay_s", "n")
 
     def __init__(self, keys, limit_s: int):
         self.KEYS = tuple(keys)
-        self.limit_us = limit_s * 1_000_000
         self.limit_s = limit_s
 
-    def setup(self, handle):
-        self.st = handle.getValueState("order", "create_us bigint, pay_us bigint, n bigint")
-
-    def _get(self):
-        return self.st.get() if self.st.exists() else (None, None, 0)
-
-    def _verdict(self, c, p, n):
+    def _verdict(self, s):
+        c, p = s[0], s[1]
         if c is not None and p is not None:
             delay = p // 1_000_000 - c // 1_000_000
             status = "paid_late" if delay > self.limit_s else "ok"
         else:
             delay = None
             status = "unpaid" if c is not None else "pay_without_create"
-        self.st.update((c, p, n + 1))
-        return [(status, c, p, delay, n + 1)]
+        s[2] += 1
+        return [(status, c, p, delay, s[2])]
 
-    def on_row(self, key, ts_us, seq, fields):
-        c, p, n = self._get()
+    def on_row(self, s, ts_us, seq, fields):
         kind = fields[0]
-        if kind == "create" and c is None:
-            c = ts_us
-        elif kind == "pay" and p is None:
-            p = ts_us
+        if kind == "create" and s[0] is None:
+            s[0] = ts_us
+        elif kind == "pay" and s[1] is None:
+            s[1] = ts_us
         else:
             return []          # repeated or unknown event types do not change the verdict
-        if c is not None and p is not None:
+        if s[0] is not None and s[1] is not None:
             self.clear_deadline()
-            return self._verdict(c, p, n)
-        self.st.update((c, p, n))
-        self.set_deadline(ts_us + self.limit_us)
+            return self._verdict(s)
+        self.set_deadline(ts_us + self.limit_s * 1_000_000)
         return []
 
-    def on_deadline(self, key, when_us):
-        c, p, n = self._get()
-        return self._verdict(c, p, n)
+    def on_deadline(self, s, when_us):
+        return self._verdict(s)
 
 
 class RiseTimer(OrderedProcessor):
@@ -276,31 +267,27 @@ class RiseTimer(OrderedProcessor):
 
     FIELDS = ("value",)
     FIELD_TYPES = ("double",)
+    STATE = "last double"
     OUT = ("start_us", "alert_us")
 
     def __init__(self, keys, interval_s: int, initial: float = 0.0):
         self.KEYS = tuple(keys)
         self.interval_us = interval_s * 1_000_000
-        self.initial = initial
+        self.INITIAL = (initial,)
 
-    def setup(self, handle):
-        self.last = handle.getValueState("last", "v double")
-
-    def on_row(self, key, ts_us, seq, fields):
-        cur = fields[0]
-        last = self.last.get()[0] if self.last.exists() else self.initial
-        self.last.update((cur,))
-        if cur > last and self._pending() is None:
+    def on_row(self, s, ts_us, seq, fields):
+        cur, last = fields[0], s[0]
+        s[0] = cur
+        if cur > last and self._dl is None:
             self.set_deadline(ts_us + self.interval_us)
         elif cur < last:
             self.clear_deadline()
         return []
 
-    def on_deadline(self, key, when_us):
+    def on_deadline(self, s, when_us):
         return [(when_us - self.interval_us, when_us)]
 
 
-# ---------------------------------------------------------------------------
 # Stand-in for a null key (the flush row has null keys).  A null in an integer
 # key column would turn the whole Arrow batch of keys into floats on the
 # Python side, and float keys do not address the right state.
