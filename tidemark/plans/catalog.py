@@ -184,7 +184,8 @@ def pattern_single(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- rolling
-_ORDER = [F.col("ts"), F.col("seq")]
+def _order():
+    return [F.col("ts"), F.col("seq")]
 
 
 def _log(spark, sf_dir):
@@ -194,20 +195,20 @@ def _log(spark, sf_dir):
 
 def rolling_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per user, after each reading: latest time and lowest value so far."""
-    out = rolling.rolling(_log(spark, sf_dir), ["user_id"], _ORDER,
+    out = rolling.rolling(_log(spark, sf_dir), ["user_id"], _order(),
                           {"max_ts": ("max", "ts"), "min_value": ("min", "value")})
     return out.select("user_id", "seq", to_ntz("max_ts").alias("max_ts"), "min_value")
 
 
 def rolling_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running sum of the readings per user (rounded to 6 places)."""
-    out = rolling.rolling_sum(_log(spark, sf_dir), ["user_id"], _ORDER, "value")
+    out = rolling.rolling_sum(_log(spark, sf_dir), ["user_id"], _order(), "value")
     return out.select("user_id", "seq", F.round("running_sum", 6).alias("running_sum"))
 
 
 def rolling_min_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running min; other fields from the user's first row."""
-    out = rolling.rolling_min_keep_first(_log(spark, sf_dir), ["user_id"], _ORDER, "value",
+    out = rolling.rolling_min_keep_first(_log(spark, sf_dir), ["user_id"], _order(), "value",
                                          ["ts", "item_id"])
     return out.select("user_id", "seq", "min_value", to_ntz("first_ts").alias("first_ts"),
                       "first_item_id")
@@ -215,7 +216,7 @@ def rolling_min_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rolling_min_by(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A10: the whole row holding the running min (earliest on ties)."""
-    out = rolling.rolling_min_by(_log(spark, sf_dir), ["user_id"], _ORDER, "value",
+    out = rolling.rolling_min_by(_log(spark, sf_dir), ["user_id"], _order(), "value",
                                  ["seq", "ts", "item_id"])
     return out.select("user_id", "seq", "min_value", "min_seq", to_ntz("min_ts").alias("min_ts"),
                       "min_item_id")
@@ -223,7 +224,7 @@ def rolling_min_by(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def prev_change_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """|reading - previous reading| > 10 per user (first vs 0.0)."""
-    out = rolling.change_alert(_log(spark, sf_dir), ["user_id"], _ORDER, "value", 10.0)
+    out = rolling.change_alert(_log(spark, sf_dir), ["user_id"], _order(), "value", 10.0)
     return out.select("user_id", "seq", "last_value", "cur_value")
 
 
