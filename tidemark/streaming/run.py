@@ -41,15 +41,38 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str,
     return r.parquet(f"{sf_dir.rstrip('/')}/{name[:-1]}[{name[-1]}].parquet")
 
 
-def flushed(spark: SparkSession, stream: DataFrame, ts: str, delay: str = "0 seconds") -> DataFrame:
-    """Union the stream with the flush row, then set the watermark
-    (`delay` = allowed out-of-orderness; "0 seconds" = ascending time)."""
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in stream.schema.fields])
+def write_flush(spark: SparkSession, schema: T.StructType, ts: str,
+                folder: str | None = None) -> str:
+    """Write the one-row flush file (all columns null but `ts`).  With a
+    folder, the file is added to it as its newest file, so a rate-limited
+    file stream (which reads oldest files first) reads it last."""
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
     row = {f.name: None for f in schema.fields}
     row[ts] = FLUSH_TS
     path = scratch_path(spark, "flush")
-    spark.createDataFrame([row], schema).write.parquet(path)
-    flush = spark.readStream.schema(schema).parquet(path)
+    spark.createDataFrame([row], schema).coalesce(1).write.parquet(path)
+    if folder is None:
+        return path
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = fs_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for st in fs.listStatus(fs_path):
+        name = st.getPath().getName()
+        if name.endswith(".parquet"):
+            fs.rename(st.getPath(), spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/zz-flush-{name}"))
+    return folder
+
+
+def flushed(spark: SparkSession, stream: DataFrame, ts: str, delay: str = "0 seconds") -> DataFrame:
+    """Union the stream with the flush row, then set the watermark
+    (`delay` = allowed out-of-orderness; "0 seconds" = ascending time).
+
+    The flush row sits in its own source, read in the first micro-batch:
+    right for `availableNow` runs that take the whole input in one batch.
+    With `maxFilesPerTrigger`, put the flush file into the source folder
+    instead (`write_flush(..., folder)`) and only set the watermark."""
+    flush = spark.readStream.schema(
+        T.StructType([T.StructField(f.name, f.dataType, True) for f in stream.schema.fields])
+    ).parquet(write_flush(spark, stream.schema, ts))
     return stream.unionByName(flush).withWatermark(ts, delay)
 
 
