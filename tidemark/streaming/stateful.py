@@ -9,9 +9,9 @@ reference's event-time timer) fires between rows when a row comes later than
 it, or when the watermark passes it.  Results are then the same whatever the
 micro-batch boundaries, and equal to the batch operators.
 
-Per key and micro-batch the processor reads its state once, works on plain
-Python values, and writes it back once; one timer per key is armed at the
-earliest buffered row.  State per key is O(1) values plus the rows not yet
+Per key and callback the processor reads its one state value once, works on
+plain Python values, and writes it back once; one timer per key is armed at
+the earliest buffered row.  State per key is O(1) values plus the rows not yet
 passed by the watermark.  Times inside the processors are epoch microseconds.
 """
 
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import pickle
 from typing import Iterator
 
 import pandas as pd
@@ -66,14 +67,23 @@ class OrderedProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        extra = "".join(f", {n} {t}" for n, t in zip(self.FIELDS, self.FIELD_TYPES))
-        self.buf = handle.getListState("buf", f"ts_us bigint, seq bigint{extra}")
-        # deadline: the key's event-time timer; armed: earliest buffered row
-        # time a timer is registered for
-        self.meta = handle.getValueState("meta", "deadline bigint, armed bigint")
-        self.st = handle.getValueState("st", self.STATE)
+        # One value per key: the deadline (the key's event-time timer), the
+        # earliest buffered row time a timer is armed for, the buffered rows
+        # (pickled list of (ts_us, seq, *fields)), then the processor's own
+        # state.  One read and one write per key and callback.
+        self.all = handle.getValueState(
+            "all", f"deadline bigint, armed bigint, buf binary, {self.STATE}")
         self._dl = None
 
+    def _load(self):
+        v = self.all.get()
+        if v is None:
+            return None, None, [], list(self.INITIAL)
+        return v[0], v[1], (pickle.loads(v[2]) if v[2] is not None else []), list(v[3:])
+
+    def _save(self, deadline, armed, buf, s) -> None:
+        self.all.update((deadline, armed, pickle.dumps(buf, protocol=5) if buf else None, *s))
+
     # hooks for subclasses -------------------------------------------------
     def on_row(self, s: list, ts_us: int, seq: int, fields: tuple) -> list[tuple]:
         return []
@@ -94,18 +104,17 @@ class OrderedProcessor(StatefulProcessor):
             pdf = pdf[pdf["ts_us"] < FLUSH_US]  # the flush row only moves the watermark
             if pdf.empty:
                 continue
-            us = pdf["ts_us"].tolist()
-            seqs = pdf["seq"].tolist()
-            cols = [pdf[f].tolist() for f in self.FIELDS]
-            new.extend((int(us[i]), int(seqs[i]), *[_py(c[i]) for c in cols])
-                       for i in range(len(us)))
+            cols = [pdf["ts_us"].tolist(), pdf["seq"].tolist()] + \
+                [[_py(v) for v in pdf[f].tolist()] for f in self.FIELDS]
+            new.extend(zip(*cols))
         if new:
-            self.buf.appendList(new)
-            deadline, armed = self.meta.get() if self.meta.exists() else (None, None)
+            deadline, armed, buf, s = self._load()
+            buf.extend(new)
             first = min(r[0] for r in new)
             if armed is None or first < armed:
                 self.handle.registerTimer(_ms_ceil(first))
-                self.meta.update((deadline, first))
+                armed = first
+            self._save(deadline, armed, buf, s)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -114,13 +123,12 @@ class OrderedProcessor(StatefulProcessor):
         return iter(self._advance(key, timerValues.getCurrentWatermarkInMs() * 1000))
 
     def _advance(self, key, wm_us: int) -> list[pd.DataFrame]:
-        deadline, armed = self.meta.get() if self.meta.exists() else (None, None)
-        rows = list(self.buf.get()) if (armed is not None and armed <= wm_us) else []
-        ready = sorted((r for r in rows if r[0] <= wm_us), key=lambda r: (r[0], r[1]))
-        rest = [r for r in rows if r[0] > wm_us]
-        if not ready and (deadline is None or deadline > wm_us):
+        deadline, armed, buf, s = self._load()
+        due = armed is not None and armed <= wm_us
+        if not due and (deadline is None or deadline > wm_us):
             return []
-        s = list(self.st.get()) if self.st.exists() else list(self.INITIAL)
+        ready = sorted((r for r in buf if r[0] <= wm_us), key=lambda r: (r[0], r[1])) if due else []
+        rest = [r for r in buf if r[0] > wm_us] if due else buf
         self._dl = deadline
         out: list[tuple] = []
         for r in ready:
@@ -131,21 +139,16 @@ class OrderedProcessor(StatefulProcessor):
         while self._dl is not None and self._dl <= wm_us:
             d, self._dl = self._dl, None
             out += self.on_deadline(s, d)
-        self.st.update(tuple(s))
         if self._dl != deadline:
             if deadline is not None and deadline > wm_us:
                 self.handle.deleteTimer(_ms_ceil(deadline))
             if self._dl is not None:
                 self.handle.registerTimer(_ms_ceil(self._dl))
-        if ready:
-            if rest:
-                self.buf.put(rest)
-                armed = min(r[0] for r in rest)
+        if due:
+            armed = min(r[0] for r in rest) if rest else None
+            if armed is not None:
                 self.handle.registerTimer(_ms_ceil(armed))
-            else:
-                self.buf.clear()
-                armed = None
-        self.meta.update((self._dl, armed))
+        self._save(self._dl, armed, rest, s)
         if not out:
             return []
         k = tuple(_py(v) for v in key)
