@@ -103,13 +103,25 @@ def run_stream(df: DataFrame, name: str, path: str | None = None, mode: str = "a
 
 
 def run_to_table(df: DataFrame, name: str, mode: str = "append",
-                 path: str | None = None, checkpoint: str | None = None) -> DataFrame:
+                 path: str | None = None, checkpoint: str | None = None,
+                 drain: str = "availableNow") -> DataFrame:
     """Drain a stream into a Parquet folder and read the result back as a
-    batch DataFrame (used by the registered stream twins and the tests)."""
+    batch DataFrame (used by the registered stream twins and the tests).
+
+    drain="availableNow"  one `availableNow` run (file sources)
+    drain="all"           micro-batches until the source reports nothing new
+                          (sources whose reader hands out one batch per call)"""
     spark = df.sparkSession
     path = path or scratch_path(spark, f"out-{name}")
-    q = run_stream(df, name, path, mode, "parquet", checkpoint)
-    q.awaitTermination()
+    if drain == "all":
+        q = run_stream(df, name, path, mode, "parquet", checkpoint, trigger="0 seconds")
+        try:
+            q.processAllAvailable()
+        finally:
+            q.stop()
+    else:
+        q = run_stream(df, name, path, mode, "parquet", checkpoint)
+        q.awaitTermination()
     return spark.read.schema(df.schema).parquet(path)
 
 
