@@ -92,13 +92,13 @@ def sustained_rise_first(df: DataFrame, keys: list[str], ts: str, seq: str, of:
     order = [F.col(ts), F.col(seq)]
     prev = scan.previous(df.select(*names, ts, seq, of), names, order, {"__last": F.col(of)}, **kw)
     last = F.coalesce(F.col("__last"), F.lit(float(initial)))
-    marked = prev.select(*names, ts, seq, (F.col(of) > last).alias("__rise"),
-                         (F.col(of) < last).alias("__fall"))
-    runs = scan.running(marked, names, order, {"__run": ("sum", F.col("__fall").cast("int"))},
-                        frame="upto", **kw)
-    runs = scan.running(runs, names, order,
-                        {"__next_fall": ("first", F.when(F.col("__fall"), F.col(ts)))},
-                        frame="after", **kw)
+    marked = scan.materialize(
+        prev.select(*names, ts, seq, (F.col(of) > last).alias("__rise"),
+                    (F.col(of) < last).alias("__fall")), "rise-marks")
+    runs = scan.running(marked, names, order,
+                        {"__run": ("sum", F.col("__fall").cast("int"), "upto"),
+                         "__next_fall": ("first", F.when(F.col("__fall"), F.col(ts)), "after")},
+                        **kw)
     starts = (runs.filter("__rise")
                   .groupBy(*names, "__run")
                   .agg(F.min_by(F.struct(F.col(seq).alias("seq"), F.col(ts).alias("ts"),

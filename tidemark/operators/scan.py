@@ -93,11 +93,19 @@ def _combine(kind: str, inner: Column, carried: Column, forward: bool) -> Column
     return F.coalesce(inner, carried) if near_is_inner else F.coalesce(carried, inner)
 
 
-def running(df: DataFrame, keys, order, aggs: dict[str, tuple[str, Column]],
+_FRAMES = {"upto": (_W.unboundedPreceding, _W.currentRow),
+           "before": (_W.unboundedPreceding, -1),
+           "from": (_W.currentRow, _W.unboundedFollowing),
+           "after": (1, _W.unboundedFollowing)}
+
+
+def running(df: DataFrame, keys, order, aggs: dict[str, tuple],
             frame: str = "upto", chunk: Column | None = None,
             chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
-    """Add one column per entry of `aggs` ({name: (kind, column)}), computed
-    over the rows of the same key in `order` with the given frame.
+    """Add one column per entry of `aggs` ({name: (kind, column)} or
+    {name: (kind, column, frame)}), computed over the rows of the same key in
+    `order` with the entry's frame (default `frame`).  Several aggregates and
+    frames share one pass.
 
     `chunk` must not decrease along `order` within a key; by default it is
     the time bucket (`chunk_seconds`) of the first order column.
@@ -108,27 +116,31 @@ def running(df: DataFrame, keys, order, aggs: dict[str, tuple[str, Column]],
     order = cols_of(order)
     if chunk is None:
         chunk = bucket_number(order[0], chunk_seconds) if chunk_seconds else F.lit(0)
-    forward = frame in ("from", "after")
-    lo, hi = {"upto": (_W.unboundedPreceding, _W.currentRow),
-              "before": (_W.unboundedPreceding, -1),
-              "from": (_W.currentRow, _W.unboundedFollowing),
-              "after": (1, _W.unboundedFollowing)}[frame]
+    specs = {n: (a[0], a[1], a[2] if len(a) > 2 else frame) for n, a in aggs.items()}
 
     key_names = [f"__k{i}" for i in range(len(keys))]
     base = df.select("*", *[k.alias(n) for k, n in zip(keys, key_names)], chunk.alias(_CHUNK))
     part = [F.col(n) for n in key_names] + [F.col(_CHUNK)]
-    w_in = _W.partitionBy(*part).orderBy(*order).rowsBetween(lo, hi)
-    inner = base.select("*", *[_within(k, c, w_in).alias(f"__in_{n}")
-                               for n, (k, c) in aggs.items()])
+    w_part = _W.partitionBy(*part).orderBy(*order)
+    inner = base.select("*", *[_within(k, c, w_part.rowsBetween(*_FRAMES[f])).alias(f"__in_{n}")
+                               for n, (k, c, f) in specs.items()])
 
     order_key = F.struct(*order)
+    # Summaries are aggregated from the input, not from the windowed branch:
+    # map-side partial aggregation then ships one row per (key, chunk) and
+    # task.  (Catalyst prunes the two branches to different columns, so they
+    # could not share one exchange anyway.)  The price is a second, pruned
+    # read of the input; chained scans should `materialize` in between.
     summ = (base.groupBy(*part)
-                .agg(*[_summary(k, c, order_key).alias(f"__s_{n}") for n, (k, c) in aggs.items()]))
-    w_ch = (_W.partitionBy(*[F.col(n) for n in key_names]).orderBy(F.col(_CHUNK))
-              .rowsBetween(*((1, _W.unboundedFollowing) if forward else (_W.unboundedPreceding, -1))))
+                .agg(*[_summary(k, c, order_key).alias(f"__s_{n}")
+                       for n, (k, c, _) in specs.items()]))
+    w_ch = _W.partitionBy(*[F.col(n) for n in key_names]).orderBy(F.col(_CHUNK))
+    w_prev = w_ch.rowsBetween(_W.unboundedPreceding, -1)
+    w_next = w_ch.rowsBetween(1, _W.unboundedFollowing)
     carried = summ.select(
         *[F.col(n).alias(f"__c{n}") for n in key_names], F.col(_CHUNK).alias("__cchunk"),
-        *[_carry(k, F.col(f"__s_{n}"), w_ch).alias(f"__p_{n}") for n, (k, _) in aggs.items()])
+        *[_carry(k, F.col(f"__s_{n}"), w_next if f in ("from", "after") else w_prev)
+          .alias(f"__p_{n}") for n, (k, _, f) in specs.items()])
 
     cond = F.col(_CHUNK) == F.col("__cchunk")
     for n in key_names:
@@ -136,11 +148,22 @@ def running(df: DataFrame, keys, order, aggs: dict[str, tuple[str, Column]],
     joined = inner.join(carried, cond, "left")
     out = joined.select(
         *df.columns,
-        *[_combine(k, F.col(f"__in_{n}"), F.col(f"__p_{n}"), forward).alias(n)
-          for n, (k, _) in aggs.items()])
+        *[_combine(k, F.col(f"__in_{n}"), F.col(f"__p_{n}"), f in ("from", "after")).alias(n)
+          for n, (k, _, f) in specs.items()])
     return out
 
 
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write an intermediate result to the shared checkpoint folder
+    (`spark.checkpoint.dir`) and read it back: later stages that read it
+    more than once (as `running` does) do not recompute its lineage, and a
+    lost executor does not send the job back past this point."""
+    from tidemark.session import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def previous(df: DataFrame, keys, order, cols: dict[str, Column], **kw) -> DataFrame:
     """`lag(c, 1)` per key for each {name: column} (null for the first row);
     skew-safe through `running`."""

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import epoch_seconds, seconds_to_ts, to_ntz
 from tidemark.operators import detectors, joins, patterns, relational, rolling, topn, windows
 from tidemark.sources import text
-from tidemark.sources.tables import behaviour_log, order_events, table
+from tidemark.sources.tables import behaviour_log, order_log, table
 
 HOUR, FIVE_MIN = 3600, 300
 
@@ -348,7 +348,7 @@ def cap_top(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K9: order verdicts from orders (create) and lineitem (pay at the
     first ship date), 365-day limit."""
-    out = detectors.order_status(order_events(spark, sf_dir), limit_s=365 * 24 * HOUR)
+    out = detectors.order_status(order_log(spark, sf_dir), limit_s=365 * 24 * HOUR)
     return out.select("order_id", "status", to_ntz("create_ts").alias("create_ts"),
                       to_ntz("pay_ts").alias("pay_ts"), "delay_s")
 

@@ -50,6 +50,20 @@ def behaviour_from(ev: DataFrame) -> DataFrame:
     )
 
 
+def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order log with every line item as a pay event (the earliest counts):
+    creates from `orders`, pays from `lineitem`, unshuffled.  Consumers that
+    group by order (K9) then shuffle once, with map-side partial aggregation
+    cutting the line items to at most one row per order and task."""
+    o = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.lit("create").alias("event_type"),
+        event_time("o_orderdate").alias("ts"))
+    li = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"), F.lit("pay").alias("event_type"),
+        event_time("l_shipdate").alias("ts"))
+    return o.unionByName(li)
+
+
 def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order log in the reference's OrderEvent shape, from `orders` (create
     events at the order date) and `lineitem` (pay event at the first ship
