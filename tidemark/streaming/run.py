@@ -151,3 +151,4 @@ def multi_output(df: DataFrame, tag: str, paths: dict[str, str], name: str,
 
     return (df.writeStream.queryName(name).option("checkpointLocation", checkpoint)
               .foreachBatch(write).trigger(availableNow=True).start())
+
