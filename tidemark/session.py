@@ -48,9 +48,11 @@ def get_session(master: str | None = None, app: str = "tidemark",
 
 
 def apply_conf(spark: SparkSession) -> SparkSession:
-    """Apply the runtime-settable part of BASE_CONF to an existing session."""
+    """Apply the runtime-settable part of BASE_CONF to an existing session
+    (the keyed-state stream operators need the RocksDB state store)."""
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
-              "spark.sql.adaptive.skewJoin.enabled"):
+              "spark.sql.adaptive.skewJoin.enabled",
+              "spark.sql.streaming.stateStore.providerClass"):
         spark.conf.set(k, BASE_CONF[k])
     ensure_checkpoint_dir(spark)
     return spark
