@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import col_of, cols_of, java_split, ws_tokens
+from tidemark.functions import cols_of, java_split, ws_tokens
 from tidemark.operators import scan
 
 LINE_BREAK = "\r\n|\r|\n"
@@ -87,14 +87,3 @@ def single_event_pattern(df: DataFrame, cond: Column, fields, state: str = "star
     ev = F.struct(*cols_of(fields))
     return df.filter(cond).withColumn(
         "match", F.to_json(F.create_map(F.lit(state), F.array(ev))))
-
-
-def key_columns(keys) -> list[Column]:
-    """P5/H4: key given as names, Columns, or a function of the row."""
-    if callable(keys) and not isinstance(keys, Column):
-        keys = keys()
-    return cols_of(keys)
-
-
-def constant(c) -> Column:
-    return col_of(c) if isinstance(c, (str, Column)) else F.lit(c)
