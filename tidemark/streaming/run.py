@@ -85,13 +85,44 @@ def keep(cond: Column, ts: str = "ts") -> Column:
     return cond | is_flush(ts)
 
 
+# Input bytes per state partition when a stream's state partitions are sized
+# from its input (`state_partitions`).
+BYTES_PER_STATE_PARTITION = 256 << 20
+
+
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Total size of the files under the given paths (globs allowed)."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hp.getFileSystem(conf)
+        for st in fs.globStatus(hp) or []:
+            total += fs.getContentSummary(st.getPath()).getLength()
+    return total
+
+
+def state_partitions(spark: SparkSession, *paths: str) -> int:
+    """State partitions for a stream over these inputs: one per
+    BYTES_PER_STATE_PARTITION of input, at least the default parallelism,
+    at most the session's `spark.sql.shuffle.partitions`.  (A stream's state
+    partition count is fixed when its checkpoint is created, and AQE does not
+    coalesce stateful stages, so it is sized up front.)"""
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    want = -(-input_bytes(spark, *paths) // BYTES_PER_STATE_PARTITION)
+    return max(1, min(cap, max(spark.sparkContext.defaultParallelism, want)))
+
+
 def run_stream(df: DataFrame, name: str, path: str | None = None, mode: str = "append",
                fmt: str = "parquet", checkpoint: str | None = None,
-               trigger: str | None = None) -> StreamingQuery:
+               trigger: str | None = None, partitions: int | None = None) -> StreamingQuery:
     """Start a named, checkpointed query.  Re-running with the same
     checkpoint resumes where the last run stopped (exactly-once file sink).
     trigger=None -> availableNow (drain what is there, then stop);
-    trigger="5 seconds" -> processing-time micro-batches."""
+    trigger="5 seconds" -> processing-time micro-batches.
+    `partitions` sets the shuffle / state partitions of a new checkpoint; the
+    session setting is restored once the query has started."""
     spark = df.sparkSession
     checkpoint = checkpoint or scratch_path(spark, f"ckpt-{name}")
     w = (df.writeStream.queryName(name).outputMode(mode).format(fmt)
@@ -99,12 +130,19 @@ def run_stream(df: DataFrame, name: str, path: str | None = None, mode: str = "a
     if path:
         w = w.option("path", path)
     w = w.trigger(availableNow=True) if trigger is None else w.trigger(processingTime=trigger)
-    return w.start()
+    if not partitions:
+        return w.start()
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(int(partitions)))
+    try:
+        return w.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
 def run_to_table(df: DataFrame, name: str, mode: str = "append",
                  path: str | None = None, checkpoint: str | None = None,
-                 drain: str = "availableNow") -> DataFrame:
+                 drain: str = "availableNow", partitions: int | None = None) -> DataFrame:
     """Drain a stream into a Parquet folder and read the result back as a
     batch DataFrame (used by the registered stream twins and the tests).
 
@@ -114,13 +152,14 @@ def run_to_table(df: DataFrame, name: str, mode: str = "append",
     spark = df.sparkSession
     path = path or scratch_path(spark, f"out-{name}")
     if drain == "all":
-        q = run_stream(df, name, path, mode, "parquet", checkpoint, trigger="0 seconds")
+        q = run_stream(df, name, path, mode, "parquet", checkpoint, trigger="0 seconds",
+                       partitions=partitions)
         try:
             q.processAllAvailable()
         finally:
             q.stop()
     else:
-        q = run_stream(df, name, path, mode, "parquet", checkpoint)
+        q = run_stream(df, name, path, mode, "parquet", checkpoint, partitions=partitions)
         q.awaitTermination()
     return spark.read.schema(df.schema).parquet(path)
 

@@ -17,11 +17,18 @@ from tidemark.functions import event_time, to_ntz
 from tidemark.operators import joins, windows
 from tidemark.sources.tables import behaviour_from
 from tidemark.streaming import stateful
-from tidemark.streaming.run import flushed, keep, run_to_table, stream_table
+from tidemark.streaming.run import flushed, keep, run_to_table, state_partitions, stream_table
 
 HOUR, FIVE_MIN = 3600, 300
 
 
+def _drain(df: DataFrame, name: str, spark: SparkSession, sf_dir: str,
+           tables=("events",)) -> DataFrame:
+    """run_to_table with state partitions sized from the input tables."""
+    paths = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in tables]
+    return run_to_table(df, name, partitions=state_partitions(spark, *paths))
+
+
 def behaviour_stream(spark: SparkSession, sf_dir: str, delay: str = "0 seconds") -> DataFrame:
     return flushed(spark, behaviour_from(stream_table(spark, sf_dir, "events")), "ts", delay)
 
@@ -39,8 +46,8 @@ def _ntz_window(df):
 
 def stream_pv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3 on a stream: hourly page views, emitted when the hour closes."""
-    out = run_to_table(windows.tumbling_count(_views(spark, sf_dir), "ts", HOUR, name="pv"),
-                       "stream_pv")
+    out = _drain(windows.tumbling_count(_views(spark, sf_dir), "ts", HOUR, name="pv"),
+                 "stream_pv", spark, sf_dir)
     return _ntz_window(out)
 
 
@@ -52,8 +59,9 @@ def stream_uv(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      "user_id", "ts")
     pairs = v.dropDuplicates(["window", "user_id"])
     out = pairs.groupBy("window").agg(F.count(F.lit(1)).alias("uv"))
-    res = run_to_table(out.select(F.col("window.start").alias("window_start"),
-                                  F.col("window.end").alias("window_end"), "uv"), "stream_uv")
+    res = _drain(out.select(F.col("window.start").alias("window_start"),
+                                  F.col("window.end").alias("window_end"), "uv"),
+                 "stream_uv", spark, sf_dir)
     return _ntz_window(res)
 
 
@@ -61,7 +69,7 @@ def stream_hop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5 on a stream: views per item on 1 h windows sliding by 5 min."""
     counts = windows.sliding_count(_views(spark, sf_dir), "ts", HOUR, FIVE_MIN, ["item_id"],
                                    name="click_count", expand="window")
-    out = run_to_table(counts, "stream_hop")
+    out = _drain(counts, "stream_hop", spark, sf_dir)
     return out.select("item_id", "click_count", to_ntz("window_end").alias("window_end"))
 
 
@@ -84,9 +92,10 @@ def stream_top(spark: SparkSession, sf_dir: str, n: int = 3, salts: int = 16) ->
         F.slice(F.sort_array(F.flatten(F.collect_list("best"))), 1, n).alias("top"))
     top = ranked.select(F.col("window.end").alias("window_end"),
                         F.posexplode("top").alias("pos", "e"))
-    out = run_to_table(top.select("window_end", (F.col("pos") + 1).alias("rank"),
+    out = _drain(top.select("window_end", (F.col("pos") + 1).alias("rank"),
                                   F.col("e.item_id").alias("item_id"),
-                                  (-F.col("e.neg")).alias("click_count")), "stream_top")
+                                  (-F.col("e.neg")).alias("click_count")),
+                 "stream_top", spark, sf_dir)
     return out.select(to_ntz("window_end").alias("window_end"), F.col("rank").cast("int"),
                       "item_id", "click_count")
 
@@ -107,8 +116,8 @@ def stream_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withWatermark("purchase_ts", "1 hour"))
     # the batch operator, bucketed by time, runs unchanged on the two streams
     j = joins.interval_join(clicks, buys, ["user_id"], "click_ts", "purchase_ts", -HOUR, HOUR)
-    out = run_to_table(j.select("user_id", "click_seq", "purchase_seq",
-                                "click_ts", "purchase_ts"), "stream_interval_join")
+    out = _drain(j.select("user_id", "click_seq", "purchase_seq",
+                          "click_ts", "purchase_ts"), "stream_interval_join", spark, sf_dir)
     return out.select("user_id", "click_seq", "purchase_seq",
                       to_ntz("click_ts").alias("click_ts"),
                       to_ntz("purchase_ts").alias("purchase_ts"))
@@ -119,7 +128,7 @@ def stream_prev_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = behaviour_stream(spark, sf_dir)
     out = stateful.apply(s, ["user_id"], stateful.ChangeAlert(["user_id"], 10.0),
                          "seq bigint, ts_us bigint, last_value double, cur_value double")
-    res = run_to_table(out, "stream_prev_change")
+    res = _drain(out, "stream_prev_change", spark, sf_dir)
     return res.select("user_id", "seq", "last_value", "cur_value")
 
 
@@ -128,7 +137,7 @@ def _cap_stream(spark, sf_dir):
     out = stateful.apply(s, ["user_id", "behavior"],
                          stateful.DailyCap(["user_id", "behavior"], cap=2),
                          "output string, seq bigint, ts_us bigint", fields=())
-    return run_to_table(out, "stream_cap")
+    return _drain(out, "stream_cap", spark, sf_dir)
 
 
 def stream_cap_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,7 +165,7 @@ def stream_order_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = flushed(spark, creates.unionByName(pays), "ts")
     out = stateful.apply(s, ["order_id"], stateful.OrderStatus(["order_id"], 365 * 24 * HOUR),
                          "status string, create_us bigint, pay_us bigint, delay_s bigint, n bigint")
-    res = run_to_table(out, "stream_order_status")
+    res = _drain(out, "stream_order_status", spark, sf_dir, ("orders", "lineitem"))
     last = res.groupBy("order_id").agg(F.max_by(F.struct("status", "create_us", "pay_us",
                                                          "delay_s"), "n").alias("v"))
     return last.select("order_id", F.col("v.status").alias("status"),
@@ -171,7 +180,7 @@ def stream_rise_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = behaviour_stream(spark, sf_dir)
     out = stateful.apply(s, ["user_id"], stateful.RiseTimer(["user_id"], 12 * HOUR),
                          "start_us bigint, alert_us bigint")
-    res = run_to_table(out, "stream_rise_alerts")
+    res = _drain(out, "stream_rise_alerts", spark, sf_dir)
     return res.select("user_id", to_ntz(F.timestamp_micros("start_us")).alias("start_ts"),
                       to_ntz(F.timestamp_micros("alert_us")).alias("alert_ts"))
 
