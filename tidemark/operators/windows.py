@@ -13,7 +13,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import cols_of, floor_time
+from tidemark.functions import cols_of
 
 _UNITS = {"s": 1, "sec": 1, "second": 1, "seconds": 1, "m": 60, "min": 60, "minute": 60,
           "minutes": 60, "h": 3600, "hour": 3600, "hours": 3600, "d": 86400, "day": 86400,
@@ -30,10 +30,6 @@ def seconds(d: int | str) -> int:
     return int(m.group(1)) * _UNITS[m.group(2).lower()]
 
 
-def _interval(secs: int):
-    return F.expr(f"INTERVAL {int(secs)} SECONDS")
-
-
 def tumbling(df: DataFrame, ts: str, size, keys=(), aggs=None) -> DataFrame:
     """Tumbling event-time window; `aggs` defaults to a row count `n`.
     Output: window_start, window_end, keys..., aggregates."""
@@ -73,15 +69,21 @@ def sliding_count(df: DataFrame, ts: str, size, slide, keys=(), name: str = "n",
         key_names = [c for c in out.columns if c not in ("window", name)]
         return out.select(F.col("window.start").alias("window_start"),
                           F.col("window.end").alias("window_end"), *key_names, name)
-    sl = floor_time(F.col(ts), slide_s)
-    pre = df.groupBy(sl.alias("__slice"), *keys).agg(F.count(F.lit(1)).alias("__n"))
+    # integer epoch micros: a bigint sequence and arithmetic are cheaper than
+    # a timestamp sequence with interval steps
+    slide_us = slide_s * 1_000_000
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    pre = (df.groupBy((us - F.pmod(us, F.lit(slide_us))).alias("__slice"), *keys)
+             .agg(F.count(F.lit(1)).alias("__n")))
     key_names = [c for c in pre.columns if c not in ("__slice", "__n")]
-    ends = F.sequence(F.col("__slice") + _interval(slide_s), F.col("__slice") + _interval(size_s),
-                      _interval(slide_s))
-    exp = pre.select(F.explode(ends).alias("window_end"), *key_names, "__n")
-    out = exp.groupBy("window_end", *key_names).agg(F.sum("__n").alias(name))
-    return out.select((F.col("window_end") - _interval(size_s)).alias("window_start"),
-                      "window_end", *key_names, name)
+    exp = pre.select(F.explode(F.sequence(F.lit(1).cast("bigint"),
+                                          F.lit(size_s // slide_s).cast("bigint"))).alias("__i"),
+                     "__slice", *key_names, "__n")
+    end = F.col("__slice") + F.col("__i") * F.lit(slide_us).cast("bigint")
+    out = exp.groupBy(end.alias("__end"), *key_names).agg(F.sum("__n").alias(name))
+    return out.select(F.timestamp_micros(F.col("__end") - F.lit(size_s * 1_000_000))
+                      .alias("window_start"),
+                      F.timestamp_micros("__end").alias("window_end"), *key_names, name)
 
 
 def window_agg(df: DataFrame, ts: str, size, slide=None, keys=(), aggs=()) -> DataFrame:
