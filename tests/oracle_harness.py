@@ -56,19 +56,33 @@ def rows_of(pdf: pd.DataFrame) -> list[tuple]:
     return sorted(out, key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
+# Spark type name -> DuckDB type name of the same values
+CANON = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+         "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 def compare(spark, name: str, sf_dir: str, con=None) -> dict:
     from __spark_entry__ import oracle_sql, queries
     con = con or duck(sf_dir)
     t0 = time.time()
-    sp = queries()[name](spark, sf_dir).toPandas()
+    df = queries()[name](spark, sf_dir)
+    sp_types = {f.name: CANON.get(f.dataType.simpleString(), f.dataType.simpleString())
+                for f in df.schema.fields}
+    sp = df.toPandas()
     t1 = time.time()
     sql = oracle_sql().get(name)
     res = {"name": name, "spark_rows": len(sp), "spark_sec": round(t1 - t0, 2)}
     if sql is None:
         res["oracle"] = "none"
         return res
-    dk = con.sql(sql).df()
+    rel = con.sql(sql)
+    dk_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    dk = rel.df()
     res["oracle_rows"] = len(dk)
+    res["types_ok"] = sp_types == dk_types
+    if not res["types_ok"]:
+        res["types"] = {c: (sp_types.get(c), dk_types.get(c)) for c in set(sp_types) | set(dk_types)
+                        if sp_types.get(c) != dk_types.get(c)}
     res["cols_ok"] = sorted(sp.columns) == sorted(dk.columns)
     if not res["cols_ok"]:
         res["cols"] = (sorted(sp.columns), sorted(dk.columns))

@@ -27,6 +27,7 @@ def test_query_matches_oracle(spark, con, name):
         assert res["spark_rows"] >= 0
         return
     assert res["cols_ok"], res
+    assert res["types_ok"], res
     assert res["ok"], res
 
 

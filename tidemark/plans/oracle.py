@@ -28,7 +28,8 @@ def _top(src: str, size_s: int, slide_s: int, keys: list[str], n: int = 3) -> st
     k = ", ".join(keys)
     return f"""SELECT * FROM (
       SELECT window_end, {k}, click_count,
-             row_number() OVER (PARTITION BY window_end ORDER BY click_count DESC, {k}) AS rank
+             CAST(row_number() OVER (PARTITION BY window_end ORDER BY click_count DESC, {k})
+                  AS INTEGER) AS rank
       FROM (SELECT window_end, {k}, count(*) AS click_count
             FROM ({_hop_rows(src, size_s, slide_s, k)}) GROUP BY ALL))
     WHERE rank <= {n}"""
