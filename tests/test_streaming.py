@@ -162,3 +162,17 @@ def test_console_sink_runs(spark, scratch):
         assert q.lastProgress["numInputRows"] == 1
     finally:
         q.stop()
+
+
+def test_pandas_mode_equals_row_mode(spark):
+    """The same processor through `transformWithStateInPandas` (rows=False)."""
+    from tidemark.streaming.twins import behaviour_stream
+    out = stateful.apply(behaviour_stream(spark, SMALL), ["user_id"],
+                         stateful.ChangeAlert(["user_id"], 10.0),
+                         "seq bigint, ts_us bigint, last_value double, cur_value double",
+                         rows=False)
+    got = run_to_table(out, "t_pandas_mode").select("user_id", "seq", "last_value", "cur_value")
+    exp = rolling.change_alert(behaviour_log(spark, SMALL), ["user_id"],
+                               [F.col("ts"), F.col("seq")], "value", 10.0) \
+        .select("user_id", "seq", "last_value", "cur_value")
+    assert _same(got, exp)

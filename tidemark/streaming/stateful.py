@@ -1,5 +1,6 @@
 """Keyed stateful stream operators (W6, W8, H7; N1, K5, K7, K9) on
-`transformWithStateInPandas` with event-time timers.
+`transformWithState` (row API; or `transformWithStateInPandas`) with
+event-time timers.
 
 Rows of one key can reach a micro-batch in any order, and the reference's
 operators depend on order.  `OrderedProcessor` therefore buffers a key's rows
@@ -23,7 +24,7 @@ import pickle
 from typing import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -64,6 +65,9 @@ class OrderedProcessor(StatefulProcessor):
     STATE: str = "x bigint"
     INITIAL: tuple = (None,)
     OUT: tuple[str, ...] = ()
+    # True: rows in and out as Row objects (`transformWithState`); False:
+    # pandas frames (`transformWithStateInPandas`).  Set by `apply`.
+    ROWS: bool = True
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -98,15 +102,19 @@ class OrderedProcessor(StatefulProcessor):
         self._dl = None
 
     # engine callbacks ------------------------------------------------------
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator:
         new = []
-        for pdf in rows:
-            pdf = pdf[pdf["ts_us"] < FLUSH_US]  # the flush row only moves the watermark
-            if pdf.empty:
-                continue
-            cols = [pdf["ts_us"].tolist(), pdf["seq"].tolist()] + \
-                [[_py(v) for v in pdf[f].tolist()] for f in self.FIELDS]
-            new.extend(zip(*cols))
+        if self.ROWS:
+            new = [(r["ts_us"], r["seq"], *[r[f] for f in self.FIELDS]) for r in rows
+                   if r["ts_us"] < FLUSH_US]   # the flush row only moves the watermark
+        else:
+            for pdf in rows:
+                pdf = pdf[pdf["ts_us"] < FLUSH_US]
+                if pdf.empty:
+                    continue
+                cols = [pdf["ts_us"].tolist(), pdf["seq"].tolist()] + \
+                    [[_py(v) for v in pdf[f].tolist()] for f in self.FIELDS]
+                new.extend(zip(*cols))
         if new:
             deadline, armed, buf, s = self._load()
             buf.extend(new)
@@ -152,6 +160,9 @@ class OrderedProcessor(StatefulProcessor):
         if not out:
             return []
         k = tuple(_py(v) for v in key)
+        if self.ROWS:
+            make = Row(*self.KEYS, *self.OUT)
+            return [make(*(k + o)) for o in out]
         return [pd.DataFrame([k + o for o in out], columns=list(self.KEYS) + list(self.OUT))]
 
     def close(self) -> None:
@@ -298,9 +309,11 @@ _NULL_KEY = {"bigint": -(2 ** 63), "int": -(2 ** 31), "string": "\u0000null"}
 
 
 def apply(stream: DataFrame, keys: list[str], processor: OrderedProcessor, out_schema: str,
-          fields: tuple[str, ...] = ()) -> DataFrame:
+          fields: tuple[str, ...] = (), rows: bool = True) -> DataFrame:
     """Run a processor per key over a watermarked stream with `ts` and `seq`.
-    Null keys are grouped under a stand-in value and come out as null."""
+    Null keys are grouped under a stand-in value and come out as null.
+    rows=True uses the row-based `transformWithState` (cheaper for many small
+    keys); rows=False the pandas-based `transformWithStateInPandas`."""
     types = {f.name: f.dataType.simpleString() for f in stream.schema.fields}
     for k in keys:
         if types[k] not in _NULL_KEY:
@@ -309,10 +322,11 @@ def apply(stream: DataFrame, keys: list[str], processor: OrderedProcessor, out_s
             for k in keys]
     cols += [F.unix_micros("ts").alias("ts_us"), "seq"] + list(fields or processor.FIELDS)
     key_schema = ", ".join(f"{k} {types[k]}" for k in keys)
-    out = (stream.select(*cols).groupBy(*keys)
-                 .transformWithStateInPandas(statefulProcessor=processor,
-                                             outputStructType=f"{key_schema}, {out_schema}",
-                                             outputMode="Append", timeMode="EventTime"))
+    processor.ROWS = rows
+    g = stream.select(*cols).groupBy(*keys)
+    run = g.transformWithState if rows else g.transformWithStateInPandas
+    out = run(statefulProcessor=processor, outputStructType=f"{key_schema}, {out_schema}",
+              outputMode="Append", timeMode="EventTime")
     return out.select(*[F.when(F.col(k) != F.lit(_NULL_KEY[types[k]]).cast(types[k]), F.col(k))
                         .alias(k) for k in keys],
                       *[c for c in out.columns if c not in keys])
