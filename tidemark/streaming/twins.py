@@ -185,6 +185,34 @@ def stream_rise_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
                       to_ntz(F.timestamp_micros("alert_us")).alias("alert_ts"))
 
 
+def stream_wc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2/S3 on a stream: word totals over a file stream of documents (split
+    on whitespace characters, empty tokens dropped).  An aggregation without
+    event time has no watermark, so it runs in complete mode; each
+    micro-batch writes the whole result table (the vocabulary, not the rows)
+    over the previous one through `foreachBatch`."""
+    from tidemark.operators import relational
+    from tidemark.session import scratch_path
+    docs = stream_table(spark, sf_dir, "documents").select("doc_id", "text")
+    counts = relational.word_count(relational.words_ws(docs, "text"), name="cnt")
+    path = scratch_path(spark, "out-stream_wc")
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    parts = state_partitions(spark, f"{sf_dir.rstrip('/')}/documents.parquet")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        q = (counts.writeStream.queryName("stream_wc").outputMode("complete")
+                   .option("checkpointLocation", scratch_path(spark, "ckpt-stream_wc"))
+                   .foreachBatch(write).trigger(availableNow=True).start())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    q.awaitTermination()
+    return spark.read.parquet(path)
+
+
 STREAM_QUERIES = {
     "stream_pv": stream_pv,
     "stream_uv": stream_uv,
@@ -196,6 +224,7 @@ STREAM_QUERIES = {
     "stream_cap_alarm": stream_cap_alarm,
     "stream_order_status": stream_order_status,
     "stream_rise_alerts": stream_rise_alerts,
+    "stream_wc": stream_wc,
 }
 
 # batch twin whose oracle SQL the stream result must equal
@@ -209,4 +238,5 @@ BATCH_TWIN = {
     "stream_cap_pass": "cap_pass",
     "stream_cap_alarm": "cap_alarm",
     "stream_order_status": "order_status",
+    "stream_wc": "wc_nonempty_ws",
 }
