@@ -75,4 +75,24 @@ def test_hot_key_is_split_over_chunks(spark):
     out = scan.running(df, ["k"], [F.col("t"), F.col("seq")], {"r": ("sum", F.col("v"))},
                        chunk=F.floor(F.col("t") / 7))
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "__chunk" in plan and "hashpartitioning(__k0" in plan
+    assert "hashpartitioning(__key" in plan and "__chunk" in plan
+
+
+def test_carry_join_reuses_window_partitioning(spark):
+    """Without broadcast, the full-size side is shuffled once (by key and
+    chunk); the carry join reuses that partitioning."""
+    rows = _rows(4)
+    df = spark.createDataFrame(rows, "k int, t int, seq int, v double")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = scan.running(df, ["k"], [F.col("t"), F.col("seq")], {"r": ("sum", F.col("v"))},
+                           chunk=F.floor(F.col("t") / 7))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    full = [l for l in plan.splitlines() if "Exchange hashpartitioning(__key" in l
+            and "__chunk" in l]
+    # one exchange of the rows, one of the partial summaries: never a second
+    # shuffle of the rows for the join
+    assert "SortMergeJoin" in plan and len(full) == 2

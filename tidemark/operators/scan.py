@@ -6,10 +6,11 @@ data.  `running` splits each key's rows into ordered chunks (default: time
 buckets of the order column), so the big window is partitioned by
 `(key, chunk)`:
 
-1. window inside each `(key, chunk)`                    exchange on (key, chunk)
-2. one summary row per `(key, chunk)`                   same exchange, reused
-3. prefix (or suffix) of the summaries per key          small table
-4. left join of 3 back to 1 on `(key, chunk)`, combine
+1. window inside each `(key, chunk)`                  rows shuffled once, by (key, chunk)
+2. one summary row per `(key, chunk)`                 partial aggregation, tiny shuffle
+3. prefix (or suffix) of the summaries per key        small table, by key
+4. left join of 3 back to 1 on `(key, chunk)`         reuses the partitioning of 1
+   (or a broadcast of 3 when AQE finds it small), then combine
 
 A hot key is spread over its chunks; step 3 holds one row per chunk.  The
 result equals the plain window for every supported aggregate.
@@ -118,9 +119,14 @@ def running(df: DataFrame, keys, order, aggs: dict[str, tuple],
         chunk = bucket_number(order[0], chunk_seconds) if chunk_seconds else F.lit(0)
     specs = {n: (a[0], a[1], a[2] if len(a) > 2 else frame) for n, a in aggs.items()}
 
-    key_names = [f"__k{i}" for i in range(len(keys))]
-    base = df.select("*", *[k.alias(n) for k, n in zip(keys, key_names)], chunk.alias(_CHUNK))
-    part = [F.col(n) for n in key_names] + [F.col(_CHUNK)]
+    # One non-null key column: a struct of the keys (struct equality treats
+    # null fields as equal, so null keys group and join like `<=>`).  Plain
+    # equality on the very columns the window is partitioned by lets a
+    # sort-merge carry join reuse that partitioning: only the small carry
+    # table is shuffled for the join.
+    kcol = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)]) if keys else F.lit(0)
+    base = df.select("*", kcol.alias("__key"), chunk.alias(_CHUNK))
+    part = [F.col("__key"), F.col(_CHUNK)]
     w_part = _W.partitionBy(*part).orderBy(*order)
     inner = base.select("*", *[_within(k, c, w_part.rowsBetween(*_FRAMES[f])).alias(f"__in_{n}")
                                for n, (k, c, f) in specs.items()])
@@ -134,18 +140,16 @@ def running(df: DataFrame, keys, order, aggs: dict[str, tuple],
     summ = (base.groupBy(*part)
                 .agg(*[_summary(k, c, order_key).alias(f"__s_{n}")
                        for n, (k, c, _) in specs.items()]))
-    w_ch = _W.partitionBy(*[F.col(n) for n in key_names]).orderBy(F.col(_CHUNK))
+    w_ch = _W.partitionBy("__key").orderBy(F.col(_CHUNK))
     w_prev = w_ch.rowsBetween(_W.unboundedPreceding, -1)
     w_next = w_ch.rowsBetween(1, _W.unboundedFollowing)
     carried = summ.select(
-        *[F.col(n).alias(f"__c{n}") for n in key_names], F.col(_CHUNK).alias("__cchunk"),
+        F.col("__key").alias("__ckey"), F.col(_CHUNK).alias("__cchunk"),
         *[_carry(k, F.col(f"__s_{n}"), w_next if f in ("from", "after") else w_prev)
           .alias(f"__p_{n}") for n, (k, _, f) in specs.items()])
 
-    cond = F.col(_CHUNK) == F.col("__cchunk")
-    for n in key_names:
-        cond = cond & F.col(n).eqNullSafe(F.col(f"__c{n}"))
-    joined = inner.join(carried, cond, "left")
+    joined = inner.join(carried, (F.col("__key") == F.col("__ckey")) &
+                        (F.col(_CHUNK) == F.col("__cchunk")), "left")
     out = joined.select(
         *df.columns,
         *[_combine(k, F.col(f"__in_{n}"), F.col(f"__p_{n}"), f in ("from", "after")).alias(n)
