@@ -29,7 +29,8 @@ def java_split(c: str | Column, sep: str) -> Column:
     made only of separators gives no field at all ("" gives [""])."""
     c = col_of(c)
     rx = "\\" + sep if sep in ".$|()[]{}^?*+\\" else sep
-    trimmed = F.regexp_replace(c, f"({rx})+$", "")
+    # `rtrim` removes trailing spaces without a regular expression
+    trimmed = F.rtrim(c) if sep == " " else F.regexp_replace(c, f"({rx})+$", "")
     return (F.when(c == "", F.array(F.lit("")))
             .when(trimmed == "", F.array().cast("array<string>"))
             .otherwise(F.split(trimmed, rx)))
