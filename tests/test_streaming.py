@@ -226,3 +226,18 @@ def test_reference_blacklist_job_as_stream(spark, scratch):
     alarms = [(r["user_id"], r["ad_id"], r["ts_us"] // 1_000_000)
               for r in res.filter("output = 'alarm'").collect()]
     assert alarms == [(937166, 1715, 1511661701)]
+
+
+@pytest.mark.skipif(not os.path.isdir(SAMPLES), reason="reference samples absent")
+def test_reference_login_job_as_stream(spark, scratch):
+    """Repeated failures within 2 s, watermark 10 s out-of-orderness (the
+    sample holds rows up to 6 s out of order)."""
+    from tidemark.sources import text
+    from tidemark.streaming.run import flushed, keep
+    s = _sample_stream(spark, scratch, "LoginLog.csv", text.LOGIN_EVENT, "event_time")
+    s = flushed(spark, s.select("user_id", "event_type", "ts", "seq"), "ts", "10 seconds")
+    s = s.filter(keep(F.col("event_type") == "fail"))
+    out = stateful.apply(s, ["user_id"], stateful.RepeatedFailure(["user_id"], 2),
+                         "seq bigint, ts_us bigint, ref_seq bigint, ref_us bigint")
+    res = run_to_table(out, "t_login_job")
+    assert [r["user_id"] for r in res.collect()] == [1035, 1035]

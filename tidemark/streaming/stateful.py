@@ -302,6 +302,81 @@ class RiseTimer(OrderedProcessor):
         return [(when_us - self.interval_us, when_us)]
 
 
+class FollowedBy(OrderedProcessor):
+    """K3/K4: `begin(first).followedBy(second).within(within_s)` per key.
+    Pending `first` events wait for the first later `second` event; it
+    matches every pending one whose age is below `within_s` (output "match");
+    a pending event whose deadline passes first times out (output
+    "timeout", at start + within).  State: the pending starts, bounded by the
+    time limit."""
+
+    FIELDS = ("kind",)
+    FIELD_TYPES = ("string",)
+    STATE = "pending binary"
+    INITIAL = (None,)
+    OUT = ("output", "a_seq", "a_us", "b_seq", "b_us")
+
+    def __init__(self, keys, within_s: int):
+        self.KEYS = tuple(keys)
+        self.within_us = within_s * 1_000_000
+
+    def _waiting(self, s):
+        return pickle.loads(s[0]) if s[0] is not None else []
+
+    def _store(self, s, pend):
+        s[0] = pickle.dumps(pend, protocol=5) if pend else None
+        if pend:
+            self.set_deadline(pend[0][0] + self.within_us)
+        else:
+            self.clear_deadline()
+
+    def on_row(self, s, ts_us, seq, fields):
+        kind = fields[0]
+        pend = self._waiting(s)
+        out = []
+        if kind == "b" and pend:
+            for a_us, a_seq in pend:
+                if ts_us - a_us < self.within_us:
+                    out.append(("match", a_seq, a_us, seq, ts_us))
+                else:
+                    out.append(("timeout", a_seq, a_us, None, a_us + self.within_us))
+            pend = []
+        if kind == "a":
+            pend.append((ts_us, seq))
+        self._store(s, pend)
+        return out
+
+    def on_deadline(self, s, when_us):
+        pend = self._waiting(s)
+        due = [p for p in pend if p[0] + self.within_us <= when_us]
+        self._store(s, [p for p in pend if p[0] + self.within_us > when_us])
+        return [("timeout", a_seq, a_us, None, a_us + self.within_us) for a_us, a_seq in due]
+
+
+class RepeatedFailure(OrderedProcessor):
+    """K6: a failure within `max_gap_s` of the key's first failure
+    (mode="first", never replaced, as in the reference) or of its previous
+    failure (mode="previous") raises an alert."""
+
+    STATE = "ref_us bigint, ref_seq bigint"
+    INITIAL = (None, None)
+    OUT = ("seq", "ts_us", "ref_seq", "ref_us")
+
+    def __init__(self, keys, max_gap_s: int, mode: str = "first"):
+        self.KEYS = tuple(keys)
+        self.gap_us = max_gap_s * 1_000_000
+        self.mode = mode
+
+    def on_row(self, s, ts_us, seq, fields):
+        out = []
+        if s[0] is not None and abs(ts_us - s[0]) <= self.gap_us:
+            out.append((seq, ts_us, s[1], s[0]))
+        if s[0] is None or self.mode == "previous":
+            s[0], s[1] = ts_us, seq
+        return out
+
+
+# ---------------------------------------------------------------------------
 # Stand-in for a null key (the flush row has null keys).  A null in an integer
 # key column would turn the whole Arrow batch of keys into floats on the
 # Python side, and float keys do not address the right state.

@@ -185,6 +185,42 @@ def stream_rise_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
                       to_ntz(F.timestamp_micros("alert_us")).alias("alert_ts"))
 
 
+def _followed_by_stream(spark, sf_dir):
+    s = behaviour_stream(spark, sf_dir)
+    s = s.select("user_id", "ts", "seq",
+                 F.when(F.col("behavior") == "view", "a")
+                  .when(F.col("behavior") == "purchase", "b").alias("kind"))
+    out = stateful.apply(s, ["user_id"], stateful.FollowedBy(["user_id"], 24 * HOUR),
+                         "output string, a_seq bigint, a_us bigint, b_seq bigint, b_us bigint")
+    return _drain(out, "stream_followed_by", spark, sf_dir)
+
+
+def stream_followed_by(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 on a stream: view followed by purchase of the same user within a
+    day (`FollowedBy` processor, pending views in state)."""
+    res = _followed_by_stream(spark, sf_dir).filter(F.col("output") == "match")
+    return res.select("user_id", "a_seq", to_ntz(F.timestamp_micros("a_us")).alias("a_ts"),
+                      "b_seq", to_ntz(F.timestamp_micros("b_us")).alias("b_ts"))
+
+
+def stream_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4 on a stream: the timeout side output, emitted at view + 1 day."""
+    res = _followed_by_stream(spark, sf_dir).filter(F.col("output") == "timeout")
+    return res.select("user_id", "a_seq", to_ntz(F.timestamp_micros("a_us")).alias("a_ts"),
+                      to_ntz(F.timestamp_micros("b_us")).alias("timeout_ts"))
+
+
+def stream_first_fail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6 on a stream: errors within a day of the user's first error
+    (`RepeatedFailure` processor)."""
+    s = behaviour_stream(spark, sf_dir).filter(keep(F.col("behavior") == "error"))
+    out = stateful.apply(s, ["user_id"], stateful.RepeatedFailure(["user_id"], 24 * HOUR),
+                         "seq bigint, ts_us bigint, ref_seq bigint, ref_us bigint")
+    res = _drain(out, "stream_first_fail", spark, sf_dir)
+    return res.select("user_id", "seq", to_ntz(F.timestamp_micros("ts_us")).alias("ts"),
+                      "ref_seq", to_ntz(F.timestamp_micros("ref_us")).alias("ref_ts"))
+
+
 def stream_wc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2/S3 on a stream: word totals over a file stream of documents (split
     on whitespace characters, empty tokens dropped).  An aggregation without
@@ -225,6 +261,9 @@ STREAM_QUERIES = {
     "stream_order_status": stream_order_status,
     "stream_rise_alerts": stream_rise_alerts,
     "stream_wc": stream_wc,
+    "stream_followed_by": stream_followed_by,
+    "stream_timeout": stream_timeout,
+    "stream_first_fail": stream_first_fail,
 }
 
 # batch twin whose oracle SQL the stream result must equal
@@ -239,4 +278,7 @@ BATCH_TWIN = {
     "stream_cap_alarm": "cap_alarm",
     "stream_order_status": "order_status",
     "stream_wc": "wc_nonempty_ws",
+    "stream_followed_by": "pattern_followed_by",
+    "stream_timeout": "pattern_timeout",
+    "stream_first_fail": "first_fail",
 }
