@@ -44,11 +44,12 @@ def _brute(rows, kind, frame):
 
 @pytest.mark.parametrize("kind", ["sum", "count", "min", "max", "first", "last"])
 @pytest.mark.parametrize("frame", ["upto", "before", "from", "after"])
-def test_running_equals_window(spark, kind, frame):
+@pytest.mark.parametrize("fanout", [None, 3])
+def test_running_equals_window(spark, kind, frame, fanout):
     rows = _rows(hash((kind, frame)) % 1000)
     df = spark.createDataFrame(rows, "k int, t int, seq int, v double")
     out = scan.running(df, ["k"], [F.col("t"), F.col("seq")], {"r": (kind, F.col("v"))},
-                       frame=frame, chunk=F.floor(F.col("t") / 7))
+                       frame=frame, chunk=F.floor(F.col("t") / 7), carry_fanout=fanout)
     got = {r["seq"]: (round(r["r"], 6) if kind == "sum" and r["r"] is not None else r["r"])
            for r in out.collect()}
     assert got == _brute(rows, kind, frame)

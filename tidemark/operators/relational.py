@@ -38,11 +38,14 @@ def word_count(words: DataFrame, word: str = "word", name: str = "cnt") -> DataF
 
 
 def running_word_count(words: DataFrame, order, word: str = "word", name: str = "cnt",
-                       chunk: Column | None = None) -> DataFrame:
+                       chunk: Column | None = None, carry_fanout: int | None = 1024) -> DataFrame:
     """A2: the total of each word after each of its occurrences, in `order`.
-    A hot word is split into ordered chunks (see `scan.running`)."""
+    A hot word is split into ordered chunks (see `scan.running`); as the
+    number of chunks grows with the corpus, the carry across chunks is
+    itself chunked (`carry_fanout`)."""
     return scan.row_number(words, [word], order, name=name, chunk=chunk,
-                           chunk_seconds=0 if chunk is None else 1)
+                           chunk_seconds=0 if chunk is None else 1,
+                           carry_fanout=carry_fanout if chunk is not None else None)
 
 
 def select_expr(df: DataFrame, *exprs: str) -> DataFrame:

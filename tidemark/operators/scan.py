@@ -100,9 +100,15 @@ _FRAMES = {"upto": (_W.unboundedPreceding, _W.currentRow),
            "after": (1, _W.unboundedFollowing)}
 
 
+# How summaries of earlier (later) chunks combine, as a running aggregate.
+_CARRY_KIND = {"sum": "sum", "count": "sum", "min": "min", "max": "max",
+               "first": "first", "last": "last"}
+
+
 def running(df: DataFrame, keys, order, aggs: dict[str, tuple],
             frame: str = "upto", chunk: Column | None = None,
-            chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+            chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
+            carry_fanout: int | None = None) -> DataFrame:
     """Add one column per entry of `aggs` ({name: (kind, column)} or
     {name: (kind, column, frame)}), computed over the rows of the same key in
     `order` with the entry's frame (default `frame`).  Several aggregates and
@@ -112,6 +118,9 @@ def running(df: DataFrame, keys, order, aggs: dict[str, tuple],
     the time bucket (`chunk_seconds`) of the first order column.
     `chunk_seconds=0` means one chunk per key (plain window; only for keys
     known to be small).
+    `carry_fanout`: when a key can have very many chunks (chunks that do not
+    grow with time, such as id ranges), carry across chunks with a second
+    level of this scan over groups of `carry_fanout` chunks.
     """
     keys = cols_of(keys)
     order = cols_of(order)
@@ -140,13 +149,26 @@ def running(df: DataFrame, keys, order, aggs: dict[str, tuple],
     summ = (base.groupBy(*part)
                 .agg(*[_summary(k, c, order_key).alias(f"__s_{n}")
                        for n, (k, c, _) in specs.items()]))
-    w_ch = _W.partitionBy("__key").orderBy(F.col(_CHUNK))
-    w_prev = w_ch.rowsBetween(_W.unboundedPreceding, -1)
-    w_next = w_ch.rowsBetween(1, _W.unboundedFollowing)
-    carried = summ.select(
-        F.col("__key").alias("__ckey"), F.col(_CHUNK).alias("__cchunk"),
-        *[_carry(k, F.col(f"__s_{n}"), w_next if f in ("from", "after") else w_prev)
-          .alias(f"__p_{n}") for n, (k, _, f) in specs.items()])
+    if carry_fanout:
+        # The carry over a key's chunks is itself a running aggregate, ordered
+        # by chunk: compute it with this scan one level up, in groups of
+        # `carry_fanout` chunks, so a key with very many chunks is spread too.
+        lower = summ.withColumnRenamed("__key", "__lkey").withColumnRenamed(_CHUNK, "__lchunk")
+        up = running(lower, [F.col("__lkey")], [F.col("__lchunk")],
+                     {f"__p_{n}": (_CARRY_KIND[k], F.col(f"__s_{n}"),
+                                   "after" if f in ("from", "after") else "before")
+                      for n, (k, _, f) in specs.items()},
+                     chunk=F.floor(F.col("__lchunk") / carry_fanout), carry_fanout=None)
+        carried = up.select(F.col("__lkey").alias("__ckey"), F.col("__lchunk").alias("__cchunk"),
+                            *[f"__p_{n}" for n in specs])
+    else:
+        w_ch = _W.partitionBy("__key").orderBy(F.col(_CHUNK))
+        w_prev = w_ch.rowsBetween(_W.unboundedPreceding, -1)
+        w_next = w_ch.rowsBetween(1, _W.unboundedFollowing)
+        carried = summ.select(
+            F.col("__key").alias("__ckey"), F.col(_CHUNK).alias("__cchunk"),
+            *[_carry(k, F.col(f"__s_{n}"), w_next if f in ("from", "after") else w_prev)
+              .alias(f"__p_{n}") for n, (k, _, f) in specs.items()])
 
     joined = inner.join(carried, (F.col("__key") == F.col("__ckey")) &
                         (F.col(_CHUNK) == F.col("__cchunk")), "left")
