@@ -54,3 +54,16 @@ def test_text_stream_word_count(spark, scratch):
     q.awaitTermination()
     out = spark.table("wc_stream")
     assert {r["word"]: r["count"] for r in out.collect()} == {"hello": 2, "flink": 1, "scala": 1}
+
+
+def test_collection_text_file_and_table(spark, scratch):
+    """S1 in-memory rows, S2 text file lines, S11 DataFrame as an SQL table."""
+    rows = text.from_rows(spark, [("ws_001", 1577844001, 45.0), ("ws_002", 1577844015, 43.0)],
+                          text.WATER_SENSOR)
+    text.to_table(rows, "water_sensor")
+    got = spark.sql("SELECT id FROM water_sensor WHERE vc > 44").collect()
+    assert [r["id"] for r in got] == ["ws_001"]
+    with open(f"{scratch}/hello.txt", "w") as fh:
+        fh.write("hello flink\nhello scala\n")
+    assert [r["value"] for r in text.read_lines(spark, f"{scratch}/hello.txt").collect()] == \
+        ["hello flink", "hello scala"]

@@ -62,13 +62,6 @@ def to_ntz(c: str | Column) -> Column:
     return col_of(c).cast("timestamp_ntz")
 
 
-def floor_time(c: str | Column, seconds: int) -> Column:
-    """Start of the `seconds`-wide bucket (aligned to the epoch) holding `c`."""
-    us = F.unix_micros(col_of(c).cast("timestamp"))
-    width = F.lit(int(seconds) * 1_000_000)
-    return F.timestamp_micros(us - F.pmod(us, width))
-
-
 def bucket_number(c: str | Column, seconds: int) -> Column:
     """Integer bucket number of a time column for a bucket width in seconds."""
     us = F.unix_micros(col_of(c).cast("timestamp"))
@@ -80,11 +73,6 @@ def day_start(c: str | Column) -> Column:
     return F.date_trunc("day", col_of(c).cast("timestamp"))
 
 
-def next_midnight(c: str | Column) -> Column:
-    """the UTC midnight after `c` (when a daily counter resets)."""
-    return day_start(c) + F.expr("INTERVAL 1 DAY")
-
-
 def json_item(props: str | Column, field: str = "k") -> Column:
     """Integer field of a small JSON object column (`{"k": 69}` -> 69)."""
     return F.get_json_object(col_of(props), f"$.{field}").cast("bigint")
@@ -98,8 +86,3 @@ def render_ts(c: str | Column, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
 def parse_access_time(c: str | Column) -> Column:
     """access-log time `dd/MM/yyyy:HH:mm:ss` (UTC)."""
     return F.to_timestamp(col_of(c), "dd/MM/yyyy:HH:mm:ss")
-
-
-def record_json(*cols: str | Column) -> Column:
-    """render a record as JSON text."""
-    return F.to_json(F.struct(*cols_of(list(cols))))

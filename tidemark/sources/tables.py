@@ -20,11 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    for n in names:
-        table(spark, sf_dir, n).createOrReplaceTempView(n)
-
-
 def behaviour_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`events` as the user-behaviour / click / login / sensor log.
 
@@ -62,29 +57,3 @@ def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").alias("order_id"), F.lit("pay").alias("event_type"),
         event_time("l_shipdate").alias("ts"))
     return o.unionByName(li)
-
-
-def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order log in the reference's OrderEvent shape, from `orders` (create
-    events at the order date) and `lineitem` (pay event at the first ship
-    date of the order).  Columns: order_id, event_type, tx_id, ts, seq.
-
-    The pay side is a grouped minimum per order: partial aggregation runs
-    before the shuffle, so a hot order key costs one row per map task.
-    """
-    o = table(spark, sf_dir, "orders")
-    li = table(spark, sf_dir, "lineitem")
-    creates = o.select(
-        F.col("o_orderkey").alias("order_id"),
-        F.lit("create").alias("event_type"),
-        F.lit("").alias("tx_id"),
-        event_time("o_orderdate").alias("ts"),
-        F.lit(0).alias("seq"))
-    pays = (li.groupBy(F.col("l_orderkey").alias("order_id"))
-              .agg(F.min("l_shipdate").alias("ts"))
-              .select("order_id",
-                      F.lit("pay").alias("event_type"),
-                      F.concat(F.lit("tx"), F.col("order_id").cast("string")).alias("tx_id"),
-                      event_time("ts").alias("ts"),
-                      F.lit(1).alias("seq")))
-    return creates.unionByName(pays)
