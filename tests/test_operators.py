@@ -30,13 +30,14 @@ def test_decode_keeps_empty_field_and_quotes(spark):
 
 
 def test_decode_reject_mode_flags_bad_numbers(spark):
-    lines = _lines(spark, ["1,create,,12", "x,create,,13"])
-    out = text.decode_lines(lines, text.ORDER_EVENT, on_error="reject").orderBy("event_time")
-    assert [r["_bad"] for r in out.collect()] == [False, True]
+    lines = _lines(spark, ["1,create,,12", "x,create,,13", "2,create"])
+    out = text.decode_lines(lines, text.ORDER_EVENT, on_error="reject", keep=["seq"])
+    assert [r["_bad"] for r in out.orderBy("seq").collect()] == [False, True, True]
 
 
-def test_decode_fail_mode_raises(spark):
-    lines = _lines(spark, ["x,create,,13"])
+@pytest.mark.parametrize("line", ["x,create,,13", "1,create"])
+def test_decode_fail_mode_raises(spark, line):
+    lines = _lines(spark, [line])
     with pytest.raises(Exception):
         text.decode_lines(lines, text.ORDER_EVENT).collect()
 

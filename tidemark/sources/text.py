@@ -58,8 +58,8 @@ def decode_lines(lines: DataFrame, schema: str | T.StructType, sep: str = ",",
                  keep: list[str] | None = None) -> DataFrame:
     """Decode delimited lines into typed columns.
 
-    on_error="fail"   a bad number raises at run time (ANSI cast), as the
-                      reference's `toLong` throws
+    on_error="fail"   a bad number raises at run time (whatever the ANSI
+                      setting), as the reference's `toLong` throws
     on_error="reject" rows get `_bad` = true when a non-empty field does not
                       convert; split them off with `filter` (side output)
     Columns in `keep` (e.g. an arrival number) are carried through.
@@ -67,17 +67,20 @@ def decode_lines(lines: DataFrame, schema: str | T.StructType, sep: str = ",",
     parts = F.split(F.col(col), _sep_regex(sep), -1)
     out, bad = [], []
     for i, f in enumerate(_fields(schema)):
-        tok = parts.getItem(i)
+        tok = F.get(parts, i)                      # null past the end, never raises
+        missing = F.size(parts) <= i
         if isinstance(f.dataType, T.StringType):
-            out.append(tok.alias(f.name))
-            continue
-        tok = F.trim(tok)
+            v, wrong = tok, missing
+        else:
+            v = F.trim(tok).try_cast(f.dataType)
+            wrong = missing | (v.isNull() & tok.isNotNull())
         if on_error == "fail":
-            out.append(tok.cast(f.dataType).alias(f.name))
+            # raise whatever the session's ANSI setting is
+            out.append(F.when(wrong, F.raise_error(F.concat(
+                F.lit(f"cannot decode field {f.name} of: "), F.col(col)))).otherwise(v).alias(f.name))
         else:
-            v = tok.try_cast(f.dataType)
             out.append(v.alias(f.name))
-            bad.append(v.isNull() & tok.isNotNull())
+            bad.append(wrong)
     cols = [F.col(k) for k in (keep or [])] + out
     if on_error != "fail":
         flag = F.lit(False)
