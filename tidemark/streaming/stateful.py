@@ -68,6 +68,9 @@ class OrderedProcessor(StatefulProcessor):
     # True: rows in and out as Row objects (`transformWithState`); False:
     # pandas frames (`transformWithStateInPandas`).  Set by `apply`.
     ROWS: bool = True
+    # True: rows wait for the watermark and are handled in event-time order.
+    # False (results independent of row order): rows are handled on arrival.
+    ORDERED: bool = True
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -115,16 +118,45 @@ class OrderedProcessor(StatefulProcessor):
                 cols = [pdf["ts_us"].tolist(), pdf["seq"].tolist()] + \
                     [[_py(v) for v in pdf[f].tolist()] for f in self.FIELDS]
                 new.extend(zip(*cols))
-        if new:
-            deadline, armed, buf, s = self._load()
-            buf.extend(new)
-            first = min(r[0] for r in new)
-            if armed is None or first < armed:
-                self.handle.registerTimer(_ms_ceil(first))
-                armed = first
-            self._save(deadline, armed, buf, s)
+        if not new:
+            return iter(())
+        deadline, armed, buf, s = self._load()
+        if not self.ORDERED:
+            # order-insensitive processors handle rows as they come; only
+            # their deadline waits for the watermark
+            self._dl = deadline
+            out: list[tuple] = []
+            for r in sorted(new, key=lambda r: (r[0], r[1])):
+                out += self.on_row(s, r[0], r[1], tuple(r[2:]))
+            self._move_timer(deadline, None)
+            self._save(self._dl, None, [], s)
+            return iter(self._emit(key, out))
+        buf.extend(new)
+        first = min(r[0] for r in new)
+        if armed is None or first < armed:
+            self.handle.registerTimer(_ms_ceil(first))
+            armed = first
+        self._save(deadline, armed, buf, s)
         return iter(())
 
+    def _move_timer(self, old: int | None, fired_up_to: int | None) -> None:
+        """Re-register the deadline timer if the deadline changed."""
+        if self._dl == old:
+            return
+        if old is not None and (fired_up_to is None or old > fired_up_to):
+            self.handle.deleteTimer(_ms_ceil(old))
+        if self._dl is not None:
+            self.handle.registerTimer(_ms_ceil(self._dl))
+
+    def _emit(self, key, out: list[tuple]) -> list:
+        if not out:
+            return []
+        k = tuple(_py(v) for v in key)
+        if self.ROWS:
+            make = Row(*self.KEYS, *self.OUT)
+            return [make(*(k + o)) for o in out]
+        return [pd.DataFrame([k + o for o in out], columns=list(self.KEYS) + list(self.OUT))]
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         # Eager on purpose (not a generator): all state access happens while
         # the engine has this key selected.
@@ -147,23 +179,13 @@ class OrderedProcessor(StatefulProcessor):
         while self._dl is not None and self._dl <= wm_us:
             d, self._dl = self._dl, None
             out += self.on_deadline(s, d)
-        if self._dl != deadline:
-            if deadline is not None and deadline > wm_us:
-                self.handle.deleteTimer(_ms_ceil(deadline))
-            if self._dl is not None:
-                self.handle.registerTimer(_ms_ceil(self._dl))
+        self._move_timer(deadline, wm_us)
         if due:
             armed = min(r[0] for r in rest) if rest else None
             if armed is not None:
                 self.handle.registerTimer(_ms_ceil(armed))
         self._save(self._dl, armed, rest, s)
-        if not out:
-            return []
-        k = tuple(_py(v) for v in key)
-        if self.ROWS:
-            make = Row(*self.KEYS, *self.OUT)
-            return [make(*(k + o)) for o in out]
-        return [pd.DataFrame([k + o for o in out], columns=list(self.KEYS) + list(self.OUT))]
+        return self._emit(key, out)
 
     def close(self) -> None:
         pass
@@ -235,6 +257,7 @@ class OrderStatus(OrderedProcessor):
 
     FIELDS = ("event_type",)
     FIELD_TYPES = ("string",)
+    ORDERED = False     # the verdict depends on the earliest create and pay only
     STATE = "create_us bigint, pay_us bigint, n bigint"
     INITIAL = (None, None, 0)
     OUT = ("status", "create_us", "pay_us", "delay_s", "n")
@@ -255,13 +278,10 @@ class OrderStatus(OrderedProcessor):
         return [(status, c, p, delay, s[2])]
 
     def on_row(self, s, ts_us, seq, fields):
-        kind = fields[0]
-        if kind == "create" and s[0] is None:
-            s[0] = ts_us
-        elif kind == "pay" and s[1] is None:
-            s[1] = ts_us
-        else:
-            return []          # repeated or unknown event types do not change the verdict
+        side = {"create": 0, "pay": 1}.get(fields[0])
+        if side is None or (s[side] is not None and s[side] <= ts_us):
+            return []          # unknown types and later repeats do not change the verdict
+        s[side] = ts_us        # the earliest create / pay counts
         if s[0] is not None and s[1] is not None:
             self.clear_deadline()
             return self._verdict(s)
