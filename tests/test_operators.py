@@ -258,3 +258,18 @@ def test_golden_ad_clicks(spark):
                      ["province", "ad_id"]).orderBy("rank").collect()
     assert [(r["province"], r["ad_id"], r["c"]) for r in top] == \
         [("beijing", 1715, 121), ("jiangsu", 36156, 4)]
+
+
+def test_approx_uv_and_window_agg(spark):
+    """A4 approximate variant and H5 (any built-in aggregate per window)."""
+    rows = [(_ts(10 * i), i % 7, float(i)) for i in range(600)]
+    df = spark.createDataFrame(rows, "ts timestamp, user_id bigint, v double")
+    exact = {r["window_start"]: r["uv"] for r in
+             windows.tumbling_distinct(df, "ts", 3600, "user_id").collect()}
+    approx = {r["window_start"]: r["uv"] for r in
+              windows.tumbling_distinct(df, "ts", 3600, "user_id", approx=True).collect()}
+    assert exact == approx == {_ts(0): 7, _ts(3600): 7}
+    agg = windows.window_agg(df, "ts", 1800, 900, aggs=[F.max("v").alias("mx"),
+                                                        F.avg("v").alias("avg")])
+    got = {r["window_end"]: r["mx"] for r in agg.collect()}
+    assert got[_ts(1800)] == 179.0 and got[_ts(2700)] == 269.0
