@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, licences, minhash_dedup, pii
+from tidemark.llm import decontam, embed_dedup, licences, minhash_dedup, pii
 from tidemark.llm.common import table
 
 
@@ -19,6 +19,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of embeddings of equal label, cosine 0.98."""
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate group of every document (4-word shingles, 80 per cent)."""
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
@@ -38,6 +43,6 @@ def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("notices", F.lit("")).alias("notices"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op3_decontamination, op5_minhash_dedup, op8_licences)}
+QUERIES = {f.__name__: f for f in (op1_pii, op3_decontamination, op4_embedding_dedup, op5_minhash_dedup, op8_licences)}
 
 SQL: dict[str, str] = {}
