@@ -89,8 +89,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8,
     pairs = texts.join(bounded_broadcast(items.select(F.col("item_id").alias("__i"), "width", "n", "shingles")),
                        F.col("item_id").eqNullSafe(F.col("__i"))).withColumn("w", words(F.col("text")))
     exact = pairs.withColumn("n_found", F.size(F.array_intersect("shingles", shingle_strings("w", "width"))).cast("long"))
-    return (exact.where(F.col("n_found") >= F.ceil(F.col("n") * threshold - 1e-9))
-            .groupBy("doc_id", "item_id").agg(F.max("n").alias("n_shingles"), F.max("n_found").alias("n_found"))
+    # the threshold stands above the aggregate: pushed below, it would split the text once a shingle
+    return (exact.groupBy("doc_id", "item_id").agg(F.max("n").alias("n_shingles"), F.max("n_found").alias("n_found"))
+            .where(F.col("n_found") >= F.ceil(F.col("n_shingles") * threshold - 1e-9))
             .withColumn("containment", F.col("n_found") / F.col("n_shingles")))
 
 
