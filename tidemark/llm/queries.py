@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, embed_dedup, licences, minhash_dedup, pii
+from tidemark.llm import decontam, embed_dedup, langid, licences, minhash_dedup, mixing, pii, quality
 from tidemark.llm.common import table
 
 
@@ -29,6 +29,17 @@ def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every document in a mixture in which a source weighs the
+    square root of its number of documents."""
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
 def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence of every document whose whole text is one, and the known
     notices among its lines."""
@@ -43,6 +54,12 @@ def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("notices", F.lit("")).alias("notices"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op3_decontamination, op4_embedding_dedup, op5_minhash_dedup, op8_licences)}
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op3_decontamination, op4_embedding_dedup, op5_minhash_dedup, op6_quality,
+                                    op7_mixing, op8_licences, op10_language)}
 
 SQL: dict[str, str] = {}
