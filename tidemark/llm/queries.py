@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, embed_dedup, langid, licences, minhash_dedup, mixing, pii, quality
+from tidemark.llm import decontam, embed_dedup, langid, licences, minhash_dedup, mixing, pii, quality, repeats
 from tidemark.llm.common import table
 
 
@@ -54,12 +54,17 @@ def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("notices", F.lit("")).alias("notices"))
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages that start earlier elsewhere."""
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document."""
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_pii, op3_decontamination, op4_embedding_dedup, op5_minhash_dedup, op6_quality,
-                                    op7_mixing, op8_licences, op10_language)}
+                                    op7_mixing, op8_licences, op9_repeats, op10_language)}
 
 SQL: dict[str, str] = {}
