@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, embed_dedup, langid, licences, minhash_dedup, mixing, pii, quality, repeats
+from tidemark.llm import decontam, embed_dedup, langid, licences, line_dedup, minhash_dedup, mixing, pii, quality, repeats
 from tidemark.llm.common import table
 
 
@@ -14,6 +14,13 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest_columns(pii.find(table(spark, sf_dir, "documents")))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that repeat an earlier line."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.keep_first_lines(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that contain a benchmark item."""
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -64,7 +71,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op3_decontamination, op4_embedding_dedup, op5_minhash_dedup, op6_quality,
-                                    op7_mixing, op8_licences, op9_repeats, op10_language)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_line_dedup, op3_decontamination, op4_embedding_dedup, op5_minhash_dedup,
+                                    op6_quality, op7_mixing, op8_licences, op9_repeats, op10_language)}
 
 SQL: dict[str, str] = {}
