@@ -1,16 +1,38 @@
 """Corpus pipeline: quality filter, line dedup, near-dedup, benchmark
-decontamination and mixing, each stage written as Parquet and read again."""
+decontamination and mixing, each stage written as Parquet and read again.
+
+Every stage takes (spark, docs, sf_dir) and works on all that its predecessor
+kept; all but the last return the columns of `documents`.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, mixing
+from tidemark.llm import decontam, line_dedup, minhash_dedup, mixing, quality
 from tidemark.llm.common import saved, table
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def line_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines that repeat an earlier line, n_chars brought
+    up to date; a document that loses all its lines that hold a word goes."""
+    out = line_dedup.keep_first_lines(docs)
+    out = out.where("n_dropped = 0 or text rlike '[0-9A-Za-z\\\\x{80}-\\\\x{10ffff}]'")
+    chars = F.when(F.col("n_dropped") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return out.withColumn("n_chars", chars).select(*docs.columns)
+
+
+def near_duplicate_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return minhash_dedup.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,6 +47,9 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_classifier", quality_filter),
+    ("line_dedup", line_filter),
+    ("minhash_near_dedup", near_duplicate_filter),
     ("benchmark_decontamination", decontamination),
     ("source_mixing", mixture),
 ]

@@ -20,7 +20,8 @@ from tidemark.llm.common import bounded_broadcast
 # lower-case text in which every run of ASCII punctuation and white space is
 # one space and which starts and ends with a space.
 EQUIVALENT = [
-    (" (sub )?licen[cs]e", " $1license"),
+    (" sub licen[cs]e", " sublicense"),
+    (" (sub|)licence", " $1license"),
     (" acknowledgement", " acknowledgment"),
     (" analog(ue)? ", " analog "),
     (" cent(er|re)(s?) ", " center$2 "),
