@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import decontam, embed_dedup, langid, licences, line_dedup, minhash_dedup, mixing, pii, quality, repeats
 from tidemark.llm.common import table
+from tidemark.llm.sql import SQL  # noqa: F401  (registered with the queries)
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,5 +74,3 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_pii, op2_line_dedup, op3_decontamination, op4_embedding_dedup, op5_minhash_dedup,
                                     op6_quality, op7_mixing, op8_licences, op9_repeats, op10_language)}
-
-SQL: dict[str, str] = {}
