@@ -51,8 +51,7 @@ def test_planted_groups(spark, monkeypatch, short):
     monkeypatch.setattr(mh, "BLOCK", 7)
     rows = planted(5, 12, 25)
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    check(mh.near_duplicates(df, width=4, hub_rounds=1).collect() if short == 3 else
-          mh.near_duplicates(df, width=4).collect(), brute.near_groups(rows, 4, 80))
+    check(mh.near_duplicates(df, width=4, hub_rounds=2 if short == 32 else 1).collect(), brute.near_groups(rows, 4, 80))
 
 
 def test_empty_null_and_repeats(spark):

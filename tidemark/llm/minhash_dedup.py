@@ -5,7 +5,7 @@ coordinates.  A document is posted under each (coordinate, value) pair it
 shares with others; two sets of similarity 0.8 agree on about four fifths of
 the coordinates, so a pair is followed up only if it agrees on at least
 `MATCHES` of them.  (For sets of similarity exactly 0.8 the chance of fewer
-agreements is below 1e-6; it falls steeply for closer sets.)
+agreements is about 1e-6; it falls steeply for closer sets.)
 
 * Equal sets are one class before anything else, so exact copies cost nothing.
 * Prefix: coordinates are ordered by how many classes share the value, rarest
@@ -15,10 +15,11 @@ agreements is below 1e-6; it falls steeply for closer sets.)
   sit in the frequent end and are never joined on.
 * Skip: inside a posting list, classes already known to be connected are not
   compared again.  First each list's hub (the class whose values are the most
-  shared) meets the others, which connects a group of near copies in time
+  shared) meets the others, which connects a group of close copies in time
   linear in its size; what is still apart is then compared in full, by
   self-join for short lists and in blocks of bounded size for long ones.
-* Counted candidates are confirmed on the full shingle sets.
+* Counted candidates are confirmed on the full shingle sets, in long lists
+  inside the block, which passes on no more links than connect its members.
 
 The result is exact on components given the candidates: a link is left out
 only if its two ends are connected anyway.
@@ -33,13 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from pyspark.sql.window import Window
 
+from tidemark.llm import lists as ls
 from tidemark.llm import textarrays as ta
 from tidemark.llm.common import bounded_broadcast, components, saved, small_batches
 
-COORDS, MATCHES = 48, 23
-SHORT, BLOCK = 32, 1000
+COORDS, MATCHES = 64, 35
+SHORT, BLOCK, BLOCK_ITEMS = 32, 4000, 2_000_000
 _COEF = np.random.Generator(np.random.PCG64(77)).integers(1, 2**64, COORDS, dtype=np.uint64) | np.uint64(1)
 
 
@@ -47,6 +48,13 @@ def _batch(cols: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([cols[f.name] for f in schema], schema=schema)
 
 
+def _class_id(u: np.ndarray) -> np.uint64:
+    """Name of a set of shingle hashes."""
+    with np.errstate(over="ignore"):
+        one, two = ta.mix(u).sum(dtype=np.uint64), ta.mix(u ^ ta.MIX[50]).sum(dtype=np.uint64)
+        return ta.mix(np.array([one ^ (two * ta.MIX[51]) + np.uint64(len(u))]))[0]
+
+
 def _signature_rows(width: int, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("doc_id", id_type), ("n_shingles", pa.int64()), ("cid", pa.int64()),
@@ -68,8 +76,7 @@ def _signature_rows(width: int, id_type: pa.DataType):
                     for i in full:
                         u = np.unique(sh[bounds[i]:bounds[i + 1]])
                         n[i] = len(u)
-                        one, two = ta.mix(u).sum(dtype=np.uint64), ta.mix(u ^ ta.MIX[50]).sum(dtype=np.uint64)
-                        cid[i] = ta.mix(np.array([one ^ (two * ta.MIX[51]) + np.uint64(len(u))]))[0]
+                        cid[i] = _class_id(u)
                 flat = pa.array(sig.view(np.int64).ravel())
                 ends = pa.array(np.arange(0, (hi - lo + 1) * COORDS, COORDS, dtype=np.int32))
                 yield _batch({"doc_id": ids.slice(lo, hi - lo), "n_shingles": pa.array(n),
@@ -80,39 +87,74 @@ def _signature_rows(width: int, id_type: pa.DataType):
 
 def _set_rows(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("cid", pa.int64()), ("items", pa.list_(pa.int64()))])
+        schema = pa.schema([("cid", pa.int64()), ("own", pa.int64()), ("items", pa.list_(pa.int64()))])
         for b in batches:
             cids = b.column(0)
             for lo, hi, data, offs in ta.pieces(b.column(1)):
                 words, first = ta.word_hashes(data, offs)
                 sh, bounds = ta.shingles(words, first, width)
                 sets = [np.unique(sh[bounds[i]:bounds[i + 1]]) for i in range(hi - lo)]
+                own = np.array([_class_id(u) for u in sets], np.uint64)
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 flat = np.concatenate(sets).view(np.int64)
-                yield _batch({"cid": cids.slice(lo, hi - lo),
+                yield _batch({"cid": cids.slice(lo, hi - lo), "own": pa.array(own.view(np.int64)),
                               "items": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))}, schema)
     return run
 
 
-def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One block pair of a long list: the pairs of different components that
-    agree often enough."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    t = pa.Table.from_batches(list(batches))
-    if t.num_rows == 0:
-        return
-    cid = t.column("cid").to_numpy()
-    comp = t.column("comp").to_numpy()
-    side = t.column("side").to_numpy()
-    sig = t.column("sig").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, COORDS)
-    left, right = np.flatnonzero(side != 2), np.flatnonzero(side != 1)
-    for i in left:
-        other = right[comp[right] != comp[i]]
-        agree = (sig[other] == sig[i]).sum(axis=1)
-        b = cid[other[agree >= MATCHES]]
-        if len(b):
-            a = np.full(len(b), cid[i])
-            yield _batch({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))}, schema)
+def _dense(column: pa.Array, field: str, rows: np.ndarray, fill: int) -> np.ndarray:
+    """Profiles (lists of c, k, o) as a table with one column a coordinate."""
+    flat = column.flatten()
+    out = np.full((len(column), COORDS), fill, np.int32)
+    out[rows, flat.field("c").to_numpy()] = flat.field(field).to_numpy()
+    return out
+
+
+def _block_links(percent: int):
+    """One block pair of a long list: links between different components, as
+    a spanning forest.  A pair is looked at in the list of its rarest shared
+    value only; that list holds every pair with enough agreements."""
+    def run(t: pa.Table) -> pa.Table:
+        t = t.combine_chunks()
+        cid, comp, side = (t.column(c).to_numpy() for c in ("id", "comp", "side"))
+        prof = t.column("prof").combine_chunks()
+        rows = np.repeat(np.arange(len(prof)), np.diff(np.asarray(prof.offsets)))
+        val, order = _dense(prof, "k", rows, 0), _dense(prof, "o", rows, 2**31 - 1)
+        here = t.column("o").to_numpy()
+        items = t.column("items").combine_chunks()
+        bounds = np.asarray(items.offsets).astype(np.int64)
+        bounds = bounds - bounds[0]
+        n = np.diff(bounds)
+        uniq, dense = np.unique(items.flatten().to_numpy(), return_inverse=True)
+        flag = np.zeros(len(uniq), np.int32)
+        root = np.unique(comp, return_inverse=True)[1]
+        right = side != 1
+        a, b = [], []
+        for i in np.flatnonzero(side != 2):
+            ok = right & (root != root[i])
+            if side[i] == 0:
+                ok[:i + 1] &= side[:i + 1] == 2
+            ok &= np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * percent
+            other = np.flatnonzero(ok)
+            if not len(other):
+                continue
+            same = (val[other] == val[i]) & (order[i] < 2**31 - 1)
+            first = np.where(same, order[i], 2**31 - 1).min(axis=1)
+            other = other[(same.sum(axis=1) >= MATCHES) & (first == here[i])]
+            if not len(other):
+                continue
+            flag[dense[bounds[i]:bounds[i + 1]]] = 1
+            at = np.concatenate([np.arange(bounds[j], bounds[j + 1]) for j in other])
+            begin = np.concatenate([[0], np.cumsum(n[other])[:-1]])
+            common = np.add.reduceat(flag[dense[at]], begin).astype(np.int64)
+            flag[dense[bounds[i]:bounds[i + 1]]] = 0
+            for j in other[common * 100 >= (n[i] + n[other] - common) * percent]:
+                if root[j] != root[i]:
+                    root[root == root[j]] = root[i]
+                    a.append(min(cid[i], cid[j]))
+                    b.append(max(cid[i], cid[j]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    return run
 
 
 def _rows_schema(doc_type: str) -> str:
@@ -143,85 +185,46 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: i
     return both.where(f"common * 100 >= (na + nb - common) * {percent}").select("a", "b")
 
 
-def _roots(links: DataFrame | None, lists: DataFrame) -> DataFrame:
-    """`lists` with the component of each class so far."""
-    if links is None:
-        return lists.withColumn("comp", F.col("cid"))
-    roots = components(links)
-    return (lists.join(roots.withColumnRenamed("node", "cid"), "cid", "left")
-            .withColumn("comp", F.coalesce("root", "cid")).drop("root"))
-
-
 def links(docs: DataFrame, sigs: DataFrame, width: int, percent: int, doc: str = "doc_id",
-          text: str = "text", hub_rounds: int = 2) -> DataFrame:
+          text: str = "text", hub_rounds: int = 1) -> DataFrame:
     """Links (a, b) between classes that connect whatever is connected."""
     classes = (sigs.where("n_shingles > 0").groupBy("cid")
                .agg(F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.min("doc_id").alias("rep")))
     classes = saved(classes, "mh-classes")
     posted = classes.select("cid", F.posexplode("sig").alias("c", "v")).select(
-        "cid", F.xxhash64("c", "v").alias("key"))
+        "cid", "c", F.xxhash64("c", "v").alias("key"))
     freq = posted.groupBy("key").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
-    shared = saved(posted.join(freq, "key"), "mh-shared")
-    per = shared.groupBy("cid").agg(F.count(F.lit(1)).alias("s"), F.sum("f").alias("score")).where(f"s >= {MATCHES}")
-    order = Window.partitionBy("cid").orderBy("f", "key")                # at most COORDS rows each
-    lists = (shared.join(per, "cid").withColumn("rk", F.row_number().over(order))
-             .where(f"rk <= s - {MATCHES} + 1").select("key", "cid", "score"))
-    size = lists.groupBy("key").agg(F.count(F.lit(1)).alias("len")).where("len > 1")
+    shared = posted.join(freq, "key").withColumn("o", F.expr("cast(least(f, 32767) * 65536 + (key & 65535) as int)"))
+    # what a class shares, at most COORDS entries, rarest first; the order is the same for all classes
+    prof = shared.groupBy("cid").agg(
+        F.sort_array(F.collect_list(F.struct("o", "key", "c", "f"))).alias("all"), F.sum("f").alias("score"))
+    prof = saved(prof.where(f"size(all) >= {MATCHES}").select(
+        F.col("cid").alias("id"), "score", F.expr(f"transform(slice(all, 1, size(all) - {MATCHES} + 1), x -> struct(x.key, x.o))").alias("prefix"),
+        F.expr("transform(all, x -> named_struct('c', x.c, 'k', cast(shiftright(x.key, 32) as int), 'o', x.o))").alias("prof")), "mh-shared")
+    lists = prof.select("id", "score", F.explode("prefix").alias("p")).select("p.key", "p.o", "id", "score")
+    lists = lists.join(classes.select(F.col("cid").alias("id"), "n"), "id")
+    size = lists.groupBy("key").agg(F.count(F.lit(1)).alias("len"), F.sum("n").alias("items")).where("len > 1")
     lists = saved(lists.join(size, "key"), "mh-lists")
-    active = saved(lists.select("cid").distinct().join(classes.select("cid", "n", "sig", "rep"), "cid"), "mh-active")
+    active = saved(lists.select(F.col("id").alias("cid")).distinct().join(classes, "cid"), "mh-active")
     texts = docs.select(F.col(f"`{doc}`").alias("rep"), F.col(f"`{text}`").alias("text"))
-    want = bounded_broadcast(active.select("cid", "rep", "n"))
+    want = bounded_broadcast(active.select("cid", "rep"))
     raw = texts.join(want, texts["rep"].eqNullSafe(want["rep"])).select("cid", "text")
-    sets = raw.mapInArrow(_set_rows(width), "cid long, items array<long>")
+    sets = raw.mapInArrow(_set_rows(width), "cid long, own long, items array<long>")
     # ids may repeat with other texts: the set must be the class's own
-    sets = saved(sets.join(bounded_broadcast(active.select(F.col("cid").alias("c2"), "n")),
-                           (F.col("cid") == F.col("c2")) & (F.size("items") == F.col("n")))
-                 .select("cid", "items").dropDuplicates(["cid"]), "mh-sets")
-
-    found, hubs = None, None
-    for r in range(hub_rounds):
-        now = _roots(found, lists)
-        mixed = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-        now = now.join(mixed.select("key"), "key", "left_semi")
-        if hubs is not None:                                             # a hub serves once in a list
-            now = now.join(hubs, ["key"], "left")
-            pick = now.where("hub_comp is null or comp <> hub_comp")
-        else:
-            pick = now
-        hub = pick.groupBy("key").agg(F.max(F.struct("score", "cid", "comp")).alias("h")).select(
-            "key", F.col("h.cid").alias("hub"), F.col("h.comp").alias("hc"))
-        pairs = (now.select("key", "cid", "comp").join(hub, "key").where("comp <> hc")
-                 .select(F.least("cid", "hub").alias("a"), F.greatest("cid", "hub").alias("b")).distinct())
-        good = saved(_confirmed(pairs, active, sets, percent), f"mh-links-{r}")
-        hubs = hub.select("key", F.col("hc").alias("hub_comp"))
-        found = good if found is None else saved(found.union(good).distinct(), "mh-found")
-
-    now = _roots(found, lists)
-    mixed = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-    now = saved(now.join(mixed.select("key"), "key", "left_semi"), "mh-open")
-    short = now.where(f"len <= {SHORT}").select("key", "cid", "comp")
-    right = short.toDF("key", "cid2", "comp2")
-    near = (short.join(right, "key").where("cid < cid2 and comp <> comp2")
-            .select(F.col("cid").alias("a"), F.col("cid2").alias("b")))
-    blocks = (now.where(f"len > {SHORT}").join(active.select("cid", "sig"), "cid")
-              .withColumn("nb", F.expr(f"cast(ceil(len / {BLOCK}) as int)"))
-              .withColumn("blk", F.expr("pmod(xxhash64(cid), nb)"))
-              .withColumn("o", F.explode(F.expr("sequence(0, nb - 1)")))
-              .select("key", "cid", "comp", "sig", F.least("blk", "o").alias("bi"), F.greatest("blk", "o").alias("bj"),
-                      F.expr("case when blk = o then 0 when blk < o then 1 else 2 end").alias("side")))
-    far = blocks.groupBy("key", "bi", "bj").applyInArrow(_block_iter, "a long, b long")
-    rest = saved(_confirmed(near.union(far).distinct(), active, sets, percent), "mh-rest")
-    return found.union(rest) if found is not None else rest
-
-
-def _block_iter(t: pa.Table) -> pa.Table:
-    out = list(_block_pairs(iter(t.to_batches())))
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    return pa.Table.from_batches(out, schema) if out else schema.empty_table()
+    sets = saved(sets.where("cid = own").select("cid", "items").dropDuplicates(["cid"]), "mh-sets")
+
+    def far(rows: DataFrame) -> DataFrame:
+        long = rows.drop("len").join(lists.select("key", "id", "o", "len", "items"), ["key", "id"])
+        long = ls.block_pairs(long, f"greatest(ceil(len / {BLOCK}), ceil(items / {BLOCK_ITEMS}))").drop("items")
+        full = long.join(prof.select("id", "prof"), "id").join(sets.withColumnRenamed("cid", "id"), "id")
+        return full.groupBy("key", "bi", "bj").applyInArrow(_block_links(percent), "a long, b long")
+
+    return ls.connect(lists.select("key", "id", "score", "len"), lambda pairs: _confirmed(pairs, active, sets, percent),
+                      far, hub_rounds, SHORT, "mh")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, doc: str = "doc_id",
-                    text: str = "text", hub_rounds: int = 2) -> DataFrame:
+                    text: str = "text", hub_rounds: int = 1) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of `docs`.
 
     Texts are linked when their sets of `width`-word shingles (A-Z

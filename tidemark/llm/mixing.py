@@ -100,9 +100,14 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = 6
     quota = quotas(weights, max(period, 4 * len(sizes)))
     slots = spark.createDataFrame([(s, i, t, quota[s]) for s, i, t in period_slots(quota)],
                                   "src string, i long, t long, q long")
-    first = bins.withColumn("first", F.sum("n").over(
-        Window.partitionBy("src").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)))
-    first = first.select("src", "bin", F.coalesce("first", F.lit(0)).alias("first"))
+    # running totals in two levels, 256 coarse bins of 256: no task sees more than 256 rows of a source at once
+    before = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    coarse = F.shiftright(F.col("bin"), 8)
+    start = (bins.groupBy("src", coarse.alias("bin")).agg(F.sum("n").alias("n"))
+             .select("src", F.col("bin").alias("c"), F.coalesce(F.sum("n").over(before.partitionBy("src")), F.lit(0)).alias("base")))
+    first = (bins.withColumn("c", coarse)
+             .withColumn("own", F.coalesce(F.sum("n").over(before.partitionBy("src", "c")), F.lit(0)))
+             .join(start, ["src", "c"]).select("src", "bin", (F.col("base") + F.col("own")).alias("first")))
     placed = (keyed.withColumn("rn", F.row_number().over(Window.partitionBy("src", "bin").orderBy("h")))
               .join(first, ["src", "bin"])
               .withColumn("at", F.col("first") + F.col("rn") - 1)
