@@ -34,12 +34,11 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_every_query_has_doc_and_oracle_or_reason():
     sql = contract.oracle_sql()
-    no_sql = {"stream_rise_alerts"}   # repeated alerts: a timer state machine, no SQL form
     for name, fn in contract.queries().items():
         assert fn.__doc__, name
         if name not in QUERIES:
             continue
-        assert name in sql or name in no_sql, name
+        assert name in sql, name
 
 
 def test_entry_smoke(spark):

@@ -44,7 +44,7 @@ def test_text_stream_word_count(spark, scratch):
     import os
     os.makedirs(f"{scratch}/in")
     with open(f"{scratch}/in/a.txt", "w") as fh:
-        fh.write("hello flink\nhello  scala\n")
+        fh.write("hello spring\nhello  summer\n")
     lines = text.stream_lines(spark, f"{scratch}/in")
     words = lines.select(F.explode(F.split("value", "[ \t\n\x0B\f\r]")).alias("word")) \
         .filter(F.length("word") > 0)
@@ -53,7 +53,7 @@ def test_text_stream_word_count(spark, scratch):
                .option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start())
     q.awaitTermination()
     out = spark.table("wc_stream")
-    assert {r["word"]: r["count"] for r in out.collect()} == {"hello": 2, "flink": 1, "scala": 1}
+    assert {r["word"]: r["count"] for r in out.collect()} == {"hello": 2, "spring": 1, "summer": 1}
 
 
 def test_collection_text_file_and_table(spark, scratch):
@@ -64,6 +64,6 @@ def test_collection_text_file_and_table(spark, scratch):
     got = spark.sql("SELECT id FROM water_sensor WHERE vc > 44").collect()
     assert [r["id"] for r in got] == ["ws_001"]
     with open(f"{scratch}/hello.txt", "w") as fh:
-        fh.write("hello flink\nhello scala\n")
+        fh.write("hello spring\nhello summer\n")
     assert [r["value"] for r in text.read_lines(spark, f"{scratch}/hello.txt").collect()] == \
-        ["hello flink", "hello scala"]
+        ["hello spring", "hello summer"]

@@ -4,7 +4,7 @@ DataFrame plans.  The streaming forms live in `tidemark.streaming.stateful`.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import day_start
@@ -29,7 +29,14 @@ def repeated_failure(df: DataFrame, keys: list[str], ts: str, seq: str, is_fail:
     ref = F.struct(F.col(ts).alias("ts"), F.col(seq).alias("seq"))
     order = [F.col(ts), F.col(seq)]
     if mode == "first":
-        out = scan.running(fails, keys, order, {"__r": ("first", ref)}, frame="before", **kw)
+        # one row per key with a map-side combined minimum, joined back; the
+        # key's first failure is not its own predecessor
+        low = fails.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(
+            F.min(F.struct(F.col(ts).alias("ts"), F.col(seq).alias("seq"))).alias("__r"))
+        same = F.lit(True)
+        for i, k in enumerate(keys):
+            same &= F.col(k).eqNullSafe(F.col(f"__k{i}"))
+        out = fails.join(low, same).where(F.struct(F.col(ts).alias("ts"), F.col(seq).alias("seq")) > F.col("__r"))
     elif mode == "previous":
         out = scan.previous(fails, keys, order, {"__r": ref}, **kw)
     else:
@@ -40,17 +47,20 @@ def repeated_failure(df: DataFrame, keys: list[str], ts: str, seq: str, is_fail:
 
 
 def daily_cap(df: DataFrame, keys: list[str], ts: str, seq: str, cap: int,
-              alarm_scope: str = "lifetime", **kw) -> tuple[DataFrame, DataFrame]:
+              alarm_scope: str = "lifetime") -> tuple[DataFrame, DataFrame]:
     """K7: per key and UTC day, the first `cap` rows pass; later ones are
     held back.  One alarm per key at its first held-back row
     (alarm_scope="lifetime", the reference's never-cleared flag) or one per
     key and day (alarm_scope="day").  Returns (passed rows, alarms).
 
-    The per-day row number is a chunked running count, so a key with a
-    third of a day's clicks still spreads over hourly chunks."""
+    Only the first `cap` + 1 rows of a key and day matter, so the row number
+    is filtered by that bound: Spark then keeps at most `cap` + 1 rows per
+    key, day and task before the one exchange (`WindowGroupLimit`), and a
+    click-abuse key ships no more than that."""
     day = day_start(F.col(ts))
     base = df.withColumn("__day", day)
-    numbered = scan.row_number(base, keys + ["__day"], [F.col(ts), F.col(seq)], name="__n", **kw)
+    w = Window.partitionBy(*keys, "__day").orderBy(F.col(ts), F.col(seq))
+    numbered = base.withColumn("__n", F.row_number().over(w)).filter(F.col("__n") <= cap + 1)
     passed = numbered.filter(F.col("__n") <= cap).drop("__n", "__day")
     over = numbered.filter(F.col("__n") == cap + 1)
     scope = keys + (["__day"] if alarm_scope == "day" else [])

@@ -20,9 +20,9 @@ from tidemark.functions import bucket_number
 
 
 def interval_join(left: DataFrame, right: DataFrame, on: list[str], left_ts: str, right_ts: str,
-                  lower_s: int, upper_s: int, how: str = "inner") -> DataFrame:
-    """Columns of both sides are kept; give them distinct names first
-    (except the `on` keys, which appear once)."""
+                  lower_s: int, upper_s: int) -> DataFrame:
+    """Inner join.  Columns of both sides are kept; give them distinct names
+    first (except the `on` keys, which appear once)."""
     if lower_s > upper_s:
         raise ValueError("lower bound above upper bound")
     width = max(upper_s - lower_s, 1)
@@ -35,7 +35,7 @@ def interval_join(left: DataFrame, right: DataFrame, on: list[str], left_ts: str
     l_hi = lb[left_ts] + F.expr(f"INTERVAL {int(upper_s)} SECONDS")
     cond = [lb[k] == rb[k] for k in on] + [lb["__b"] == rb["__b"],
                                            rb[right_ts] >= l_lo, rb[right_ts] <= l_hi]
-    j = lb.join(rb, cond, how)
+    j = lb.join(rb, cond)
     keep = [lb[k].alias(k) for k in on] + \
         [lb[c] for c in left.columns if c not in on] + \
         [rb[c] for c in right.columns if c not in on]

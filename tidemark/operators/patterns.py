@@ -84,14 +84,17 @@ def sustained_rise_first(df: DataFrame, keys: list[str], ts: str, seq: str, of:
     (a reading below the previous one).  In a run the first rise (a reading
     above the previous one; the first reading is compared with `initial`)
     starts a timer; it fires at start + interval unless the next fall comes
-    at or before that time.  Output: key columns, start_seq, start_ts, alert_ts.
+    at or before that time.  A null reading is neither a rise nor a fall, and
+    nor is the reading after it.  Output: key columns, start_seq, start_ts,
+    alert_ts.
 
     Repeated alerts inside one run need the timer state machine: see
     `tidemark.streaming.stateful.RiseTimer`."""
     names = list(keys)
     order = [F.col(ts), F.col(seq)]
-    prev = scan.previous(df.select(*names, ts, seq, of), names, order, {"__last": F.col(of)}, **kw)
-    last = F.coalesce(F.col("__last"), F.lit(float(initial)))
+    prev = scan.previous(df.select(*names, ts, seq, of), names, order,
+                         {"__last": F.struct(F.col(of).alias("v"))}, **kw)
+    last = F.when(F.col("__last").isNull(), F.lit(float(initial))).otherwise(F.col("__last.v"))
     marked = scan.materialize(
         prev.select(*names, ts, seq, (F.col(of) > last).alias("__rise"),
                     (F.col(of) < last).alias("__fall")), "rise-marks")

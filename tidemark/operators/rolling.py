@@ -53,9 +53,13 @@ def change_alert(df: DataFrame, keys, order, of: str, threshold: float,
                  initial: float | None = 0.0, **kw) -> DataFrame:
     """Compare each reading with the key's previous one (the first with
     `initial`, default 0.0 as in the reference).  If |cur - last| >
-    threshold emit (last, cur), else (0.0, 0.0).  One output per input."""
-    prev = scan.previous(df, keys, order, {"__last": F.col(of)}, **kw)
-    last = F.col("__last") if initial is None else F.coalesce(F.col("__last"), F.lit(float(initial)))
+    threshold emit (last, cur), else (0.0, 0.0).  One output per input.
+    A null reading raises no alert and is the previous reading of the next
+    row, which raises none either."""
+    prev = scan.previous(df, keys, order, {"__last": F.struct(F.col(of).alias("v"))}, **kw)
+    last = F.col("__last.v")
+    if initial is not None:
+        last = F.when(F.col("__last").isNull(), F.lit(float(initial))).otherwise(last)
     hit = F.abs(F.col(of) - last) > F.lit(float(threshold))
     return prev.select(*df.columns,
                        F.when(hit, last).otherwise(F.lit(0.0)).alias("last_value"),

@@ -65,17 +65,14 @@ def _summary(kind: str, c: Column, order_key: Column) -> Column:
     return F.max_by(c, ok)
 
 
-def _carry(kind: str, c: Column, w) -> Column:
-    """Combine summaries of earlier (or later) chunks."""
-    if kind in ("sum", "count"):
-        return F.sum(c).over(w)
-    if kind == "min":
-        return F.min(c).over(w)
-    if kind == "max":
-        return F.max(c).over(w)
-    if kind == "first":
-        return F.first(c, ignorenulls=True).over(w)
-    return F.last(c, ignorenulls=True).over(w)
+def _over(kind: str, c: Column, part: list, order: list[Column], frame: str) -> Column:
+    """Aggregate over a frame.  Frames of later rows run over the reversed
+    order, because Spark grows a frame that starts at the partition's end row
+    by row but recomputes one that ends there for every row."""
+    if frame in _REVERSED:
+        kind, frame = _SWAPPED.get(kind, kind), _REVERSED[frame]
+        order = [o.desc() for o in order]
+    return _within(kind, c, _W.partitionBy(*part).orderBy(*order).rowsBetween(*_FRAMES[frame]))
 
 
 def _combine(kind: str, inner: Column, carried: Column, forward: bool) -> Column:
@@ -95,10 +92,10 @@ def _combine(kind: str, inner: Column, carried: Column, forward: bool) -> Column
 
 
 _FRAMES = {"upto": (_W.unboundedPreceding, _W.currentRow),
-           "before": (_W.unboundedPreceding, -1),
-           "from": (_W.currentRow, _W.unboundedFollowing),
-           "after": (1, _W.unboundedFollowing)}
-
+           "before": (_W.unboundedPreceding, -1)}
+# Frames of later rows, as frames of the reversed order.
+_REVERSED = {"from": "upto", "after": "before"}
+_SWAPPED = {"first": "last", "last": "first"}
 
 # How summaries of earlier (later) chunks combine, as a running aggregate.
 _CARRY_KIND = {"sum": "sum", "count": "sum", "min": "min", "max": "max",
@@ -136,8 +133,7 @@ def running(df: DataFrame, keys, order, aggs: dict[str, tuple],
     kcol = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)]) if keys else F.lit(0)
     base = df.select("*", kcol.alias("__key"), chunk.alias(_CHUNK))
     part = [F.col("__key"), F.col(_CHUNK)]
-    w_part = _W.partitionBy(*part).orderBy(*order)
-    inner = base.select("*", *[_within(k, c, w_part.rowsBetween(*_FRAMES[f])).alias(f"__in_{n}")
+    inner = base.select("*", *[_over(k, c, part, order, f).alias(f"__in_{n}")
                                for n, (k, c, f) in specs.items()])
 
     order_key = F.struct(*order)
@@ -162,12 +158,10 @@ def running(df: DataFrame, keys, order, aggs: dict[str, tuple],
         carried = up.select(F.col("__lkey").alias("__ckey"), F.col("__lchunk").alias("__cchunk"),
                             *[f"__p_{n}" for n in specs])
     else:
-        w_ch = _W.partitionBy("__key").orderBy(F.col(_CHUNK))
-        w_prev = w_ch.rowsBetween(_W.unboundedPreceding, -1)
-        w_next = w_ch.rowsBetween(1, _W.unboundedFollowing)
         carried = summ.select(
             F.col("__key").alias("__ckey"), F.col(_CHUNK).alias("__cchunk"),
-            *[_carry(k, F.col(f"__s_{n}"), w_next if f in ("from", "after") else w_prev)
+            *[_over(_CARRY_KIND[k], F.col(f"__s_{n}"), ["__key"], [F.col(_CHUNK)],
+                    "after" if f in ("from", "after") else "before")
               .alias(f"__p_{n}") for n, (k, _, f) in specs.items()])
 
     joined = inner.join(carried, (F.col("__key") == F.col("__ckey")) &

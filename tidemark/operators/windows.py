@@ -21,8 +21,10 @@ _UNITS = {"s": 1, "sec": 1, "second": 1, "seconds": 1, "m": 60, "min": 60, "minu
 
 
 def seconds(d: int | str) -> int:
-    """'1 hour' / '5 minutes' / 300 -> seconds."""
+    """'1 hour' / '5 minutes' / 300 -> seconds; fractions of a second are refused."""
     if isinstance(d, (int, float)):
+        if d != int(d) or d <= 0:
+            raise ValueError(f"a duration is a positive whole number of seconds, not {d!r}")
         return int(d)
     m = re.fullmatch(r"\s*(\d+)\s*([a-zA-Z]+)\s*", d)
     if not m or m.group(2).lower() not in _UNITS:

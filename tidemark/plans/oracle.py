@@ -150,14 +150,14 @@ m AS (SELECT user_id, seq,
 SELECT user_id, seq, r.v AS min_value, r.s AS min_seq, r.t AS min_ts, r.i AS min_item_id FROM m"""
 
 SQL["prev_change_alert"] = f"""WITH {B},
-x AS (SELECT user_id, seq, value, coalesce(lag(value) OVER {ORD}, 0.0) AS last FROM b)
+x AS (SELECT user_id, seq, value, lag(value, 1, 0.0) OVER {ORD} AS last FROM b)
 SELECT user_id, seq,
        CASE WHEN abs(value - last) > 10 THEN last ELSE 0.0 END AS last_value,
        CASE WHEN abs(value - last) > 10 THEN value ELSE 0.0 END AS cur_value
 FROM x"""
 
 SQL["sustained_rise_first"] = f"""WITH {B},
-x AS (SELECT user_id, seq, ts, value, coalesce(lag(value) OVER {ORD}, 0.0) AS last FROM b),
+x AS (SELECT user_id, seq, ts, value, lag(value, 1, 0.0) OVER {ORD} AS last FROM b),
 z AS (SELECT *, value > last AS rise, value < last AS fall,
              sum(CASE WHEN value < last THEN 1 ELSE 0 END) OVER {RUN} AS run FROM x),
 r AS (SELECT *, row_number() OVER (PARTITION BY user_id, run ORDER BY ts, seq) AS rn
@@ -166,6 +166,24 @@ SELECT r.user_id, r.seq AS start_seq, r.ts AS start_ts, r.ts + INTERVAL 43200 SE
 FROM r LEFT JOIN z f ON f.user_id = r.user_id AND f.fall AND f.run = r.run + 1
 WHERE r.rn = 1 AND (f.ts IS NULL OR f.ts > r.ts + INTERVAL 43200 SECOND)"""
 
+# every alert of the rise timer: d is the pending deadline after row n of a user
+SQL["stream_rise_alerts"] = f"""WITH RECURSIVE {B},
+o AS (SELECT user_id, ts, value, lag(value, 1, 0.0) OVER {ORD} AS last, row_number() OVER {ORD} AS n FROM b),
+w(user_id, n, d, alert) AS (
+  SELECT DISTINCT user_id, CAST(0 AS BIGINT), CAST(NULL AS TIMESTAMP), CAST(NULL AS TIMESTAMP) FROM o
+  UNION ALL
+  SELECT o.user_id, o.n,
+         CASE WHEN o.value < o.last THEN NULL
+              WHEN o.value > o.last AND (w.d IS NULL OR w.d < o.ts) THEN o.ts + INTERVAL 43200 SECOND
+              WHEN w.d < o.ts THEN NULL ELSE w.d END,
+         CASE WHEN w.d < o.ts THEN w.d END
+  FROM w JOIN o ON o.user_id = w.user_id AND o.n = w.n + 1),
+z AS (SELECT user_id, max(n) AS n FROM o GROUP BY user_id),
+a AS (SELECT user_id, alert AS alert_ts FROM w WHERE alert IS NOT NULL
+      UNION ALL
+      SELECT w.user_id, w.d FROM w JOIN z ON z.user_id = w.user_id AND z.n = w.n WHERE w.d IS NOT NULL)
+SELECT user_id, alert_ts - INTERVAL 43200 SECOND AS start_ts, alert_ts FROM a"""
+
 # ---------------------------------------------------------------- joins
 PAIRS = f"""WITH {B}
 SELECT c.user_id, c.seq AS click_seq, p.seq AS purchase_seq, c.ts AS click_ts, p.ts AS purchase_ts

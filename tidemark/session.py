@@ -8,6 +8,7 @@ executor and in the DuckDB oracle.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -44,6 +45,7 @@ def get_session(master: str | None = None, app: str = "tidemark",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -55,18 +57,39 @@ def apply_conf(spark: SparkSession) -> SparkSession:
               "spark.sql.streaming.stateStore.providerClass"):
         spark.conf.set(k, BASE_CONF[k])
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application: the keyed
+    stream processors are unpickled there, and the driver's working folder or
+    PYTHONPATH need not exist on them."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        here = os.path.dirname(os.path.abspath(__file__))
+        name = os.path.basename(here)
+        sc.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix=f"{name}-pkg-"), name), "zip",
+                                         os.path.dirname(here), name))
+        _shipped.add(sc.applicationId)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by `spark.checkpoint.dir`.
 
     On a cluster this setting names a shared file system folder and is
-    only read here.  Only when it is unset (local runs, tests) do we pick a
-    fresh scratch folder of our own.
+    only read here.  When it is unset, a local session gets a fresh scratch
+    folder; any other raises an error, because executors would write to disks
+    of their own.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -90,22 +90,31 @@ def decode_lines(lines: DataFrame, schema: str | T.StructType, sep: str = ",",
     return lines.select(*cols)
 
 
-def decode_access_log(lines: DataFrame, col: str = "value",
+def decode_access_log(lines: DataFrame, col: str = "value", on_error: str = "null",
                       keep: list[str] | None = None) -> DataFrame:
     """Space-separated web access log -> ip, user_id, event_time, method, url.
 
     Fields 0, 1, 3, 5, 6; field 3 is `dd/MM/yyyy:HH:mm:ss` in UTC (a leading
     `[` is tolerated).  The reference's pattern lacks the minutes field; we
-    read the minutes (quirk Q6)."""
+    read the minutes (quirk Q6).
+
+    A short line has null in the fields it lacks; on_error="reject" also adds
+    `_bad` = true for a line without all seven fields, on_error="fail" raises
+    for it."""
     p = F.split(F.col(col), " ", -1)
-    when = F.regexp_replace(p.getItem(3), r"^\[", "")
+    short = F.size(p) < 7
+    if on_error == "fail":
+        p = F.when(short, F.raise_error(F.concat(F.lit("short access log line: "), F.col(col)))
+                   .cast("array<string>")).otherwise(p)
+    when = F.regexp_replace(F.get(p, 3), r"^\[", "")
     return lines.select(
         *[F.col(k) for k in (keep or [])],
-        p.getItem(0).alias("ip"),
-        p.getItem(1).alias("user_id"),
+        F.get(p, 0).alias("ip"),
+        F.get(p, 1).alias("user_id"),
         parse_access_time(when).alias("event_time"),
-        p.getItem(5).alias("method"),
-        p.getItem(6).alias("url"),
+        F.get(p, 5).alias("method"),
+        F.get(p, 6).alias("url"),
+        *([short.alias("_bad")] if on_error == "reject" else []),
     )
 
 

@@ -1,13 +1,18 @@
 """Running Structured Streaming queries.
 
 * `stream_table`  a file stream over one of the driver's Parquet tables.
-* `flushed`       adds the end-of-input flush: a one-row file with an event
-                  time far in the future.  The reference's bounded file source
-                  ends with a final watermark that closes every window; Spark's
+* `EndOfInput`    the end-of-input flush: a one-row file with an event time
+                  far in the future.  The reference's bounded file source ends
+                  with a final watermark that closes every window; Spark's
                   `availableNow` run stops with the last window still open.
-                  The flush row moves the watermark past every real window; its
-                  own window never closes, so it is never emitted.  Keyed
-                  stateful operators skip it (`is_flush`).
+                  `run_to_table(..., end=...)` drains the data in as many
+                  micro-batches as it takes, then writes the flush row and
+                  drains again on the same checkpoint.  The flush row moves the
+                  watermark past every real window; its own window never
+                  closes, so it is never emitted.  Keyed stateful operators
+                  skip it (`is_flush`).  The checkpoint is then marked as
+                  ended, and a later start on it raises an error instead of
+                  dropping new rows as late.
 * `keep`          a filter that always lets the flush row through.  Spark
                   pushes filters that do not mention the event-time column
                   below the watermark, which would hide the flush row from it.
@@ -41,39 +46,36 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str,
     return r.parquet(f"{sf_dir.rstrip('/')}/{name[:-1]}[{name[-1]}].parquet")
 
 
-def write_flush(spark: SparkSession, schema: T.StructType, ts: str,
-                folder: str | None = None) -> str:
-    """Write the one-row flush file (all columns null but `ts`).  With a
-    folder, the file is added to it as its newest file, so a rate-limited
-    file stream (which reads oldest files first) reads it last."""
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
-    row = {f.name: None for f in schema.fields}
-    row[ts] = FLUSH_TS
-    path = scratch_path(spark, "flush")
-    spark.createDataFrame([row], schema).coalesce(1).write.parquet(path)
-    if folder is None:
-        return path
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = fs_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    for st in fs.listStatus(fs_path):
-        name = st.getPath().getName()
-        if name.endswith(".parquet"):
-            fs.rename(st.getPath(), spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/zz-flush-{name}"))
-    return folder
-
-
-def flushed(spark: SparkSession, stream: DataFrame, ts: str, delay: str = "0 seconds") -> DataFrame:
-    """Union the stream with the flush row, then set the watermark
-    (`delay` = allowed out-of-orderness; "0 seconds" = ascending time).
-
-    The flush row sits in its own source, read in the first micro-batch:
-    right for `availableNow` runs that take the whole input in one batch.
-    With `maxFilesPerTrigger`, put the flush file into the source folder
-    instead (`write_flush(..., folder)`) and only set the watermark."""
-    flush = spark.readStream.schema(
-        T.StructType([T.StructField(f.name, f.dataType, True) for f in stream.schema.fields])
-    ).parquet(write_flush(spark, stream.schema, ts))
-    return stream.unionByName(flush).withWatermark(ts, delay)
+def _path(spark: SparkSession, path: str):
+    """(file system, path) of a path in any store that Spark can reach."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+class EndOfInput:
+    """End of a bounded stream: a source of its own, empty while the data is
+    drained, that receives the flush row once all of it has been read
+    (`run_to_table(..., end=...)`).  The flush row never sits in a folder of
+    the user's."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder, self.schema, self.ts = spark, scratch_path(spark, "flush"), None, None
+        fs, p = _path(spark, self.folder)
+        fs.mkdirs(p)
+
+    def attach(self, stream: DataFrame, ts: str, delay: str = "0 seconds") -> DataFrame:
+        """The stream with this end, and the watermark (`delay` =
+        allowed out-of-orderness; "0 seconds" = ascending time)."""
+        self.ts = ts
+        self.schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in stream.schema.fields])
+        flush = self.spark.readStream.schema(self.schema).parquet(self.folder)
+        return stream.unionByName(flush).withWatermark(ts, delay)
+
+    def close(self) -> None:
+        """Write the flush row (all columns null but the event time)."""
+        row = {f.name: None for f in self.schema.fields}
+        row[self.ts] = FLUSH_TS
+        self.spark.createDataFrame([row], self.schema).coalesce(1).write.mode("append").parquet(self.folder)
 
 
 def is_flush(ts: str = "ts") -> Column:
@@ -85,33 +87,8 @@ def keep(cond: Column, ts: str = "ts") -> Column:
     return cond | is_flush(ts)
 
 
-# Input bytes per state partition when a stream's state partitions are sized
-# from its input (`state_partitions`).
-BYTES_PER_STATE_PARTITION = 256 << 20
-
-
-def input_bytes(spark: SparkSession, *paths: str) -> int:
-    """Total size of the files under the given paths (globs allowed)."""
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    total = 0
-    for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        fs = hp.getFileSystem(conf)
-        for st in fs.globStatus(hp) or []:
-            total += fs.getContentSummary(st.getPath()).getLength()
-    return total
-
-
-def state_partitions(spark: SparkSession, *paths: str) -> int:
-    """State partitions for a stream over these inputs: one per
-    BYTES_PER_STATE_PARTITION of input, at least the default parallelism,
-    at most the session's `spark.sql.shuffle.partitions`.  (A stream's state
-    partition count is fixed when its checkpoint is created, and AQE does not
-    coalesce stateful stages, so it is sized up front.)"""
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    want = -(-input_bytes(spark, *paths) // BYTES_PER_STATE_PARTITION)
-    return max(1, min(cap, max(spark.sparkContext.defaultParallelism, want)))
+def _ended(spark: SparkSession, checkpoint: str):
+    return _path(spark, f"{checkpoint.rstrip('/')}/_end_of_input")
 
 
 def run_stream(df: DataFrame, name: str, path: str | None = None, mode: str = "append",
@@ -121,11 +98,17 @@ def run_stream(df: DataFrame, name: str, path: str | None = None, mode: str = "a
     checkpoint resumes where the last run stopped (exactly-once file sink).
     trigger=None -> availableNow (drain what is there, then stop);
     trigger="5 seconds" -> processing-time micro-batches.
-    `partitions` sets the shuffle / state partitions of a new checkpoint; the
-    session setting is restored once the query has started."""
+    `partitions` sets the shuffle / state partitions of a new checkpoint
+    (fixed for its life, so give it the size of the live state; default: the
+    session's `spark.sql.shuffle.partitions`); the session setting is restored
+    once the query has started."""
     spark = df.sparkSession
     checkpoint = checkpoint or scratch_path(spark, f"ckpt-{name}")
-    w = (df.writeStream.queryName(name).outputMode(mode).format(fmt)
+    fs, marker = _ended(spark, checkpoint)
+    if fs.exists(marker):
+        raise ValueError(f"{checkpoint} has passed its end of input: its watermark would drop every new row; "
+                         "start with a new checkpoint")
+    w =(df.writeStream.queryName(name).outputMode(mode).format(fmt)
            .option("checkpointLocation", checkpoint))
     if path:
         w = w.option("path", path)
@@ -142,15 +125,22 @@ def run_stream(df: DataFrame, name: str, path: str | None = None, mode: str = "a
 
 def run_to_table(df: DataFrame, name: str, mode: str = "append",
                  path: str | None = None, checkpoint: str | None = None,
-                 drain: str = "availableNow", partitions: int | None = None) -> DataFrame:
+                 drain: str = "availableNow", partitions: int | None = None,
+                 end: EndOfInput | None = None) -> DataFrame:
     """Drain a stream into a Parquet folder and read the result back as a
     batch DataFrame (used by the registered stream twins and the tests).
+    With `end` (attached to the stream) it is drained again after its flush
+    row, and the checkpoint is marked as ended.
 
     drain="availableNow"  one `availableNow` run (file sources)
     drain="all"           micro-batches until the source reports nothing new
                           (sources whose reader hands out one batch per call)"""
     spark = df.sparkSession
     path = path or scratch_path(spark, f"out-{name}")
+    checkpoint = checkpoint or scratch_path(spark, f"ckpt-{name}")
+    if end is not None:
+        run_stream(df, name, path, mode, "parquet", checkpoint, partitions=partitions).awaitTermination()
+        end.close()
     if drain == "all":
         q = run_stream(df, name, path, mode, "parquet", checkpoint, trigger="0 seconds",
                        partitions=partitions)
@@ -161,6 +151,9 @@ def run_to_table(df: DataFrame, name: str, mode: str = "append",
     else:
         q = run_stream(df, name, path, mode, "parquet", checkpoint, partitions=partitions)
         q.awaitTermination()
+    if end is not None:
+        fs, marker = _ended(spark, checkpoint)
+        fs.create(marker).close()
     return spark.read.schema(df.schema).parquet(path)
 
 

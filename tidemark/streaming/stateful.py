@@ -312,6 +312,8 @@ class RiseTimer(OrderedProcessor):
     def on_row(self, s, ts_us, seq, fields):
         cur, last = fields[0], s[0]
         s[0] = cur
+        if cur is None or last is None:
+            return []          # a null reading is neither a rise nor a fall, nor is the one after it
         if cur > last and self._dl is None:
             self.set_deadline(ts_us + self.interval_us)
         elif cur < last:

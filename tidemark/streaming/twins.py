@@ -2,8 +2,8 @@
 
 Each function reads the driver's table as a file stream, runs the same
 operator as its batch twin on Structured Streaming (watermark, state store,
-checkpoint in the shared checkpoint folder), drains it with `availableNow`
-plus the flush row, and returns the committed output as a DataFrame with
+checkpoint in the shared checkpoint folder), drains it with `availableNow`,
+again after the flush row that ends the input, and returns the committed output as a DataFrame with
 the batch twin's columns.  The batch twin's oracle SQL therefore checks the
 stream too.
 """
@@ -17,25 +17,30 @@ from tidemark.functions import event_time, to_ntz
 from tidemark.operators import joins, windows
 from tidemark.sources.tables import behaviour_from
 from tidemark.streaming import stateful
-from tidemark.streaming.run import flushed, keep, run_to_table, state_partitions, stream_table
+from tidemark.streaming.run import EndOfInput, keep, run_to_table, stream_table
 
 HOUR, FIVE_MIN = 3600, 300
 
 
-def _drain(df: DataFrame, name: str, spark: SparkSession, sf_dir: str,
-           tables=("events",)) -> DataFrame:
-    """run_to_table with state partitions sized from the input tables."""
-    paths = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in tables]
-    return run_to_table(df, name, partitions=state_partitions(spark, *paths))
+def _state_partitions(spark: SparkSession) -> int:
+    """State partitions of a registered twin: `tidemark.stream.partitions`, by
+    default one per core of the cluster.  They are fixed for the life of a
+    checkpoint and AQE does not coalesce them, so a long-running stream should
+    set them for the state it will hold."""
+    return int(spark.conf.get("tidemark.stream.partitions", str(spark.sparkContext.defaultParallelism)))
 
 
-def behaviour_stream(spark: SparkSession, sf_dir: str, delay: str = "0 seconds") -> DataFrame:
-    return flushed(spark, behaviour_from(stream_table(spark, sf_dir, "events")), "ts", delay)
+def _drain(df: DataFrame, name: str, end: EndOfInput | None = None) -> DataFrame:
+    return run_to_table(df, name, partitions=_state_partitions(df.sparkSession), end=end)
 
 
-def _views(spark, sf_dir):
-    s = behaviour_stream(spark, sf_dir)
-    return s.filter(keep(F.col("behavior") == "view"))
+def behaviour_stream(spark: SparkSession, sf_dir: str, end: EndOfInput, delay: str = "0 seconds",
+                     max_files_per_trigger: int | None = None) -> DataFrame:
+    return end.attach(behaviour_from(stream_table(spark, sf_dir, "events", max_files_per_trigger)), "ts", delay)
+
+
+def _views(spark, sf_dir, end):
+    return behaviour_stream(spark, sf_dir, end).filter(keep(F.col("behavior") == "view"))
 
 
 def _ntz_window(df):
@@ -46,8 +51,9 @@ def _ntz_window(df):
 
 def stream_pv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3 on a stream: hourly page views, emitted when the hour closes."""
-    out = _drain(windows.tumbling_count(_views(spark, sf_dir), "ts", HOUR, name="pv"),
-                 "stream_pv", spark, sf_dir)
+    end = EndOfInput(spark)
+    out = _drain(windows.tumbling_count(_views(spark, sf_dir, end), "ts", HOUR, name="pv"),
+                 "stream_pv", end)
     return _ntz_window(out)
 
 
@@ -55,21 +61,23 @@ def stream_uv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4 on a stream: `count(distinct)` is not allowed on streams, so the
     (window, user) pairs are de-duplicated first (state per pair, evicted by
     the watermark) and then counted per window."""
-    v = _views(spark, sf_dir).select(F.window("ts", f"{HOUR} seconds").alias("window"),
+    end = EndOfInput(spark)
+    v = _views(spark, sf_dir, end).select(F.window("ts", f"{HOUR} seconds").alias("window"),
                                      "user_id", "ts")
     pairs = v.dropDuplicates(["window", "user_id"])
     out = pairs.groupBy("window").agg(F.count(F.lit(1)).alias("uv"))
     res = _drain(out.select(F.col("window.start").alias("window_start"),
                                   F.col("window.end").alias("window_end"), "uv"),
-                 "stream_uv", spark, sf_dir)
+                 "stream_uv", end)
     return _ntz_window(res)
 
 
 def stream_hop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5 on a stream: views per item on 1 h windows sliding by 5 min."""
-    counts = windows.sliding_count(_views(spark, sf_dir), "ts", HOUR, FIVE_MIN, ["item_id"],
+    end = EndOfInput(spark)
+    counts = windows.sliding_count(_views(spark, sf_dir, end), "ts", HOUR, FIVE_MIN, ["item_id"],
                                    name="click_count", expand="window")
-    out = _drain(counts, "stream_hop", spark, sf_dir)
+    out = _drain(counts, "stream_hop", end)
     return out.select("item_id", "click_count", to_ntz("window_end").alias("window_end"))
 
 
@@ -82,7 +90,8 @@ def stream_top(spark: SparkSession, sf_dir: str, n: int = 3, salts: int = 16) ->
     Step 2 spreads a window's key set over `salts` groups, so no state row
     holds every key of a busy window; step 3 holds salts x n candidates.
     Order: count desc, then item asc."""
-    v = _views(spark, sf_dir)
+    end = EndOfInput(spark)
+    v = _views(spark, sf_dir, end)
     w = F.window("ts", f"{HOUR} seconds", f"{FIVE_MIN} seconds")
     counts = v.groupBy(w.alias("window"), "item_id").agg(F.count(F.lit(1)).alias("click_count"))
     cand = F.struct((-F.col("click_count")).alias("neg"), F.col("item_id").alias("item_id"))
@@ -95,7 +104,7 @@ def stream_top(spark: SparkSession, sf_dir: str, n: int = 3, salts: int = 16) ->
     out = _drain(top.select("window_end", (F.col("pos") + 1).alias("rank"),
                                   F.col("e.item_id").alias("item_id"),
                                   (-F.col("e.neg")).alias("click_count")),
-                 "stream_top", spark, sf_dir)
+                 "stream_top", end)
     return out.select(to_ntz("window_end").alias("window_end"), F.col("rank").cast("int"),
                       "item_id", "click_count")
 
@@ -117,7 +126,7 @@ def stream_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the batch operator, bucketed by time, runs unchanged on the two streams
     j = joins.interval_join(clicks, buys, ["user_id"], "click_ts", "purchase_ts", -HOUR, HOUR)
     out = _drain(j.select("user_id", "click_seq", "purchase_seq",
-                          "click_ts", "purchase_ts"), "stream_interval_join", spark, sf_dir)
+                          "click_ts", "purchase_ts"), "stream_interval_join")
     return out.select("user_id", "click_seq", "purchase_seq",
                       to_ntz("click_ts").alias("click_ts"),
                       to_ntz("purchase_ts").alias("purchase_ts"))
@@ -125,19 +134,21 @@ def stream_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_prev_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     """N1 on a stream: value state per user (`ChangeAlert`)."""
-    s = behaviour_stream(spark, sf_dir)
+    end = EndOfInput(spark)
+    s = behaviour_stream(spark, sf_dir, end)
     out = stateful.apply(s, ["user_id"], stateful.ChangeAlert(["user_id"], 10.0),
                          "seq bigint, ts_us bigint, last_value double, cur_value double")
-    res = _drain(out, "stream_prev_change", spark, sf_dir)
+    res = _drain(out, "stream_prev_change", end)
     return res.select("user_id", "seq", "last_value", "cur_value")
 
 
 def _cap_stream(spark, sf_dir):
-    s = behaviour_stream(spark, sf_dir)
+    end = EndOfInput(spark)
+    s = behaviour_stream(spark, sf_dir, end)
     out = stateful.apply(s, ["user_id", "behavior"],
                          stateful.DailyCap(["user_id", "behavior"], cap=2),
                          "output string, seq bigint, ts_us bigint", fields=())
-    return _drain(out, "stream_cap", spark, sf_dir)
+    return _drain(out, "stream_cap", end)
 
 
 def stream_cap_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,16 +167,17 @@ def stream_order_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K9 on a stream: creates from the `orders` stream, pays from the
     `lineitem` stream (each line is a pay event; the earliest counts), one
     `OrderStatus` processor per order.  Returns the last verdict per order."""
+    end = EndOfInput(spark)
     creates = stream_table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"), event_time("o_orderdate").alias("ts"),
         F.lit(0).cast("bigint").alias("seq"), F.lit("create").alias("event_type"))
     pays = stream_table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"), event_time("l_shipdate").alias("ts"),
         F.lit(1).cast("bigint").alias("seq"), F.lit("pay").alias("event_type"))
-    s = flushed(spark, creates.unionByName(pays), "ts")
+    s = end.attach(creates.unionByName(pays), "ts")
     out = stateful.apply(s, ["order_id"], stateful.OrderStatus(["order_id"], 365 * 24 * HOUR),
                          "status string, create_us bigint, pay_us bigint, delay_s bigint, n bigint")
-    res = _drain(out, "stream_order_status", spark, sf_dir, ("orders", "lineitem"))
+    res = _drain(out, "stream_order_status", end)
     last = res.groupBy("order_id").agg(F.max_by(F.struct("status", "create_us", "pay_us",
                                                          "delay_s"), "n").alias("v"))
     return last.select("order_id", F.col("v.status").alias("status"),
@@ -177,22 +189,24 @@ def stream_order_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_rise_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5 on a stream, every alert (a run of rises can alert more than once):
     `RiseTimer` with an event-time timer per user, 12 h."""
-    s = behaviour_stream(spark, sf_dir)
+    end = EndOfInput(spark)
+    s = behaviour_stream(spark, sf_dir, end)
     out = stateful.apply(s, ["user_id"], stateful.RiseTimer(["user_id"], 12 * HOUR),
                          "start_us bigint, alert_us bigint")
-    res = _drain(out, "stream_rise_alerts", spark, sf_dir)
+    res = _drain(out, "stream_rise_alerts", end)
     return res.select("user_id", to_ntz(F.timestamp_micros("start_us")).alias("start_ts"),
                       to_ntz(F.timestamp_micros("alert_us")).alias("alert_ts"))
 
 
 def _followed_by_stream(spark, sf_dir):
-    s = behaviour_stream(spark, sf_dir)
+    end = EndOfInput(spark)
+    s = behaviour_stream(spark, sf_dir, end)
     s = s.select("user_id", "ts", "seq",
                  F.when(F.col("behavior") == "view", "a")
                   .when(F.col("behavior") == "purchase", "b").alias("kind"))
     out = stateful.apply(s, ["user_id"], stateful.FollowedBy(["user_id"], 24 * HOUR),
                          "output string, a_seq bigint, a_us bigint, b_seq bigint, b_us bigint")
-    return _drain(out, "stream_followed_by", spark, sf_dir)
+    return _drain(out, "stream_followed_by", end)
 
 
 def stream_followed_by(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,10 +227,11 @@ def stream_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_first_fail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6 on a stream: errors within a day of the user's first error
     (`RepeatedFailure` processor)."""
-    s = behaviour_stream(spark, sf_dir).filter(keep(F.col("behavior") == "error"))
+    end = EndOfInput(spark)
+    s = behaviour_stream(spark, sf_dir, end).filter(keep(F.col("behavior") == "error"))
     out = stateful.apply(s, ["user_id"], stateful.RepeatedFailure(["user_id"], 24 * HOUR),
                          "seq bigint, ts_us bigint, ref_seq bigint, ref_us bigint")
-    res = _drain(out, "stream_first_fail", spark, sf_dir)
+    res = _drain(out, "stream_first_fail", end)
     return res.select("user_id", "seq", to_ntz(F.timestamp_micros("ts_us")).alias("ts"),
                       "ref_seq", to_ntz(F.timestamp_micros("ref_us")).alias("ref_ts"))
 
@@ -236,9 +251,8 @@ def stream_wc(spark: SparkSession, sf_dir: str) -> DataFrame:
     def write(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(path)
 
-    parts = state_partitions(spark, f"{sf_dir.rstrip('/')}/documents.parquet")
     old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.shuffle.partitions", str(_state_partitions(spark)))
     try:
         q = (counts.writeStream.queryName("stream_wc").outputMode("complete")
                    .option("checkpointLocation", scratch_path(spark, "ckpt-stream_wc"))
