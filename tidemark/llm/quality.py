@@ -67,6 +67,7 @@ def _train(weights: np.ndarray | None, epochs: int):
         n = np.zeros(len(w0))
         z = -w0 * (BETA / ALPHA + L2) - np.sign(w0) * L1
         rows = []
+        t = t.sort_by([("text", "ascending"), ("y", "ascending")])       # rows arrive in any order
         y = t.column("y").to_numpy()
         for lo, hi, data, offs in ta.pieces(t.column("text")):
             idx, first = features(data, offs)
@@ -113,7 +114,8 @@ def fit(rows: DataFrame) -> np.ndarray:
     weights = None
     for _ in range(ROUNDS):
         got = (rows.groupBy("shard").applyInArrow(_train(weights, EPOCHS), "i int, w double")
-               .groupBy("i").agg(F.sum("w").alias("w")).toPandas())     # at most 2^BITS + 1 rows
+               .groupBy("i").agg(F.sum(F.col("w").cast("decimal(30,15)")).cast("double").alias("w"))  # same sum in any order
+               .toPandas())                                              # at most 2^BITS + 1 rows
         weights = np.zeros((1 << BITS) + 1, np.float32)
         weights[got["i"].to_numpy(np.int64)] = got["w"].to_numpy() / SHARDS
     return weights
