@@ -113,31 +113,43 @@ KNOWN = [
 ]
 
 
+# Any spelling of the table (all begin with a space); a text without one needs
+# none of its replacements.
+_ANY_SPELLING = " (?:" + "|".join(pattern[1:] for pattern, _ in EQUIVALENT) + ")"
+
+
+def _respelled(t: Column) -> Column:
+    for pattern, repl in EQUIVALENT:
+        t = F.regexp_replace(t, pattern, repl)
+    return t
+
+
 def canonical(text: Column) -> Column:
-    """Canonical form of a text; null stays null."""
-    t = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    """Canonical form of a text; null reads as empty.
+
+    The plain form is bound to a lambda's variable, so that it is worked out
+    once a text although it is looked at three times."""
+    t = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     t = F.regexp_replace(t, COPYRIGHT_LINE, " ")
     t = F.regexp_replace(F.concat(F.lit(" "), t, F.lit(" ")), r"[\x00-\x2F:-@\[-`{-\x7F]+", " ")
-    for pattern, repl in EQUIVALENT:
-        t = F.regexp_replace(t, pattern, repl)
-    return F.trim(t)
+    respelled = F.transform(F.array(t), lambda x: F.when(x.rlike(_ANY_SPELLING), _respelled(x)).otherwise(x))
+    return F.trim(F.element_at(respelled, 1))
 
 
 def digest(text: Column) -> Column:
-    """SHA-256 (hex) of the canonical form; null and texts that come out
-    empty have no digest."""
-    c = canonical(text)
-    return F.when(F.length(c) > 0, F.sha2(c, 256))
+    """SHA-256 (hex) of the canonical form.  Never null, so that a join on it
+    needs no filter that would work it out a second time."""
+    return F.coalesce(F.sha2(canonical(text), 256), F.lit(""))
 
 
 def known_digests(spark: SparkSession, known: list[tuple[str, str]] | DataFrame | None = None) -> DataFrame:
     """(digest, license_id), one row per digest; of several ids with one
-    canonical text the smallest stays.  `known` may be a table (license_id,
-    text) of any size."""
+    canonical text the smallest stays.  Texts that come out empty are no
+    licence.  `known` may be a table (license_id, text) of any size."""
     if not isinstance(known, DataFrame):
         known = spark.createDataFrame(known or KNOWN, "license_id string, text string")
     return (known.select(digest(F.col("text")).alias("digest"), "license_id")
-            .where("digest is not null").groupBy("digest").agg(F.min("license_id").alias("license_id")))
+            .where(F.col("digest") != F.sha2(F.lit(""), 256)).groupBy("digest").agg(F.min("license_id").alias("license_id")))
 
 
 def scan_texts(docs: DataFrame, known: DataFrame, text: str = "text", to: str = "license_id") -> DataFrame:
@@ -156,7 +168,6 @@ def scan_lines(docs: DataFrame, known: DataFrame, key: str = "doc_id", text: str
     """(key, license_id, n_lines): known notices found as single lines of the
     texts, with how often.  Rows with equal keys count together; a null key
     is a key of its own; null and empty texts have no line to match."""
-    lines = docs.select(F.col(key).alias("key"), F.explode_outer(F.split(F.col(text), "\n", -1)).alias("line"))
-    hit = (lines.select("key", digest(F.col("line")).alias("digest")).where("digest is not null")
-           .join(bounded_broadcast(known), "digest"))
+    lines = docs.select(F.col(key).alias("key"), F.explode(F.split(F.col(text), "\n", -1)).alias("line"))
+    hit = lines.select("key", digest(F.col("line")).alias("digest")).join(bounded_broadcast(known), "digest")
     return hit.groupBy(F.col("key").alias(key), "license_id").agg(F.count(F.lit(1)).alias("n_lines"))
