@@ -89,18 +89,39 @@ def segments(data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray] | None
     return {"key": h[anchor[lo]], "seg": seg, "text": text[lo], "lo": lo - offs[text[lo]], "n": n}
 
 
+def _again(name: np.ndarray, doc: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which rows have an earlier row (doc, at) of the same name; rows that
+    are wholly equal are one document's and count as one."""
+    order = np.lexsort((at, doc, name))
+    n, d, a = name[order], doc[order], at[order]
+    head = np.append(True, n[1:] != n[:-1])
+    first = np.maximum.accumulate(np.where(head, np.arange(len(n)), 0))
+    out = np.empty(len(n), bool)
+    out[order] = (d != d[first]) | (a != a[first])
+    return out
+
+
 def _segment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Segments of a batch.  One that has an earlier copy in its batch is a
+    repeat whatever else there is: it is marked and dealt out by a hash of its
+    place, so a passage that a third of all texts share sends its key's task
+    one row a batch, not one an occurrence."""
     for b in batches:
         doc, tie = b.column(0).to_numpy(), b.column(1).to_numpy()
+        found = []
         for lo, _, data, offs in ta.pieces(b.column(2)):
             s = segments(data, offs)
-            if s is None:
-                continue
-            row = lo + s["text"]
-            at = tie[row] << 39 | s["lo"] << 7 | (s["n"] - 1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(s["key"].view(np.int64)), pa.array(s["seg"].view(np.int64)), pa.array(doc[row]), pa.array(at)],
-                names=["key", "seg", "doc", "at"])
+            if s is not None:
+                row = lo + s["text"]
+                found.append((s["key"], s["seg"], doc[row], tie[row] << 39 | s["lo"] << 7 | (s["n"] - 1)))
+        if not found:
+            continue
+        key, seg, d, at = (np.concatenate(x) for x in zip(*found))
+        again = _again(ta.mix(key ^ ta.mix(seg ^ ta.MIX[21])), d, at)
+        spread = ta.mix(d.view(U) ^ ta.mix(at.view(U) ^ ta.MIX[22]))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.where(again, spread, key).view(np.int64)), pa.array(seg.view(np.int64)), pa.array(d), pa.array(at),
+             pa.array(again)], names=["key", "seg", "doc", "at", "again"])
 
 
 def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,16 +292,17 @@ def _source(docs: DataFrame, doc: str, text: str) -> DataFrame:
 
 def _repeating(docs: DataFrame, doc: str, text: str) -> DataFrame:
     """Segments whose key occurs more than once: (key, seg, doc, at, early,
-    mixed); early: the first occurrence of its segment."""
+    mixed); early: the first occurrence of its segment.  Those with an earlier
+    copy in their batch have a key of their own."""
     src = _source(docs, doc, text)
-    rows = src.where("length(text) > 0").mapInArrow(_segment_rows, "key long, seg long, doc long, at long")
-    same, key = Window.partitionBy("key", "seg"), Window.partitionBy("key")
+    rows = src.where("length(text) > 0").mapInArrow(_segment_rows, "key long, seg long, doc long, at long, again boolean")
+    same, key = Window.partitionBy("key", "seg", "again"), Window.partitionBy("key", "again")
     # one shuffle and one sort of narrow rows for both windows
-    rows = rows.repartition("key").withColumn("first", F.min(F.struct("doc", "at")).over(same))
+    rows = rows.repartition("key", "again").withColumn("first", F.min(F.struct("doc", "at")).over(same))
     rows = (rows.withColumn("n", F.count(F.lit(1)).over(key)).withColumn("lo", F.min("seg").over(key))
-            .withColumn("hi", F.max("seg").over(key)).where("n > 1"))
-    return rows.select("key", "seg", "doc", "at", F.expr("first.doc = doc and first.at = at").alias("early"),
-                       F.expr("lo <> hi").alias("mixed"))
+            .withColumn("hi", F.max("seg").over(key)).where("n > 1 or again"))
+    return rows.select("key", "seg", "doc", "at", F.expr("not again and first.doc = doc and first.at = at").alias("early"),
+                       F.expr("not again and lo <> hi").alias("mixed"))
 
 
 def _different(docs: DataFrame, repeating: DataFrame, doc: str, text: str) -> tuple[DataFrame, DataFrame]:
