@@ -47,3 +47,10 @@ def test_interval_join_pushes_both_sides(spark):
     assert any("EqualTo(event_type,click)" in s for s in scans)
     assert any("EqualTo(event_type,purchase)" in s for s in scans)
     assert all("props" not in s.split("ReadSchema")[1] for s in scans)
+
+
+def test_top_pages_expands_after_the_exchange(spark):
+    plan = _plan(spark, "top_pages")
+    assert plan.count("Exchange hashpartitioning") == 3     # slices, blocks, window ends
+    ends, rest = plan.split("Generate explode(sequence", 1)  # plans are printed from the result down
+    assert "Exchange hashpartitioning(__block" in rest and "Exchange hashpartitioning(__block" not in ends

@@ -60,7 +60,8 @@ def sliding_count(df: DataFrame, ts: str, size, slide, keys=(), name: str = "n",
 
     expand="slices" (batch default): count per (slide-wide slice, key) first,
     then give each slice count to the size/slide windows that contain it and
-    sum.  Each input row is touched once instead of size/slide times.
+    sum.  Each input row is touched once instead of size/slide times, and a
+    slice is shuffled at most twice.
     expand="window": Spark's own `window(ts, size, slide)` (used by streams).
     Output: window_start, window_end, keys..., name."""
     size_s, slide_s = seconds(size), seconds(slide)
@@ -78,12 +79,26 @@ def sliding_count(df: DataFrame, ts: str, size, slide, keys=(), name: str = "n",
     pre = (df.groupBy((us - F.pmod(us, F.lit(slide_us))).alias("__slice"), *keys)
              .agg(F.count(F.lit(1)).alias("__n")))
     key_names = [c for c in pre.columns if c not in ("__slice", "__n")]
-    exp = pre.select(F.explode(F.sequence(F.lit(1).cast("bigint"),
-                                          F.lit(size_s // slide_s).cast("bigint"))).alias("__i"),
-                     "__slice", *key_names, "__n")
-    end = F.col("__slice") + F.col("__i") * F.lit(slide_us).cast("bigint")
-    out = exp.groupBy(end.alias("__end"), *key_names).agg(F.sum("__n").alias(name))
-    return out.select(F.timestamp_micros(F.col("__end") - F.lit(size_s * 1_000_000))
+    # The last slices of the windows that hold a slice span less than two
+    # blocks of the window's size.  Slices are dealt out by (block, key), so
+    # they are expanded to windows after the exchange, and the sum per window
+    # needs no other.
+    size_us = size_s * 1_000_000
+    low, high = F.col("__slice"), F.col("__slice") + F.lit(size_us - slide_us).cast("bigint")
+
+    def block(us):
+        return F.floor((us - F.pmod(us, F.lit(size_us).cast("bigint"))) / F.lit(size_us)).cast("bigint")
+
+    dealt = (pre.select(F.explode(F.array_distinct(F.array(block(low), block(high)))).alias("__block"),
+                        "__slice", *key_names, "__n")
+             .repartition("__block", *key_names))
+    start = F.col("__block") * F.lit(size_us).cast("bigint")
+    last = F.sequence(F.greatest(low, start), F.least(high, start + F.lit(size_us - slide_us).cast("bigint")),
+                      F.lit(slide_us).cast("bigint"))
+    exp = dealt.select("__block", F.explode(last).alias("__last"), *key_names, "__n")
+    out = (exp.groupBy("__block", "__last", *key_names).agg(F.sum("__n").alias(name))
+           .withColumn("__end", F.col("__last") + F.lit(slide_us).cast("bigint")))
+    return out.select(F.timestamp_micros(F.col("__end") - F.lit(size_us).cast("bigint"))
                       .alias("window_start"),
                       F.timestamp_micros("__end").alias("window_end"), *key_names, name)
 
