@@ -72,3 +72,47 @@ def test_odd_rows(spark):
         mixing.quotas({"a": 0}, 5)
     with pytest.raises(ValueError):
         mixing.quotas({"a": 1, "b": 1}, 1)
+
+
+def unequal(n):
+    """20 sources, one with a third of n rows."""
+    return [(i, "big" if i % 3 == 0 else f"s{i % 19}") for i in range(n)]
+
+
+def test_mix_keeps_to_target_weights(spark):
+    rows = unequal(4000)
+    sizes = {}
+    for _, s in rows:
+        sizes[s] = sizes.get(s, 0) + 1
+    total = sum(n ** .5 for n in sizes.values())
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string"), block=1).collect()
+    assert sorted(r.doc_id for r in got) == list(range(4000)) and len({r.mix_slot for r in got}) == 4000
+    for r in got:                                       # released, not late, by the exact target weight
+        w = sizes[r.source] ** .5 / total
+        assert r.mix_block / w - 1 - 1e-6 < r.mix_slot < (r.mix_block + 1) / w + 1e-6, r
+    at = {r.mix_slot: r.source for r in got}
+    done, target = dict.fromkeys(sizes, 0), {s: n ** .5 / total for s, n in sizes.items()}
+    for t in range(max(at) + 1):
+        if t in at:
+            done[at[t]] += 1
+        for s, w in target.items():
+            assert done[s] == sizes[s] or abs(done[s] - w * (t + 1)) < 1 + 1e-6
+
+
+def test_schedule_of_many_blocks_and_thin_sources():
+    weights = {"a": 1e-7, "b": 1 / 3, "c": .1, "d": .5666}
+    blocks = {"a": 40, "b": 20000, "c": 9000, "d": 1}
+    names, src, blk, slot = mixing.block_slots(weights, blocks)
+    total = sum(weights.values())
+    assert len(slot) == sum(blocks.values()) == len(set(slot)) and list(slot) == sorted(slot)
+    for k, i, t in zip(src, blk, slot):
+        w = weights[names[k]] / total
+        assert i / w - 1 - 1e-3 < t < (i + 1) / w + 1e-3
+    assert mixing.block_slots({}, {}) == ([], *[mixing.array("q")] * 3)
+    with pytest.raises(ValueError):
+        mixing.block_slots({"a": 1, "b": -1}, {"a": 1, "b": 1})
+
+
+def test_quotas_are_not_pulled_towards_equal_shares():
+    weights = {"big": 980, **{f"s{i}": 1 for i in range(20)}}
+    assert mixing.quotas(weights, 1000)["big"] == 980
