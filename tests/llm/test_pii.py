@@ -86,3 +86,37 @@ def test_empty_and_null(spark, rows):
     got = pii.digest_columns(pii.find(df)).collect()
     assert len(got) == len(rows)
     assert sum(r.n_ip for r in got) == sum(1 for r in rows if r[1] and "1.2.3.4" in r[1])
+
+
+def seeded(extra):
+    rows = [(i, f"reach support mail user{i}@site.org now") for i in range(12)] + extra
+    return rows, "doc_id long, text string"
+
+
+def test_unseen_identifiers_without_digits(spark):
+    df = spark.createDataFrame(*seeded([(100, "reach support mail sam(at)site now"), (101, "reach support mail alice[at]site.org, now")]))
+    got = {r.doc_id: r for r in pii.digest_columns(pii.find(df)).collect()}
+    assert got[100].spans == "email:19:30" and got[101].spans == "email:19:36"
+
+
+def test_unseen_identifier_beside_a_base_span_or_a_date(spark):
+    df = spark.createDataFrame(*seeded([(100, "reach support mail sam99(at)site 10.0.0.1 ok"), (101, "reach support mail sam99(at)site 2024-01-02 ok"),
+                                        (102, "reach support mail sam99(at)site/10.0.0.1 ok")]))
+    got = {r.doc_id: r for r in pii.digest_columns(pii.find(df)).collect()}
+    assert got[100].spans == "email:19:32,ip:33:41"
+    assert got[101].spans == "email:19:32" and got[102].spans == "email:19:32,ip:33:41"
+
+
+def test_unseen_identifiers_are_no_evidence_against_a_pattern(spark):
+    df = spark.createDataFrame(*seeded([(100, "reach support mail sam99(at)site now"), (101, "reach support mail kim7(at)site now")]))
+    got = {r.doc_id: r for r in pii.digest_columns(pii.find(df)).collect()}
+    assert got[100].spans == "email:19:32" and got[101].spans == "email:19:31"
+
+
+def test_plain_words_and_other_kinds_are_evidence_against_a_pattern(spark):
+    words = [(200 + i, f"reach support mail {w} now") for i, w in enumerate(["today", "later", "office"])]
+    other = [(200 + i, f"reach support mail 10.0.0.{i} now") for i in range(4)]
+    for extra in (words, other):
+        df = spark.createDataFrame(*seeded([(100, "reach support mail sam99(at)site now")] + extra))
+        got = {r.doc_id: r for r in pii.digest_columns(pii.find(df)).collect()}
+        assert got[100].spans == "" and sum(r.n_found for r in got.values()) == 0

@@ -3,12 +3,15 @@ extraction of identifiers the patterns do not know.
 
 Base: e-mail addresses, IPv4 addresses, payment cards (Luhn) and phone
 numbers, with exact positions.  Bootstrapping: the base matches are seeds;
-the words around them induce lexical patterns; patterns and the
-identifier-like strings they surround form a bipartite graph which is scored
-in a few rounds of joins (a pattern is as good as the share of its distinct
-strings that are believed to be of the kind, a string is as good as its
-patterns together make it); strings of high score that the base patterns
-missed are added as spans of the kind.
+the words around them induce lexical patterns; patterns and the strings they
+surround form a bipartite graph which is scored in a few rounds of joins;
+strings of high score that the base patterns missed are added as spans of the
+kind.  A text is a row of words, cut where a base match begins or ends, with
+short numbers parted by one space taken together.  Plain words (letters) and
+plain numbers, dates and times are known to be no identifiers: they and the
+strings of other kinds are the evidence against a pattern, all other strings
+are candidates and count neither way.  A pattern is as good as its evidence, a
+string as good as its patterns together make it.
 
 Only built-in column functions, aggregations and equi-joins are used.
 Positions are code points, ends exclusive.
@@ -39,9 +42,13 @@ _NEEDS = {
     "card": "has_digit",
     "phone": "has_digit and contains(text, '+')",
 }
-# Runs of words that hold a digit or an at sign: what may be an identifier.
-_UNIT = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+(?:\x20[^\s0-9@]*+[0-9@]\S*+)*+"
-_EDGE = r"^[^0-9A-Za-z+(@]+|[^0-9A-Za-z)@]+$"
+_DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}[./][0-9]{1,2}[./][0-9]{2,4}"
+_GROUP = rf"(?!(?:{_DATE})[,.;]?(?!\S))(?:[^\s\p{{L}}@0-9]*+[0-9]){{1,6}}+[^\s\p{{L}}@0-9]*+(?!\S)"
+# Words; those of at most six digits and no letter are one with their like (as in cards and phone numbers).
+_TOKEN = rf"(?<!\S){_GROUP}(?:\x20{_GROUP})++|\S++"
+_EDGE = r"^[^0-9\p{L}+(@]+|[^0-9\p{L})@]+$"
+_WORD = r"^\p{L}+(?:[\x27’-]\p{L}+)*$"
+_NUMBER = rf"^(?:[+-]?[0-9]{{1,6}}(?:[.,][0-9]+)?|{_DATE}|[0-9]{{1,2}}(?::[0-9]{{2}}){{1,2}})$"
 
 
 def _quoted(pattern: str) -> str:
@@ -79,9 +86,54 @@ _VALID = {
 }
 
 
+def _tokens(t: DataFrame) -> DataFrame:
+    """`t` with p, the tokens of `text` with their positions, and c, their
+    forms as context."""
+    t = (t.withColumn("m", F.expr(f"regexp_extract_all(text, {_quoted(_TOKEN)}, 0)"))
+         .withColumn("g", F.expr(f"case when size(m) > 0 then split(text, {_quoted(_TOKEN)}, -1) else cast(array() as array<string>) end"))
+         .withColumn("p", F.expr(_located("m", "g"))))
+    return t.withColumn("c", F.expr("transform(m, w -> lower(regexp_replace(right(w, 40), '[0-9]', '0')))"))
+
+
+def _form(v: str) -> str:
+    """SQL: a part of a word as context, '' if only signs are left."""
+    return f"lower(regexp_replace(right(regexp_replace({v}, {_quoted(_EDGE)}, ''), 40), '[0-9]', '0'))"
+
+
+def _left2(i: str, head: str = "''") -> str:
+    """SQL: the two tokens before token i (the nearer is `head`, the part of
+    the token before the string, if it holds a word), '' if there are fewer."""
+    return f"""case when {head} <> '' and {i} >= 1 then concat(c[{i} - 1], ' ', {head}) when {head} <> '' then ''
+        when {i} >= 2 then concat(c[{i} - 2], ' ', c[{i} - 1]) else '' end"""
+
+
+def _around(i: str, j: str, head: str = "''", tail: str = "''") -> str:
+    """SQL: the token before token i and the token j, or the parts of the
+    string's own token before and after it."""
+    return f"""concat(case when {head} <> '' then {head} when {i} >= 1 then c[{i} - 1] else '' end, ' _ ',
+        case when {tail} <> '' then {tail} when {j} < size(c) then c[{j}] else '' end)"""
+
+
+def _patterns(l2: F.Column, l1r1: F.Column) -> F.Column:
+    """Both patterns of an occurrence, null where a text has no such words."""
+    return F.array(F.concat(F.lit("l2 "), F.nullif(l2, F.lit(""))), F.concat(F.lit("l1r1 "), F.nullif(l1r1, F.lit(" _ "))))
+
+
+def plain_words(docs: DataFrame, patterns: DataFrame, text: str = "text") -> DataFrame:
+    """(pattern, n_words): distinct plain words in each of the `patterns`."""
+    t = docs.select(F.col(text).alias("text")).where("text <> ''")
+    t = t.select(F.expr(f"regexp_extract_all(text, {_quoted(_TOKEN)}, 0)").alias("m"))
+    t = t.withColumn("c", F.expr("transform(m, w -> lower(regexp_replace(right(w, 40), '[0-9]', '0')))"))
+    occ = t.select(F.explode(F.expr(f"""filter(transform(m, (w, i) -> named_struct(
+        'value', lower(regexp_replace(w, {_quoted(_EDGE)}, '')), 'l2', {_left2('i')}, 'l1r1', {_around('i', 'i + 1')})),
+        u -> u.value rlike {_quoted(_WORD)})""")).alias("u")).select("u.*")
+    occ = occ.select("value", F.explode(_patterns(F.col("l2"), F.col("l1r1"))).alias("pattern")).where("pattern is not null")
+    return occ.join(bounded_broadcast(patterns), "pattern").distinct().groupBy("pattern").agg(F.count(F.lit(1)).alias("n_words"))
+
+
 def located_base(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, row_key, email, ip, card, phone, units): per row the base
-    spans of each kind, and the identifier-like units with their contexts.
+    spans of each kind, and the strings that are not plain words with their contexts.
     row_key is equal only for rows with equal id and text."""
     t = docs.select(F.col(doc).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     t = t.withColumn("has_digit", F.col("text").rlike("[0-9]"))
@@ -91,47 +143,72 @@ def located_base(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> Da
              .withColumn("g", F.expr(f"case when size(m) > 0 then split(text, {_quoted(_PATTERN[k])}, -1) else {none} end"))
              .withColumn("p", F.expr(_located("m", "g")))
              .withColumn(k, F.expr(f"filter(p, x -> {_VALID[k]})")).drop("m", "g", "p"))
-    t = (t.withColumn("m", F.expr(f"case when has_digit or contains(text, '@') then regexp_extract_all(text, {_quoted(_UNIT)}, 0) else {none} end"))
-         .withColumn("g", F.expr(f"case when size(m) > 0 then split(text, {_quoted(_UNIT)}, -1) else {none} end"))
-         .withColumn("p", F.expr(_located("m", "g"))))
-    kinds = ", ".join(f"exists({k}, b -> b.s >= x.s and b.e <= x.e)" for k in KINDS)
-    before = "lower(regexp_replace(right(g[i], 80), '[0-9]', '0'))"
-    after = "lower(regexp_replace(left(g[i + 1], 40), '[0-9]', '0'))"
-    unit = f"""transform(p, (x, i) -> named_struct(
-        's', x.s + length(x.v) - length(regexp_replace(x.v, '^[^0-9A-Za-z+(@]+', '')),
-        'v', regexp_replace(x.v, {_quoted(_EDGE)}, ''),
-        'l2', regexp_extract({before}, r'(\\S+\\s+\\S+)\\s*$', 1),
-        'l1r1', concat(regexp_extract({before}, r'(\\S+)\\s*$', 1), ' _ ', regexp_extract({after}, r'^\\s*(\\S+)', 1)),
-        'seed', array({kinds})))"""
-    t = t.withColumn("units", F.expr(unit))
+    t = _tokens(t)
+    # base spans as tokens of their own: n words lie before each, and `to` begin before its end
+    base = ", ".join(f"""transform({k}, b -> named_struct('s', b.s, 'e', b.e, 'v', b.v, 'kind', {i}))""" for i, k in enumerate(KINDS))
+    t = t.withColumn("b", F.expr(f"concat({base})"))
+    t = t.withColumn("seeds", F.expr(f"""transform(transform(transform(b, x -> named_struct('x', x,
+        'i', size(filter(p, w -> w.e <= x.s)), 'j', size(filter(p, w -> w.s < x.e)))),
+        y -> named_struct('x', y.x, 'i', y.i, 'j', y.j,
+            'h', {_form("right(substr(p[y.i].v, 1, cast(y.x.s - p[y.i].s as int)), 60)")},
+            'r', {_form("substr(p[y.j - 1].v, cast(y.x.e - p[y.j - 1].s + 1 as int), 60)")})),
+        y -> named_struct('s', y.x.s, 'v', y.x.v, 'l2', {_left2("y.i", "y.h")}, 'l1r1', {_around("y.i", "y.j", "y.h", "y.r")},
+            'kind', y.x.kind))"""))
+    # plain words are most of a text and are dropped first; o: the base spans that meet a word
+    kept = f"""transform(filter(transform(p, (x, i) -> named_struct('x', x, 'i', i)),
+            z -> not regexp_replace(z.x.v, {_quoted(_EDGE)}, '') rlike {_quoted(_WORD)}),
+        z -> named_struct('x', z.x, 'i', z.i, 'o', case when size(b) = 0 then b else filter(b, o -> o.s < z.x.e and z.x.s < o.e) end))"""
+    # the parts of a word outside them: between the sorted ends and the sorted starts
+    kept = f"transform({kept}, z -> named_struct('x', z.x, 'i', z.i, 'o', z.o, 'ends', array_sort(z.o.e), 'starts', array_sort(z.o.s)))"
+    bounds = """transform(sequence(0, size(z.o)), k -> named_struct(
+        's', case when k = 0 then z.x.s else greatest(z.x.s, z.ends[k - 1]) end,
+        'e', case when k = size(z.o) then z.x.e else least(z.x.e, z.starts[k]) end))"""
+    parts = f"""case when size(z.o) = 0 then array(named_struct('s', z.x.s, 'e', z.x.e, 'v', z.x.v, 'h', '', 'r', ''))
+        else transform(filter({bounds}, q -> q.e > q.s), q -> named_struct('s', q.s, 'e', q.e,
+            'v', substr(z.x.v, cast(q.s - z.x.s + 1 as int), cast(q.e - q.s as int)),
+            'h', {_form("right(substr(z.x.v, 1, cast(q.s - z.x.s as int)), 60)")},
+            'r', {_form("substr(z.x.v, cast(q.e - z.x.s + 1 as int), 60)")})) end"""
+    part = rf"""named_struct(
+        's', q.s + length(q.v) - length(regexp_replace(q.v, r'^[^0-9\p{{L}}+(@]+', '')), 'v', regexp_replace(q.v, {_quoted(_EDGE)}, ''),
+        'l2', {_left2('z.i', 'q.h')}, 'l1r1', {_around('z.i', 'z.i + 1', 'q.h', 'q.r')}, 'kind', -1)"""
+    t = t.withColumn("units", F.expr(f"""concat(seeds, filter(flatten(transform({kept}, z -> transform({parts}, q -> {part}))),
+        u -> u.v <> '' and not u.v rlike {_quoted(_WORD)}))"""))
     strip = {k: F.expr(f"transform({k}, x -> named_struct('s', x.s, 'e', x.e))").alias(k) for k in KINDS}
     return t.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), *strip.values(), "units")
 
 
-def bootstrap(located: DataFrame, rounds: int = 3, support: int = 3, pattern_score: float = 0.9,
-              accept: float = 0.95) -> DataFrame:
+def bootstrap(located: DataFrame, docs: DataFrame, text: str = "text", rounds: int = 3, support: int = 3,
+              pattern_score: float = 0.9, accept: float = 0.95) -> DataFrame:
     """(value, kind, score) of the strings that patterns vouch for and the
     base patterns do not know.  A pattern counts for a kind once `support`
-    distinct strings of the kind stand in it and at least `pattern_score` of
-    all its distinct strings are believed to be of the kind.  Equal scores go
-    to the kind listed first.  Without seeds the result is empty."""
+    distinct strings of the kind stand in it and they are at least
+    `pattern_score` of its evidence: strings of any kind, plain words and plain
+    numbers.  Equal scores go to the kind listed first.  Without seeds the
+    result is empty."""
     u = located.select(F.explode("units").alias("u")).select("u.*").where("v <> ''")
-    edges = u.select(F.lower("v").alias("value"), "seed",
-                     F.explode(F.array(F.concat(F.lit("l2 "), F.nullif("l2", F.lit(""))),
-                                       F.concat(F.lit("l1r1 "), F.nullif("l1r1", F.lit(" _ "))))).alias("pattern"))
+    edges = u.select(F.lower("v").alias("value"), "kind", F.explode(_patterns(F.col("l2"), F.col("l1r1"))).alias("pattern"))
     edges = edges.where("pattern is not null")
-    flags = [F.max(F.col("seed")[i].cast("int")).alias(k) for i, k in enumerate(KINDS)]
-    edges = saved(edges.groupBy("pattern", "value").agg(*flags), "pii-edges")
-    kind_of = F.expr("stack(4, " + ", ".join(f"'{k}', {k}" for k in KINDS) + ") as (kind, is_seed)")
-    seeds = saved(edges.groupBy("value").agg(*[F.max(k).alias(k) for k in KINDS]).select("value", kind_of)
-                  .where("is_seed = 1").select("value", "kind", F.lit(1.0).alias("score")), "pii-seeds")
-    plain = edges.select("pattern", "value")
-    size = plain.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= support)
+    edges = saved(edges.groupBy("pattern", "value").agg(F.max("kind").alias("kind")), "pii-edges")
+    seeds = saved(edges.where("kind >= 0").select("value", F.element_at(F.array(*map(F.lit, KINDS)), F.col("kind") + 1).alias("kind"),
+                                                  F.lit(1.0).alias("score")).distinct(), "pii-seeds")
+    plain = edges.select("pattern", "value", F.expr(f"kind < 0 and value rlike {_quoted(_NUMBER)}").alias("number"))
+    # what may come to count in any round: patterns of enough seeds, then of enough strings in such patterns
+    reach = seeds.select("value").distinct()
+    for r in range(rounds):
+        able = saved(plain.where("not number").join(reach, "value").groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
+                     .where(F.col("n") >= support).select("pattern"), f"pii-able-{r}")
+        if r < rounds - 1:
+            reach = saved(plain.where("not number").join(able, "pattern").select("value").union(reach).distinct(), f"pii-reach-{r}")
+    plain = plain.join(able, "pattern")
+    against = plain.groupBy("pattern").agg(F.sum(F.col("number").cast("long")).alias("n_numbers"))
+    against = saved(against.join(plain_words(docs, able, text), "pattern", "left").select(
+        "pattern", (F.col("n_numbers") + F.coalesce("n_words", F.lit(0))).alias("against")), "pii-against")
+    plain = saved(plain.where("not number").select("pattern", "value"), "pii-plain")
     belief = seeds
     for r in range(rounds):
-        good = (plain.join(belief, "value").groupBy("pattern", "kind")
-                .agg(F.sum("score").alias("f")).where(F.col("f") >= support)
-                .join(size, "pattern").withColumn("conf", F.col("f") / F.col("n"))
+        weight = saved(plain.join(belief, "value").groupBy("pattern", "kind").agg(F.sum("score").alias("f")), f"pii-weight-{r}")
+        good = (weight.join(weight.groupBy("pattern").agg(F.sum("f").alias("all")), "pattern").where(F.col("f") >= support)
+                .join(against, "pattern").withColumn("conf", F.col("f") / (F.col("all") + F.col("against")))
                 .where(F.col("conf") >= pattern_score))
         scored = (plain.join(good.select("pattern", "kind", "conf"), "pattern").groupBy("value", "kind")
                   .agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("conf"), F.lit(1e-6)))))).alias("score")))
@@ -151,12 +228,10 @@ def find(docs: DataFrame, doc: str = "doc_id", text: str = "text", **options) ->
     Null and empty texts have no spans; rows may repeat; a null id is an id
     like others; an empty table gives an empty result."""
     located = saved(located_base(docs, doc, text), "pii-located")
-    accepted = bootstrap(located, **options)
-    base = "concat(" + ", ".join(KINDS) + ")"
-    units = (located.where("size(units) > 0").select("row_key", F.expr(base).alias("base"), F.explode("units").alias("u"))
-             .select("row_key", "base", F.col("u.s").alias("s"), (F.col("u.s") + F.length("u.v")).alias("e"),
-                     F.lower("u.v").alias("value"))
-             .where("value <> '' and not exists(base, b -> b.s < e and s < b.e)"))
+    accepted = bootstrap(located, docs, text, **options)
+    units = (located.select("row_key", F.explode("units").alias("u")).where("u.kind < 0")
+             .select("row_key", F.col("u.s").alias("s"), (F.col("u.s") + F.length("u.v")).alias("e"),
+                     F.lower("u.v").alias("value")))
     added = (units.join(bounded_broadcast(saved(accepted, "pii-accepted")), "value")
              .groupBy("row_key").agg(F.array_sort(F.collect_set(F.struct("kind", "s", "e", "score"))).alias("found")))
     return (located.join(added, "row_key", "left")
