@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, embed_dedup, langid, licences, line_dedup, minhash_dedup, mixing, pii, quality, repeats
+from tidemark.llm import decontam, embed_dedup, langid, licences, line_dedup, minhash_dedup, mixing, pii, prefix_trie, quality, repeats
 from tidemark.llm.common import table
 from tidemark.llm.sql import SQL  # noqa: F401  (registered with the queries)
 
@@ -72,5 +72,12 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    turns, convs = prefix_trie.shared_openings(prefix_trie.placed(table(spark, sf_dir, "conversations")))
+    return prefix_trie.with_ends_digest(prefix_trie.build(turns, convs)).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
 QUERIES = {f.__name__: f for f in (op1_pii, op2_line_dedup, op3_decontamination, op4_embedding_dedup, op5_minhash_dedup,
-                                    op6_quality, op7_mixing, op8_licences, op9_repeats, op10_language)}
+                                    op6_quality, op7_mixing, op8_licences, op9_repeats, op10_language, op11_prefix_trie)}

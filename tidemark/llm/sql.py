@@ -78,4 +78,46 @@ select doc_id, license_id, coalesce(n, 0) as n_notice_lines, coalesce(notices, '
 from whole left join found using (doc_id)"""
 
 
-SQL = {"op3_decontamination": OP3, "op4_embedding_dedup": OP4, "op5_minhash_dedup": OP5, "op8_licences": _op8()}
+# CRC-32 of a list of bytes, with the table of the 256 remainders made by recursion (`t` holds it as a list)
+_CRC_TABLE = """
+crc_steps(i, v, k) as (
+  select i, i, 0 from range(256) r(i)
+  union all select i, case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end, k + 1 from crc_steps where k < 8),
+crc_table as (select list(v order by i) as t from crc_steps where k = 8)"""
+
+
+def _crc(text: str) -> str:
+    """Unsigned CRC-32 of the UTF-8 bytes of an SQL string, beside `t`."""
+    at = f"range(0, strlen({text}))"
+    byte = f"list_transform({at}, lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::bigint)"
+    return (f"xor(list_reduce(list_prepend(4294967295::bigint, {byte}), "
+            "lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)")
+
+
+OP11 = f"""
+with recursive {_CRC_TABLE},
+turns as (
+  select conv_id, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as i,
+         {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} as turn
+  from conversations where conv_id is not null),
+seqs as (select conv_id, list(turn order by i) as s from turns group by conv_id),
+ids as (select conv_id, conv_id - conv_id % 100 as base, {_crc('conv_id::varchar')} % 6 as h, s from seqs, crc_table),
+rebuilt as (
+  select a.conv_id, case when a.conv_id = a.base then a.s
+                         else list_concat(coalesce(b.s, a.s[1:0])[1:a.h], a.s[a.h + 1:]) end as s
+  from ids a left join seqs b on b.conv_id = a.base),
+prefixes as (select conv_id, len(s) as size, d as depth, s[1:d] as p, s[1:d - 1] as up from rebuilt, unnest(range(0, len(s) + 1)) u(d)),
+nodes as (
+  select depth, p, any_value(up) as up, min(conv_id) as conv_id, count(*) as n_convs, bool_and(depth = size) as childless,
+         coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where depth = size), '') as ends,
+         case when depth = 0 then 0 else (count(*) - 1) * length(any_value(p[depth].text)) end as share
+  from prefixes group by depth, p),
+subtree as (
+  select v.p, sum(u.share)::bigint as saved_tokens, count(*) filter (where u.childless) as n_leaves
+  from nodes v join nodes u on u.p[1:v.depth] = v.p and u.depth >= v.depth group by v.p)
+select v.conv_id, v.depth, parent.conv_id as parent_conv_id, v.n_convs,
+       (select count(*) from nodes c where c.depth = v.depth + 1 and c.up = v.p) as n_children,
+       n_leaves, saved_tokens, sha256(v.ends) as ends_sha256
+from nodes v join subtree using (p) left join nodes parent on parent.depth = v.depth - 1 and parent.p = v.up"""
+
+SQL = {"op11_prefix_trie": OP11, "op3_decontamination": OP3, "op4_embedding_dedup": OP4, "op5_minhash_dedup": OP5, "op8_licences": _op8()}
