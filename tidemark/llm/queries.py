@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, embed_dedup, langid, licences, line_dedup, minhash_dedup, mixing, pii, prefix_trie, quality, repeats
+from tidemark.llm import decontam, embed_dedup, langid, licences, line_dedup, minhash_dedup, mixing, pii, prefix_trie, quality, repeats, variants
 from tidemark.llm.common import table
 from tidemark.llm.sql import SQL  # noqa: F401  (registered with the queries)
 
@@ -79,5 +79,11 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, form and root of every word of all texts."""
+    return variants.variants(variants.words(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {f.__name__: f for f in (op1_pii, op2_line_dedup, op3_decontamination, op4_embedding_dedup, op5_minhash_dedup,
-                                    op6_quality, op7_mixing, op8_licences, op9_repeats, op10_language, op11_prefix_trie)}
+                                    op6_quality, op7_mixing, op8_licences, op9_repeats, op10_language, op11_prefix_trie,
+                                    op12_spelling_variants)}

@@ -120,4 +120,26 @@ select v.conv_id, v.depth, parent.conv_id as parent_conv_id, v.n_convs,
        n_leaves, saved_tokens, sha256(v.ends) as ends_sha256
 from nodes v join subtree using (p) left join nodes parent on parent.depth = v.depth - 1 and parent.p = v.up"""
 
-SQL = {"op11_prefix_trie": OP11, "op3_decontamination": OP3, "op4_embedding_dedup": OP4, "op5_minhash_dedup": OP5, "op8_licences": _op8()}
+OP12 = f"""
+with recursive {_CRC_TABLE},
+runs as (
+  select coalesce(doc_id::varchar, '') as id, {_LOW.format("unnest(regexp_extract_all(text, '[A-Za-z\\x{00C0}-\\x{00FF}]+'))")} as run from documents),
+hashed as (select run, {_crc("(id || ':' || run)")} as h from runs, crc_table),
+changed as (select case when h % 31 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end as word from hashed),
+v as (select word, count(*) as n from changed where length(word) >= 7 group by word having count(*) >= 2),
+holes as (select word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) as rest from v, unnest(range(1, length(word) + 1)) u(i)),
+pairs as (
+  select a.word as x, b.word as y, b.n as m from holes a join holes b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+  union select a.word, b.word, b.n from holes a join v b on a.rest = b.word
+  union select b.word, a.word, a.n from holes a join v b on a.rest = b.word),
+best as (select x, count(*) as n_near, max(m) as m from pairs group by x),
+forms as (
+  select v.word, v.n, coalesce(n_near, 0) as n_near, case when b.m >= 10 * v.n then b.m end as form_n,
+         (select min(y) from pairs p where p.x = v.word and p.m = b.m and b.m >= 10 * v.n) as form
+  from v left join best b on b.x = v.word),
+walk as (
+  select word, word as root from forms where form is null
+  union all select f.word, w.root from forms f join walk w on f.form = w.word)
+select word, n, n_near, form, form_n, root from forms join walk using (word)"""
+
+SQL = {"op12_spelling_variants": OP12, "op11_prefix_trie": OP11, "op3_decontamination": OP3, "op4_embedding_dedup": OP4, "op5_minhash_dedup": OP5, "op8_licences": _op8()}
