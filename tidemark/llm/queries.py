@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, embed_dedup, langid, licences, line_dedup, minhash_dedup, mixing, pii, prefix_trie, quality, repeats, variants
+from tidemark.llm import decontam, embed_dedup, langid, licences, line_dedup, minhash_dedup, mixing, pii, prefix_trie, quality, repeats, suffix_tree, variants
 from tidemark.llm.common import table
 from tidemark.llm.sql import SQL  # noqa: F401  (registered with the queries)
 
@@ -84,6 +84,15 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.variants(variants.words(table(spark, sf_dir, "documents")))
 
 
+def op13_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of every whole text, by a suffix tree learned from
+    four fifths of the documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.expr(
+        "crc32(cast(coalesce(cast(doc_id as string), '') as binary)) % 5 = 1").alias("held_out"))
+    model, counts = suffix_tree.fit(docs, "not held_out")
+    return suffix_tree.score(docs, model, counts, keep=["doc_id", "held_out"])
+
+
 QUERIES = {f.__name__: f for f in (op1_pii, op2_line_dedup, op3_decontamination, op4_embedding_dedup, op5_minhash_dedup,
                                     op6_quality, op7_mixing, op8_licences, op9_repeats, op10_language, op11_prefix_trie,
-                                    op12_spelling_variants)}
+                                    op12_spelling_variants, op13_lm_scores)}
