@@ -95,21 +95,20 @@ def test_rolling_reduce_min_and_min_by(spark):
     df = spark.createDataFrame(rows, "id string, timestamp bigint, temperature double")
     order = [F.col("timestamp")]
     red = rolling.rolling(df, ["id"], order, {"mx": ("max", "timestamp"),
-                                              "mn": ("min", "temperature")}, chunk_seconds=0)
+                                              "mn": ("min", "temperature")})
     assert [(r["mx"], r["mn"]) for r in red.orderBy("timestamp").collect()] == \
         [(1, 5.0), (2, 3.0), (3, 3.0), (4, 3.0)]
-    mb = rolling.rolling_min_by(df, ["id"], order, "temperature", ["timestamp"], chunk_seconds=0)
+    mb = rolling.rolling_min_by(df, ["id"], order, "temperature", ["timestamp"])
     # ties keep the earliest row holding the minimum
     assert [r["min_timestamp"] for r in mb.orderBy("timestamp").collect()] == [1, 2, 2, 2]
-    mf = rolling.rolling_min_keep_first(df, ["id"], order, "temperature", ["timestamp"],
-                                        chunk_seconds=0)
+    mf = rolling.rolling_min_keep_first(df, ["id"], order, "temperature", ["timestamp"])
     assert {r["first_timestamp"] for r in mf.collect()} == {1}
 
 
 def test_change_alert_first_reading_vs_zero(spark):
     rows = [("s1", 1, 12.0), ("s1", 2, 15.0), ("s1", 3, 40.0)]
     df = spark.createDataFrame(rows, "id string, t bigint, temperature double")
-    out = rolling.change_alert(df, ["id"], [F.col("t")], "temperature", 10.0, chunk_seconds=0)
+    out = rolling.change_alert(df, ["id"], [F.col("t")], "temperature", 10.0)
     got = [(r["last_value"], r["cur_value"]) for r in out.orderBy("t").collect()]
     assert got == [(0.0, 12.0), (0.0, 0.0), (15.0, 40.0)]
 
@@ -124,7 +123,7 @@ def test_sustained_rise_first_and_cancel(spark):
     rows = [(1, 0, 0, 1.0), (1, 5, 1, 0.5), (1, 6, 2, 2.0), (1, 7, 3, 3.0), (1, 30, 4, 1.0)]
     df = spark.createDataFrame([(k, _ts(t), s, v) for k, t, s, v in rows],
                                "k bigint, ts timestamp, seq bigint, v double")
-    out = patterns.sustained_rise_first(df, ["k"], "ts", "seq", "v", 10, chunk_seconds=0)
+    out = patterns.sustained_rise_first(df, ["k"], "ts", "seq", "v", 10)
     assert [(r["start_seq"], r["alert_ts"]) for r in out.collect()] == [(2, _ts(16))]
 
 
@@ -134,7 +133,7 @@ def test_followed_by_same_second_and_timeout(spark):
     df = spark.createDataFrame([(k, _ts(t), s, e) for k, t, s, e in rows],
                                "k bigint, ts timestamp, seq bigint, e string")
     out = patterns.followed_by(df, ["k"], "ts", "seq", F.col("e") == "create",
-                               F.col("e") == "pay", 900, chunk_seconds=0)
+                               F.col("e") == "pay", 900)
     got = {r["k"]: (r["matched"], r["timeout_ts"]) for r in out.collect()}
     assert got == {1: (True, None), 2: (False, _ts(900))}
 
@@ -202,7 +201,7 @@ def test_access_log_short_line(spark):
 def test_null_reading_is_not_a_missing_one(spark):
     rows = [("k", 1, 10.0), ("k", 2, None), ("k", 3, 12.0)]
     df = spark.createDataFrame(rows, "id string, t bigint, v double")
-    out = rolling.change_alert(df, ["id"], [F.col("t")], "v", 5.0, chunk_seconds=0).orderBy("t")
+    out = rolling.change_alert(df, ["id"], [F.col("t")], "v", 5.0).orderBy("t")
     assert [(r["last_value"], r["cur_value"], r["alert"]) for r in out.collect()] == \
         [(0.0, 10.0, True), (0.0, 0.0, False), (0.0, 0.0, False)]
 
@@ -240,7 +239,7 @@ def test_order_job_shape(spark):
     st = {r["order_id"]: r["status"] for r in detectors.order_status(o, limit_s=900).collect()}
     assert len(st) == 40 and {k: v for k, v in st.items() if v != "ok"} == {7: "paid_late", 39: "unpaid"}
     fb = patterns.followed_by(o, ["order_id"], "ts", "seq", F.col("event_type") == "create",
-                              F.col("event_type") == "pay", 900, chunk_seconds=0)
+                              F.col("event_type") == "pay", 900)
     assert {r["order_id"] for r in fb.filter("NOT matched").collect()} == {7, 39}
     rc = text.decode_lines(_lines(spark, ["tx5,wechat,1018"]), text.TX_EVENT).select(
         "tx_id", seconds_to_ts("event_time").alias("rts"))

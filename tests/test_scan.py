@@ -97,3 +97,47 @@ def test_carry_join_reuses_window_partitioning(spark):
     # one exchange of the rows, one of the partial summaries: never a second
     # shuffle of the rows for the join
     assert "SortMergeJoin" in plan and len(full) == 2
+
+
+@pytest.mark.parametrize("frame", ["upto", "before", "from", "after"])
+@pytest.mark.parametrize("keys", [["k"], []])
+def test_row_chunks_equal_window(spark, frame, keys):
+    rows = _rows(11, n=900, keys=40) + [(None, 5, 2000 + i, 1.0) for i in range(90)] + [(3, None, 3000 + i, 2.0) for i in range(3)]
+    df = spark.createDataFrame(rows, "k int, t int, seq int, v double")
+    order = [F.col("t"), F.col("seq")]
+    for kind in ("sum", "count", "first", "last"):
+        got = scan.running(df, keys, order, {"r": (kind, F.col("v"))}, frame=frame, chunk_rows=40)
+        plain = scan.running(df, keys, order, {"r": (kind, F.col("v"))}, frame=frame, chunk=F.lit(0))
+        by = lambda d: {r["seq"]: r["r"] if r["r"] is None else round(r["r"], 6) for r in d.collect()}
+        assert by(got) == by(plain)
+
+
+def test_row_chunks_balance_a_burst(spark):
+    """One key holds a third of the rows, all of them in one second; the
+    chunks it is cut into are near the asked size, sparse keys stay whole."""
+    n = 30_000
+    df = spark.range(n).select(F.expr("case when id % 3 = 0 then 0 else id % 997 + 1 end").alias("k"),
+                               F.expr("case when id % 3 = 0 then 1000 else id end").alias("t"), F.col("id").alias("seq"))
+    cut, hot = scan.row_chunks(df, "k", [F.col("t"), F.col("seq")], rows=500)
+    sizes = {(r["k"], r["__chunk"]): r["count"] for r in cut.groupBy("k", "__chunk").count().collect()}
+    assert hot.count() == 1
+    hot_sizes = sorted(c for (k, _), c in sizes.items() if k == 0)
+    assert sum(hot_sizes) == n // 3 and 14 <= len(hot_sizes) <= 30
+    assert hot_sizes[-1] <= 2 * hot_sizes[len(hot_sizes) // 2]
+    assert all(c == 0 for k, c in sizes if k != 0)
+    # largest task of the window against the median
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        tasks = sorted(r["count"] for r in cut.repartition("k", "__chunk").groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert tasks[-1] <= 2 * tasks[len(tasks) // 2]
+
+
+def test_no_hot_key_is_a_plain_window(spark):
+    df = spark.createDataFrame(_rows(12), "k int, t int, seq int, v double")
+    out = scan.running(df, ["k"], [F.col("t"), F.col("seq")], {"r": ("sum", F.col("v"))})
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1
+    assert scan.running(df.limit(0), ["k"], [F.col("t")], {"r": ("sum", F.col("v"))}).count() == 0

@@ -12,7 +12,7 @@ fixed shape of the reference's pattern API:
                               timer fires `interval` after the rise
 
 All per-key scans use `scan.running`, so a hot key (or no key at all) is
-cut into time chunks instead of one task.
+cut into chunks of rows instead of one task.
 """
 
 from __future__ import annotations
@@ -37,8 +37,8 @@ def next_pattern(df: DataFrame, keys, ts: str, seq: str, first: Column, second:
     """K2: `begin(first).next(second).within(within_s)`.
 
     keys=[] applies the rule to the whole stream (adjacency across all keys,
-    as the reference's unkeyed login rule does); the scan then chunks by time
-    only, with a one-row-per-chunk carry table.
+    as the reference's unkeyed login rule does); the scan then cuts the
+    whole stream into chunks of rows.
     Output: one row per match with `a_*` (first event) and `b_*` (second)."""
     keys = cols_of(keys)
     fields = list(fields)

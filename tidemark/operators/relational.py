@@ -44,7 +44,6 @@ def running_word_count(words: DataFrame, order, word: str = "word", name: str =
     number of chunks grows with the corpus, the carry across chunks is
     itself chunked (`carry_fanout`)."""
     return scan.row_number(words, [word], order, name=name, chunk=chunk,
-                           chunk_seconds=0 if chunk is None else 1,
                            carry_fanout=carry_fanout if chunk is not None else None)
 
 

@@ -2,7 +2,7 @@
 (A7-A10, N1, H2, H3).  Each row gets the value of the aggregate over all
 rows of its key up to and including it, in (event time, arrival) order.
 
-All go through `scan.running`, so a hot key is split into time chunks.
+All go through `scan.running`, so a hot key is split into chunks of rows.
 """
 
 from __future__ import annotations

@@ -2,18 +2,22 @@
 
 A plain `Window.partitionBy(key).orderBy(ts)` sends every row of a key to
 one task; if one key holds a third of the log, one task holds a third of the
-data.  `running` splits each key's rows into ordered chunks (default: time
-buckets of the order column), so the big window is partitioned by
-`(key, chunk)`:
-
-1. window inside each `(key, chunk)`                  rows shuffled once, by (key, chunk)
-2. one summary row per `(key, chunk)`                 partial aggregation, tiny shuffle
-3. prefix (or suffix) of the summaries per key        small table, by key
-4. left join of 3 back to 1 on `(key, chunk)`         reuses the partitioning of 1
-   (or a broadcast of 3 when AQE finds it small), then combine
-
-A hot key is spread over its chunks; step 3 holds one row per chunk.  The
-result equals the plain window for every supported aggregate.
+data.  `running` cuts the rows of such keys into ordered chunks of about equal
+numbers of rows, so the big window is partitioned by `(key, chunk)`:
+
+1. rows per key are counted; a key with more rows than a chunk may hold is
+   hot, and split points are taken from its rows (`row_chunks`).  Without a
+   hot key the plain window is all there is
+2. window inside each `(key, chunk)`                  rows shuffled once, by (key, chunk)
+3. one summary row per `(hot key, chunk)`             partial aggregation, tiny shuffle
+4. prefix (or suffix) of the summaries per hot key    at most 2 * `MOST_CHUNKS` rows in all
+5. broadcast join of 4 to 2 on `(key, chunk)`, then combine
+
+Chunks are balanced by rows, not by time, so a burst is cut as finely as its
+rows ask for, and a sparse key is one chunk however long its history.  A
+caller may give the chunks instead (`chunk`); then there is a summary for each
+`(key, chunk)` and the carry is joined by shuffle.  The result equals the plain
+window for every supported aggregate.
 
 Frames: "upto" (all earlier rows and this one), "before" (earlier rows only),
 "from" (this row and all later ones), "after" (later rows only).
@@ -28,15 +32,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import bucket_number, cols_of
+from tidemark.functions import cols_of
 
 _CHUNK = "__chunk"
 _W = Window
 
-# Default chunk width for time-ordered logs, in seconds.  Each chunk of a
-# key is one task's worth of the window; the summary table has one row per
-# (key, chunk) in use.
-DEFAULT_CHUNK_SECONDS = 3600
+# A chunk holds `LEAST_ROWS` rows, or more where that would make over
+# `MOST_CHUNKS` full chunks of the log: as many tasks as a cluster can use, and
+# the bound of what is broadcast.  Split points come from `PER_CHUNK` sampled
+# rows a chunk.
+LEAST_ROWS, MOST_CHUNKS, PER_CHUNK = 10_000, 16_384, 64
+_FAN = 128              # split points are searched in two steps of about this many
 
 
 def _within(kind: str, c: Column, w) -> Column:
@@ -102,27 +108,56 @@ _CARRY_KIND = {"sum": "sum", "count": "sum", "min": "min", "max": "max",
                "first": "first", "last": "last"}
 
 
+def row_chunks(base: DataFrame, key: str, order: list[Column], rows: int | None = None,
+               name: str = _CHUNK) -> tuple[DataFrame, DataFrame | None]:
+    """(`base` with the chunk of every row, hot keys): the rows of a key with
+    more than `rows` rows are cut in `order` at split points sampled from
+    them (a hash of the order columns decides, so the sample is the same each
+    time); chunk 0 is the whole of any other key.  Counts and split points are
+    worked out here, by aggregations of the input; hot keys is None if there
+    are none, else a table (key, points) of at most `MOST_CHUNKS` rows."""
+    sizes = base.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    total, most = sizes.agg(F.sum("__n"), F.max("__n")).first()
+    rows = rows or max(LEAST_ROWS, -(-(total or 0) // MOST_CHUNKS))
+    if (most or 0) <= rows:
+        return base.withColumn(name, F.lit(0).cast("bigint")), None
+    at = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
+    rate = max(1, rows // PER_CHUNK)
+    hot = F.broadcast(sizes.where(F.col("__n") > rows).select(key))                 # at most total / rows keys
+    sampled = (base.select(key, at.alias("__at")).join(hot, key)
+               .where(F.pmod(F.xxhash64("__at"), F.lit(rate)) == 0)
+               .groupBy(key).agg(F.sort_array(F.collect_set("__at")).alias("__s")))   # about PER_CHUNK a chunk
+    step = max(1, rows // rate)
+    points = sampled.select(key, F.expr(f"""transform(sequence(0, cast((size(__s) - 1) div {step} as int)),
+        i -> __s[cast(i * {step} as int)])""").alias("__p"))
+    # two levels, so that a row is compared with two short lists
+    points = materialize(points.select(key, F.expr(f"""transform(sequence(0, cast((size(__p) - 1) div {_FAN} as int)),
+        i -> slice(__p, i * {_FAN} + 1, {_FAN}))""").alias("__points")), "split-points")
+    out = base.withColumn("__at", at).join(F.broadcast(points), key, "left")
+    head = F.expr("size(filter(__points, b -> b[0] <= __at))")
+    out = out.withColumn("__head", F.when(F.col("__points").isNotNull(), head).otherwise(0))
+    chunk = F.expr(f"""case when __head = 0 then 0L else
+        (__head - 1L) * {_FAN} + size(filter(__points[__head - 1], p -> p <= __at)) end""")
+    return out.withColumn(name, chunk.cast("bigint")).drop("__at", "__head", "__points"), points
+
+
 def running(df: DataFrame, keys, order, aggs: dict[str, tuple],
             frame: str = "upto", chunk: Column | None = None,
-            chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
-            carry_fanout: int | None = None) -> DataFrame:
+            chunk_rows: int | None = None, carry_fanout: int | None = None) -> DataFrame:
     """Add one column per entry of `aggs` ({name: (kind, column)} or
     {name: (kind, column, frame)}), computed over the rows of the same key in
     `order` with the entry's frame (default `frame`).  Several aggregates and
     frames share one pass.
 
-    `chunk` must not decrease along `order` within a key; by default it is
-    the time bucket (`chunk_seconds`) of the first order column.
-    `chunk_seconds=0` means one chunk per key (plain window; only for keys
-    known to be small).
+    By default a key with more than `chunk_rows` rows (default: see
+    `LEAST_ROWS`) is cut into chunks of about as many.  `chunk` gives the
+    chunks instead; it must not decrease along `order` within a key.
     `carry_fanout`: when a key can have very many chunks (chunks that do not
     grow with time, such as id ranges), carry across chunks with a second
     level of this scan over groups of `carry_fanout` chunks.
     """
     keys = cols_of(keys)
     order = cols_of(order)
-    if chunk is None:
-        chunk = bucket_number(order[0], chunk_seconds) if chunk_seconds else F.lit(0)
     specs = {n: (a[0], a[1], a[2] if len(a) > 2 else frame) for n, a in aggs.items()}
 
     # One non-null key column: a struct of the keys (struct equality treats
@@ -131,18 +166,26 @@ def running(df: DataFrame, keys, order, aggs: dict[str, tuple],
     # sort-merge carry join reuse that partitioning: only the small carry
     # table is shuffled for the join.
     kcol = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)]) if keys else F.lit(0)
-    base = df.select("*", kcol.alias("__key"), chunk.alias(_CHUNK))
     part = [F.col("__key"), F.col(_CHUNK)]
+    hot = None
+    if chunk is None:
+        base, hot = row_chunks(df.select("*", kcol.alias("__key")), "__key", order, chunk_rows)
+    else:
+        base = df.select("*", kcol.alias("__key"), chunk.alias(_CHUNK))
     inner = base.select("*", *[_over(k, c, part, order, f).alias(f"__in_{n}")
                                for n, (k, c, f) in specs.items()])
 
+    if chunk is None and hot is None:
+        return inner.select(*df.columns, *[F.col(f"__in_{n}").alias(n) for n in specs])
+
     order_key = F.struct(*order)
     # Summaries are aggregated from the input, not from the windowed branch:
     # map-side partial aggregation then ships one row per (key, chunk) and
     # task.  (Catalyst prunes the two branches to different columns, so they
     # could not share one exchange anyway.)  The price is a second, pruned
     # read of the input; chained scans should `materialize` in between.
-    summ = (base.groupBy(*part)
+    cut = base if hot is None else base.join(F.broadcast(hot.select("__key")), "__key", "left_semi")
+    summ = (cut.groupBy(*part)
                 .agg(*[_summary(k, c, order_key).alias(f"__s_{n}")
                        for n, (k, c, _) in specs.items()]))
     if carry_fanout:
@@ -164,6 +207,8 @@ def running(df: DataFrame, keys, order, aggs: dict[str, tuple],
                     "after" if f in ("from", "after") else "before")
               .alias(f"__p_{n}") for n, (k, _, f) in specs.items()])
 
+    if hot is not None:
+        carried = F.broadcast(carried)              # at most 2 * MOST_CHUNKS rows: full chunks and a rest a key
     joined = inner.join(carried, (F.col("__key") == F.col("__ckey")) &
                         (F.col(_CHUNK) == F.col("__cchunk")), "left")
     out = joined.select(

@@ -266,9 +266,8 @@ def reconcile_msg(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _next_errors(spark, sf_dir, keys):
     b = _log(spark, sf_dir)
     is_err = F.col("behavior") == "error"
-    # Without a key every chunk holds all users' events: cut finer (1 min).
     return patterns.next_pattern(b, keys, "ts", "seq", is_err, is_err, 6 * HOUR,
-                                 fields=["user_id"], chunk_seconds=HOUR if keys else 60)
+                                 fields=["user_id"])
 
 
 def pattern_next(spark: SparkSession, sf_dir: str) -> DataFrame:
