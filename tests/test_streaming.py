@@ -217,3 +217,81 @@ def test_order_status_out_of_order_batches_equal_batch(spark, scratch):
     exp = detectors.order_status(order_log(spark, SMALL), limit_s=365 * 86400) \
         .select("order_id", "status")
     assert _same(last, exp)
+
+
+def test_one_run_fills_all_outputs_and_a_replayed_epoch_adds_nothing(spark, scratch):
+    from tidemark.streaming.run import epoch_writer, read_outputs, run_to_tables
+    spark.createDataFrame([(1, "pass"), (2, "pass"), (3, "alarm")], "seq bigint, output string").write.parquet(f"{scratch}/in")
+    s = spark.readStream.schema("seq bigint, output string").parquet(f"{scratch}/in")
+    got = run_to_tables(s, "output", ["pass", "alarm", "none"], "t_outputs", path=f"{scratch}/out")
+    seqs = lambda t: sorted(r["seq"] for r in t.collect())
+    assert (seqs(got["pass"]), seqs(got["alarm"]), seqs(got["none"])) == ([1, 2], [3], [])
+    write = epoch_writer(f"{scratch}/again", "output")
+    batch = spark.read.parquet(f"{scratch}/in")
+    for epoch in (0, 1, 1, 0):              # a lost driver runs an epoch again
+        write(batch.where(F.col("seq") % 2 == epoch), epoch)
+    again = read_outputs(spark, f"{scratch}/again", batch.schema, "output", ["pass", "alarm"])
+    assert (seqs(again["pass"]), seqs(again["alarm"])) == ([1, 2], [3])
+
+
+def test_order_state_ends_after_its_retention(spark, scratch):
+    """A late pay inside the retention corrects the verdict; afterwards no
+    state is left; every event of another type is reported."""
+    import time
+    day = 86400
+    parts = [[("o1", "create", 0), ("o2", "create", 0), ("o3", "refund", 0), ("o2", "refund", 5), ("o4", "pay", 10)],
+             [("x", "create", 1200)], [("w", "create", 1300)], [("o1", "pay", 2000)], [("y", "create", 30 * day)], [("z", "create", 90 * day)]]
+    os.makedirs(f"{scratch}/src")
+    schema = "order_id string, event_type string, ts timestamp, seq bigint"
+    for i, rows in enumerate(parts):
+        df = spark.createDataFrame([(o, e, t) for o, e, t in rows], "order_id string, event_type string, s bigint")
+        df.select("order_id", "event_type", F.timestamp_seconds("s").alias("ts"), F.lit(0).cast("bigint").alias("seq")) \
+          .coalesce(1).write.parquet(f"{scratch}/p{i}")
+    _stage(scratch, [f"p{i}" for i in range(len(parts))])
+    s = (spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(f"{scratch}/src").withWatermark("ts", "0 seconds"))
+    out = stateful.apply(s, ["order_id"], stateful.OrderStatus(["order_id"], 900, retention_s=7 * day),
+                         "status string, create_us bigint, pay_us bigint, delay_s bigint, n bigint")
+    q = run_stream(out, "t_retention", f"{scratch}/out", checkpoint=f"{scratch}/ck", trigger="0 seconds", partitions=2)
+    try:
+        q.processAllAvailable()
+        time.sleep(1)
+        left = q.lastProgress["stateOperators"][0]["numRowsTotal"]
+    finally:
+        q.stop()
+    rows = [(r.order_id, r.status, r.n) for r in spark.read.parquet(f"{scratch}/out").collect()]
+    assert sorted(r for r in rows if r[0] not in "wxyz") == [
+        ("o1", "paid_late", 2), ("o1", "unpaid", 1), ("o2", "bad_type", 0), ("o2", "unpaid", 1), ("o3", "bad_type", 0),
+        ("o4", "pay_without_create", 1)]
+    assert left == 1                        # the last order only
+
+
+def test_followed_by_and_next_out_of_order_equal_batch(spark, scratch):
+    """One busy key, rows dealt to the micro-batches out of order."""
+    ev = spark.read.parquet(f"{SMALL}/events.parquet").withColumn("user_id", F.lit(7).cast("bigint"))
+    for i in range(3):
+        ev.filter(F.pmod("event_id", F.lit(3)) == i).coalesce(1).write.parquet(f"{scratch}/part{i}")
+    _stage(scratch, [f"part{i}" for i in range(3)])
+    b = behaviour_from(ev)
+    a, p = F.col("behavior") == "view", F.col("behavior") == "purchase"
+    end = EndOfInput(spark)
+    s = _stream(spark, ev.schema, scratch, end).select(
+        "user_id", "ts", "seq", F.when(F.col("behavior") == "view", "a").when(F.col("behavior") == "purchase", "b").alias("kind"))
+    out = stateful.apply(s, ["user_id"], stateful.FollowedBy(["user_id"], 1800),
+                         "output string, a_seq bigint, a_us bigint, b_seq bigint, b_us bigint")
+    got = run_to_table(out, "t_followed", end=end)
+    exp = patterns.followed_by(b, ["user_id"], "ts", "seq", a, p, 1800)
+    assert _same(got.where("output = 'match'").select("a_seq", "b_seq"), exp.where("matched").select("a_seq", "b_seq"))
+    assert _same(got.where("output = 'timeout'").select("a_seq"), exp.where("not matched").select("a_seq"))
+
+    end = EndOfInput(spark)
+    s = _stream(spark, ev.schema, scratch, end).select("user_id", "ts", "seq", F.coalesce(a, F.lit(False)).alias("is_first"), F.coalesce(p, F.lit(False)).alias("is_second"))
+    out = stateful.apply(s, ["user_id"], stateful.NextPattern(["user_id"], 1800),
+                         "a_seq bigint, a_us bigint, b_seq bigint, b_us bigint")
+    got = run_to_table(out, "t_next", end=end).select("a_seq", "b_seq")
+    exp = patterns.next_pattern(b, ["user_id"], "ts", "seq", a, p, 1800).select("a_seq", "b_seq")
+    assert exp.count() > 0 and _same(got, exp)
+
+
+def test_bad_events(spark):
+    df = spark.createDataFrame([(1, "create"), (1, "refund"), (2, None), (3, "pay")], "order_id int, event_type string")
+    assert sorted(r.order_id for r in detectors.bad_events(df).collect()) == [1, 2]

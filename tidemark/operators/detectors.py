@@ -94,13 +94,24 @@ def order_status(events: DataFrame, order_id: str = "order_id", event_type: str
     g = events.groupBy(order_id).agg(
         F.min(F.when(F.col(event_type) == "create", t)).alias("create_ts"),
         F.min(F.when(F.col(event_type) == "pay", t)).alias("pay_ts"))
-    delay = F.unix_seconds("pay_ts") - F.unix_seconds("create_ts")
-    status = (F.when(F.col("create_ts").isNotNull() & F.col("pay_ts").isNotNull(),
+    return g.select(order_id, *verdict("create_ts", "pay_ts", limit_s), "create_ts", "pay_ts").select(
+        order_id, "status", "create_ts", "pay_ts", "delay_s")
+
+
+def verdict(create: str, pay: str, limit_s: int) -> list[Column]:
+    """K9: status and delay_s from an order's create and pay time."""
+    delay = F.unix_seconds(pay) - F.unix_seconds(create)
+    status = (F.when(F.col(create).isNotNull() & F.col(pay).isNotNull(),
                      F.when(delay > limit_s, "paid_late").otherwise("ok"))
-               .when(F.col("create_ts").isNotNull(), "unpaid")
-               .when(F.col("pay_ts").isNotNull(), "pay_without_create")
+               .when(F.col(create).isNotNull(), "unpaid")
+               .when(F.col(pay).isNotNull(), "pay_without_create")
                .otherwise("bad_type"))
-    return g.select(order_id, status.alias("status"), "create_ts", "pay_ts", delay.alias("delay_s"))
+    return [status.alias("status"), delay.alias("delay_s")]
+
+
+def bad_events(events: DataFrame, known=("create", "pay"), event_type: str = "event_type") -> DataFrame:
+    """K9: every event of a type that is not `known` (a null type is not)."""
+    return events.where(~F.coalesce(F.col(event_type).isin(*known), F.lit(False)))
 
 
 def reconcile_message(joined: DataFrame, left_id: str, right_id: str) -> DataFrame:

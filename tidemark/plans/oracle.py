@@ -278,6 +278,13 @@ SELECT order_id,
 FROM d"""
 
 
+SQL["stream_cap_outputs"] = f"""SELECT *, 'pass' AS output FROM ({SQL["cap_pass"]})
+UNION ALL BY NAME SELECT *, 'alarm' AS output FROM ({SQL["cap_alarm"]})"""
+
+SQL["stream_pattern_outputs"] = f"""SELECT user_id, 'match' AS output, a_seq, b_seq, b_ts AS ts FROM ({SQL["pattern_followed_by"]})
+UNION ALL SELECT user_id, 'timeout', a_seq, NULL, timeout_ts FROM ({SQL["pattern_timeout"]})"""
+
+
 def _stream_oracles() -> None:
     from tidemark.streaming.twins import BATCH_TWIN
     for stream_name, batch_name in BATCH_TWIN.items():

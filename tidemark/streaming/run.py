@@ -7,11 +7,11 @@
                   `availableNow` run stops with the last window still open.
                   `run_to_table(..., end=...)` drains the data in as many
                   micro-batches as it takes, then writes the flush row and
-                  drains again on the same checkpoint.  The flush row moves the
+                  lets the same query go on.  The flush row moves the
                   watermark past every real window; its own window never
                   closes, so it is never emitted.  Keyed stateful operators
-                  skip it (`is_flush`).  The checkpoint is then marked as
-                  ended, and a later start on it raises an error instead of
+                  skip it (`is_flush`).  The checkpoint is marked as
+                  ended before that, and a later start on it raises an error instead of
                   dropping new rows as late.
 * `keep`          a filter that always lets the flush row through.  Spark
                   pushes filters that do not mention the event-time column
@@ -93,11 +93,12 @@ def _ended(spark: SparkSession, checkpoint: str):
 
 def run_stream(df: DataFrame, name: str, path: str | None = None, mode: str = "append",
                fmt: str = "parquet", checkpoint: str | None = None,
-               trigger: str | None = None, partitions: int | None = None) -> StreamingQuery:
+               trigger: str | None = None, partitions: int | None = None, each_batch=None) -> StreamingQuery:
     """Start a named, checkpointed query.  Re-running with the same
     checkpoint resumes where the last run stopped (exactly-once file sink).
     trigger=None -> availableNow (drain what is there, then stop);
     trigger="5 seconds" -> processing-time micro-batches.
+    `each_batch` (batch, epoch) takes the rows in place of a sink.
     `partitions` sets the shuffle / state partitions of a new checkpoint
     (fixed for its life, so give it the size of the live state; default: the
     session's `spark.sql.shuffle.partitions`); the session setting is restored
@@ -108,8 +109,8 @@ def run_stream(df: DataFrame, name: str, path: str | None = None, mode: str = "a
     if fs.exists(marker):
         raise ValueError(f"{checkpoint} has passed its end of input: its watermark would drop every new row; "
                          "start with a new checkpoint")
-    w =(df.writeStream.queryName(name).outputMode(mode).format(fmt)
-           .option("checkpointLocation", checkpoint))
+    w = df.writeStream.queryName(name).outputMode(mode).option("checkpointLocation", checkpoint)
+    w = w.foreachBatch(each_batch) if each_batch else w.format(fmt)
     if path:
         w = w.option("path", path)
     w = w.trigger(availableNow=True) if trigger is None else w.trigger(processingTime=trigger)
@@ -129,8 +130,9 @@ def run_to_table(df: DataFrame, name: str, mode: str = "append",
                  end: EndOfInput | None = None) -> DataFrame:
     """Drain a stream into a Parquet folder and read the result back as a
     batch DataFrame (used by the registered stream twins and the tests).
-    With `end` (attached to the stream) it is drained again after its flush
-    row, and the checkpoint is marked as ended.
+    With `end` (attached to the stream) one query drains the data, then its
+    flush row.  The checkpoint is marked as ended before the flush row is
+    written, so that a driver lost in between cannot resume behind it.
 
     drain="availableNow"  one `availableNow` run (file sources)
     drain="all"           micro-batches until the source reports nothing new
@@ -138,25 +140,62 @@ def run_to_table(df: DataFrame, name: str, mode: str = "append",
     spark = df.sparkSession
     path = path or scratch_path(spark, f"out-{name}")
     checkpoint = checkpoint or scratch_path(spark, f"ckpt-{name}")
-    if end is not None:
-        run_stream(df, name, path, mode, "parquet", checkpoint, partitions=partitions).awaitTermination()
-        end.close()
-    if drain == "all":
-        q = run_stream(df, name, path, mode, "parquet", checkpoint, trigger="0 seconds",
-                       partitions=partitions)
-        try:
-            q.processAllAvailable()
-        finally:
-            q.stop()
-    else:
-        q = run_stream(df, name, path, mode, "parquet", checkpoint, partitions=partitions)
-        q.awaitTermination()
-    if end is not None:
-        fs, marker = _ended(spark, checkpoint)
-        fs.create(marker).close()
+    trigger = "0 seconds" if drain == "all" or end is not None else None
+    _finish(run_stream(df, name, path, mode, "parquet", checkpoint, trigger=trigger, partitions=partitions), checkpoint, end,
+            trigger is None)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _finish(q: StreamingQuery, checkpoint: str, end: EndOfInput | None, stops: bool = False) -> None:
+    """Wait until the query has drained its input, and then its end."""
+    if stops:
+        q.awaitTermination()
+        return
+    try:
+        q.processAllAvailable()
+        if end is not None:
+            fs, marker = _ended(end.spark, checkpoint)
+            fs.create(marker).close()
+            end.close()
+            q.processAllAvailable()
+    finally:
+        q.stop()
+
+
+def run_to_tables(df: DataFrame, tag: str, outputs: list[str], name: str, path: str | None = None,
+                  checkpoint: str | None = None, partitions: int | None = None,
+                  end: EndOfInput | None = None) -> dict[str, DataFrame]:
+    """Drain a stream once into several outputs, {value of `tag`: table}.
+    One job writes all outputs of a micro-batch, into a folder of its epoch
+    that it replaces: an epoch that is run again after a failure adds nothing,
+    and no output is ahead of another.  Values not listed get no table."""
+    spark = df.sparkSession
+    path = path or scratch_path(spark, f"out-{name}")
+    checkpoint = checkpoint or scratch_path(spark, f"ckpt-{name}")
+    write = epoch_writer(path, tag)
+    q = run_stream(df, name, checkpoint=checkpoint, trigger="0 seconds" if end is not None else None, partitions=partitions,
+                   each_batch=write)
+    _finish(q, checkpoint, end, end is None)
+    return read_outputs(spark, path, df.schema, tag, outputs)
+
+
+def epoch_writer(path: str, tag: str):
+    """`foreachBatch` function of `run_to_tables`."""
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.write.partitionBy(tag).mode("overwrite").parquet(f"{path}/epoch={epoch}")
+    return write
+
+
+def read_outputs(spark: SparkSession, path: str, schema: T.StructType, tag: str, outputs: list[str]) -> dict[str, DataFrame]:
+    """The tables that `epoch_writer` wrote; an output without rows is empty."""
+    columns = T.StructType([f for f in schema.fields if f.name != tag])
+    both = T.StructType([*columns.fields, T.StructField("epoch", T.LongType()), T.StructField(tag, T.StringType())])
+    fs, p = _path(spark, path)
+    fs.mkdirs(p)
+    rows = spark.read.schema(both).parquet(path)
+    return {o: rows.where(F.col(tag) == o).select(*columns.names) for o in outputs}
+
+
 def console(df: DataFrame, label: str, mode: str = "append") -> StreamingQuery:
     """Labelled print sink."""
     return (df.withColumn("label", F.lit(label)).writeStream.outputMode(mode)

@@ -10,17 +10,21 @@ reference's event-time timer) fires between rows when a row comes later than
 it, or when the watermark passes it.  Results are then the same whatever the
 micro-batch boundaries, and equal to the batch operators.
 
-Per key and callback the processor reads its one state value once, works on
-plain Python values, and writes it back once; one timer per key is armed at
-the earliest buffered row.  State per key is O(1) values plus the rows not yet
-passed by the watermark.  Times inside the processors are epoch microseconds.
+State is typed and held apart: one value per key (the deadline and the
+processor's own columns), a list of the rows that wait for the watermark, which
+arrivals are appended to without reading it, and, where a processor asks for
+it, a list of pending items.  A timer is armed at the earliest row of each
+arrival; when it fires, the waiting rows are read once and the few behind the
+watermark written back.  A processor that has nothing left to remember drops
+its state (`forget`).  Times inside the processors are epoch microseconds.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import heapq
 import math
-import pickle
+from itertools import chain as _chain
 from typing import Iterator
 
 import pandas as pd
@@ -52,18 +56,21 @@ class OrderedProcessor(StatefulProcessor):
       KEYS        key column names (set in __init__)
       FIELDS      buffered input columns besides ts/seq, FIELD_TYPES their types
       STATE       DDL of the processor's own state row, INITIAL its start value
+      ITEMS       DDL of a list of pending items, if any (`self.pending`)
       OUT         output column names after the key columns
 
     and implement `on_row(s, ts_us, seq, fields)` and `on_deadline(s, when_us)`
     working on `s`, a mutable list holding the state row; both return a list
     of output tuples.  `set_deadline` / `clear_deadline` manage the single
-    event-time deadline of the key."""
+    event-time deadline of the key; `forget` drops the key's state after the
+    callback, unless rows still wait."""
 
     KEYS: tuple[str, ...] = ()
     FIELDS: tuple[str, ...] = ()
     FIELD_TYPES: tuple[str, ...] = ()
     STATE: str = "x bigint"
     INITIAL: tuple = (None,)
+    ITEMS: str = ""
     OUT: tuple[str, ...] = ()
     # True: rows in and out as Row objects (`transformWithState`); False:
     # pandas frames (`transformWithStateInPandas`).  Set by `apply`.
@@ -74,22 +81,50 @@ class OrderedProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        # One value per key: the deadline (the key's event-time timer), the
-        # earliest buffered row time a timer is armed for, the buffered rows
-        # (pickled list of (ts_us, seq, *fields)), then the processor's own
-        # state.  One read and one write per key and callback.
-        self.all = handle.getValueState(
-            "all", f"deadline bigint, armed bigint, buf binary, {self.STATE}")
-        self._dl = None
+        self.own = handle.getValueState("own", f"deadline bigint, {self.STATE}")
+        if self.ORDERED:
+            self.waiting = handle.getListState("waiting", ", ".join(
+                ["ts_us bigint", "seq bigint", *[f"f{i} {t}" for i, t in enumerate(self.FIELD_TYPES)]]))
+        if self.ITEMS:
+            self.items = handle.getListState("items", self.ITEMS)
+        self._dl, self._forget, self._pending, self._kept = None, False, None, 0
 
     def _load(self):
-        v = self.all.get()
-        if v is None:
-            return None, None, [], list(self.INITIAL)
-        return v[0], v[1], (pickle.loads(v[2]) if v[2] is not None else []), list(v[3:])
-
-    def _save(self, deadline, armed, buf, s) -> None:
-        self.all.update((deadline, armed, pickle.dumps(buf, protocol=5) if buf else None, *s))
+        self._forget, self._pending = False, None
+        v = self.own.get()
+        return (None, list(self.INITIAL)) if v is None else (v[0], list(v[1:]))
+
+    def _save(self, old: tuple, s: list, waits: bool) -> None:
+        if self._pending is not None:
+            if not self._pending:
+                if self._kept:
+                    self.items.clear()
+            elif self._kept < 0:
+                self.items.put(self._pending)
+            elif len(self._pending) > self._kept:
+                self.items.appendList(self._pending[self._kept:])
+        if self._forget and not waits and self._dl is None:
+            if self.own.exists():
+                self.own.clear()
+        elif (self._dl, *s) != old:
+            self.own.update((self._dl, *s))
+
+    @property
+    def pending(self) -> list[tuple]:
+        """The list of pending items, read when first asked for; append to
+        it, or take some off with `keep_pending`."""
+        if self._pending is None:
+            self._pending = [tuple(x) for x in self.items.get()]
+            self._kept = len(self._pending)
+        return self._pending
+
+    def keep_pending(self, rest: list[tuple]) -> None:
+        if len(rest) != len(self.pending):
+            self._pending = rest
+            self._kept = -1 if self._kept else 0
+
+    def forget(self) -> None:
+        self._forget = True
 
     # hooks for subclasses -------------------------------------------------
     def on_row(self, s: list, ts_us: int, seq: int, fields: tuple) -> list[tuple]:
@@ -120,24 +155,20 @@ class OrderedProcessor(StatefulProcessor):
                 new.extend(zip(*cols))
         if not new:
             return iter(())
-        deadline, armed, buf, s = self._load()
-        if not self.ORDERED:
-            # order-insensitive processors handle rows as they come; only
-            # their deadline waits for the watermark
-            self._dl = deadline
-            out: list[tuple] = []
-            for r in sorted(new, key=lambda r: (r[0], r[1])):
-                out += self.on_row(s, r[0], r[1], tuple(r[2:]))
-            self._move_timer(deadline, None)
-            self._save(self._dl, None, [], s)
-            return iter(self._emit(key, out))
-        buf.extend(new)
-        first = min(r[0] for r in new)
-        if armed is None or first < armed:
-            self.handle.registerTimer(_ms_ceil(first))
-            armed = first
-        self._save(deadline, armed, buf, s)
-        return iter(())
+        if self.ORDERED:
+            self.waiting.appendList(new)
+            self.handle.registerTimer(_ms_ceil(min(r[0] for r in new)))
+            return iter(())
+        # order-insensitive processors handle rows as they come; only their
+        # deadline waits for the watermark
+        self._dl, s = self._load()
+        old = (self._dl, *s)
+        out: list[tuple] = []
+        for r in sorted(new, key=lambda r: (r[0], r[1])):
+            out += self.on_row(s, r[0], r[1], tuple(r[2:]))
+        self._move_timer(old[0], None)
+        self._save(old, s, False)
+        return iter(self._emit(key, out))
 
     def _move_timer(self, old: int | None, fired_up_to: int | None) -> None:
         """Re-register the deadline timer if the deadline changed."""
@@ -163,28 +194,29 @@ class OrderedProcessor(StatefulProcessor):
         return iter(self._advance(key, timerValues.getCurrentWatermarkInMs() * 1000))
 
     def _advance(self, key, wm_us: int) -> list[pd.DataFrame]:
-        deadline, armed, buf, s = self._load()
-        due = armed is not None and armed <= wm_us
-        if not due and (deadline is None or deadline > wm_us):
+        waiting = [tuple(r) for r in self.waiting.get()] if self.ORDERED else []
+        ready = sorted((r for r in waiting if r[0] <= wm_us), key=lambda r: (r[0], r[1]))
+        self._dl, s = self._load()
+        if not ready and (self._dl is None or self._dl > wm_us):
             return []
-        ready = sorted((r for r in buf if r[0] <= wm_us), key=lambda r: (r[0], r[1])) if due else []
-        rest = [r for r in buf if r[0] > wm_us] if due else buf
-        self._dl = deadline
+        old = (self._dl, *s)
         out: list[tuple] = []
         for r in ready:
             while self._dl is not None and self._dl < r[0]:
                 d, self._dl = self._dl, None
                 out += self.on_deadline(s, d)
-            out += self.on_row(s, r[0], r[1], tuple(r[2:]))
+            out += self.on_row(s, r[0], r[1], r[2:])
         while self._dl is not None and self._dl <= wm_us:
             d, self._dl = self._dl, None
             out += self.on_deadline(s, d)
-        self._move_timer(deadline, wm_us)
-        if due:
-            armed = min(r[0] for r in rest) if rest else None
-            if armed is not None:
-                self.handle.registerTimer(_ms_ceil(armed))
-        self._save(self._dl, armed, rest, s)
+        self._move_timer(old[0], wm_us)
+        rest = [r for r in waiting if r[0] > wm_us]
+        if ready and rest:
+            self.waiting.put(rest)
+            self.handle.registerTimer(_ms_ceil(min(r[0] for r in rest)))
+        elif ready:
+            self.waiting.clear()
+        self._save(old, s, bool(rest))
         return self._emit(key, out)
 
     def close(self) -> None:
@@ -253,20 +285,24 @@ class OrderStatus(OrderedProcessor):
     `limit_s` after the first event, `unpaid` or `pay_without_create` is
     emitted at that deadline and corrected if the partner comes later.  Each
     verdict carries a running number `n`; the last one per order equals the
-    batch `order_status`."""
+    batch `order_status`.  Every event of another type gives a `bad_type` row
+    (n = 0) of its own.
+
+    `retention_s` after its last verdict an order is forgotten (None: never);
+    a partner that comes later than that starts a new order."""
 
     FIELDS = ("event_type",)
     FIELD_TYPES = ("string",)
     ORDERED = False     # the verdict depends on the earliest create and pay only
-    STATE = "create_us bigint, pay_us bigint, n bigint"
-    INITIAL = (None, None, 0)
+    STATE = "create_us bigint, pay_us bigint, n bigint, settled bigint"
+    INITIAL = (None, None, 0, 0)
     OUT = ("status", "create_us", "pay_us", "delay_s", "n")
 
-    def __init__(self, keys, limit_s: int):
+    def __init__(self, keys, limit_s: int, retention_s: int | None = None):
         self.KEYS = tuple(keys)
-        self.limit_s = limit_s
+        self.limit_s, self.retention_s = limit_s, retention_s
 
-    def _verdict(self, s):
+    def _verdict(self, s, when_us):
         c, p = s[0], s[1]
         if c is not None and p is not None:
             delay = p // 1_000_000 - c // 1_000_000
@@ -274,22 +310,34 @@ class OrderStatus(OrderedProcessor):
         else:
             delay = None
             status = "unpaid" if c is not None else "pay_without_create"
-        s[2] += 1
+        s[2], s[3] = s[2] + 1, 1
+        if self.retention_s is None:
+            self.clear_deadline()
+        else:
+            self.set_deadline(when_us + self.retention_s * 1_000_000)
         return [(status, c, p, delay, s[2])]
 
     def on_row(self, s, ts_us, seq, fields):
         side = {"create": 0, "pay": 1}.get(fields[0])
-        if side is None or (s[side] is not None and s[side] <= ts_us):
-            return []          # unknown types and later repeats do not change the verdict
+        if side is None:
+            if s[0] is None and s[1] is None:
+                self.forget()
+            return [("bad_type", None, None, None, 0)]
+        if s[side] is not None and s[side] <= ts_us:
+            return []          # later repeats do not change the verdict
         s[side] = ts_us        # the earliest create / pay counts
+        self._forget = False
         if s[0] is not None and s[1] is not None:
-            self.clear_deadline()
-            return self._verdict(s)
+            return self._verdict(s, max(s[0], s[1]))
+        s[3] = 0
         self.set_deadline(ts_us + self.limit_s * 1_000_000)
         return []
 
     def on_deadline(self, s, when_us):
-        return self._verdict(s)
+        if not s[3]:
+            return self._verdict(s, when_us)
+        self.forget()
+        return []
 
 
 class RiseTimer(OrderedProcessor):
@@ -334,46 +382,62 @@ class FollowedBy(OrderedProcessor):
 
     FIELDS = ("kind",)
     FIELD_TYPES = ("string",)
-    STATE = "pending binary"
-    INITIAL = (None,)
+    ITEMS = "a_us bigint, a_seq bigint"
     OUT = ("output", "a_seq", "a_us", "b_seq", "b_us")
 
     def __init__(self, keys, within_s: int):
         self.KEYS = tuple(keys)
         self.within_us = within_s * 1_000_000
 
-    def _waiting(self, s):
-        return pickle.loads(s[0]) if s[0] is not None else []
+    def _timeouts(self, items):
+        return [("timeout", a_seq, a_us, None, a_us + self.within_us) for a_us, a_seq in items]
+
+    def on_row(self, s, ts_us, seq, fields):
+        if fields[0] == "a":
+            self.pending.append((ts_us, seq))
+            if len(self.pending) == 1:
+                self.set_deadline(ts_us + self.within_us)
+            return []
+        if fields[0] != "b" or not self.pending:
+            return []
+        late = [p for p in self.pending if ts_us - p[0] >= self.within_us]
+        out = self._timeouts(late) + [("match", a_seq, a_us, seq, ts_us) for a_us, a_seq in self.pending[len(late):]]
+        self.keep_pending([])
+        self.clear_deadline()
+        self.forget()
+        return out
 
-    def _store(self, s, pend):
-        s[0] = pickle.dumps(pend, protocol=5) if pend else None
-        if pend:
-            self.set_deadline(pend[0][0] + self.within_us)
+    def on_deadline(self, s, when_us):
+        due = [p for p in self.pending if p[0] + self.within_us <= when_us]
+        self.keep_pending(self.pending[len(due):])
+        if self.pending:
+            self.set_deadline(self.pending[0][0] + self.within_us)
         else:
-            self.clear_deadline()
+            self.forget()
+        return self._timeouts(due)
+
+
+class NextPattern(OrderedProcessor):
+    """K2: `begin(first).next(second).within(within_s)` per key: the very next
+    event of the key.  The last event is carried across micro-batches."""
+
+    FIELDS = ("is_first", "is_second")
+    FIELD_TYPES = ("boolean", "boolean")
+    STATE = "last_us bigint, last_seq bigint, last_first boolean"
+    INITIAL = (None, None, None)
+    OUT = ("a_seq", "a_us", "b_seq", "b_us")
+
+    def __init__(self, keys, within_s: int):
+        self.KEYS = tuple(keys)
+        self.within_us = within_s * 1_000_000
 
     def on_row(self, s, ts_us, seq, fields):
-        kind = fields[0]
-        pend = self._waiting(s)
         out = []
-        if kind == "b" and pend:
-            for a_us, a_seq in pend:
-                if ts_us - a_us < self.within_us:
-                    out.append(("match", a_seq, a_us, seq, ts_us))
-                else:
-                    out.append(("timeout", a_seq, a_us, None, a_us + self.within_us))
-            pend = []
-        if kind == "a":
-            pend.append((ts_us, seq))
-        self._store(s, pend)
+        if fields[1] and s[2] and ts_us - s[0] < self.within_us:
+            out.append((s[1], s[0], seq, ts_us))
+        s[:] = [ts_us, seq, bool(fields[0])]
         return out
 
-    def on_deadline(self, s, when_us):
-        pend = self._waiting(s)
-        due = [p for p in pend if p[0] + self.within_us <= when_us]
-        self._store(s, [p for p in pend if p[0] + self.within_us > when_us])
-        return [("timeout", a_seq, a_us, None, a_us + self.within_us) for a_us, a_seq in due]
-
 
 class RepeatedFailure(OrderedProcessor):
     """K6: a failure within `max_gap_s` of the key's first failure
@@ -398,6 +462,39 @@ class RepeatedFailure(OrderedProcessor):
         return out
 
 
+class TopOfWindow(StatefulProcessor):
+    """The `n` best (score, keys) rows of a window, score descending,
+    then keys ascending, kept as a heap of at most `n` typed state rows and
+    emitted, ranked, when the watermark passes the window's end.  The grouping
+    key is (window_end, salt)."""
+
+    def __init__(self, n: int, keys: list[str], types: list[str]):
+        self.n, self.keys, self.types = n, keys, types
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.best = handle.getListState("best", ", ".join(["neg bigint", *[f"k{i} {t}" for i, t in enumerate(self.types)]]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        held = [tuple(r) for r in self.best.get()]
+        # nulls sort first, as in the batch form
+        order = lambda r: (r[0], *[(v is not None, v) for v in r[1:]])
+        best = heapq.nsmallest(self.n, _chain(held, ((-r["score"], *[r[k] for k in self.keys]) for r in rows)), key=order)
+        self.best.put(best)
+        if not held:
+            self.handle.registerTimer(int(key[0].timestamp() * 1000))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        make = Row("window_end", "score", *self.keys)
+        out = [make(key[0], -r[0], *r[1:]) for r in self.best.get()]
+        self.best.clear()
+        return iter(out)
+
+    def close(self) -> None:
+        pass
+
+
 # ---------------------------------------------------------------------------
 # Stand-in for a null key (the flush row has null keys).  A null in an integer
 # key column would turn the whole Arrow batch of keys into floats on the

@@ -2,8 +2,8 @@
 
 Each function reads the driver's table as a file stream, runs the same
 operator as its batch twin on Structured Streaming (watermark, state store,
-checkpoint in the shared checkpoint folder), drains it with `availableNow`,
-again after the flush row that ends the input, and returns the committed output as a DataFrame with
+checkpoint in the shared checkpoint folder), drains it and then the flush
+row that ends the input, and returns the committed output as a DataFrame with
 the batch twin's columns.  The batch twin's oracle SQL therefore checks the
 stream too.
 """
@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import event_time, to_ntz
-from tidemark.operators import joins, windows
+from tidemark.operators import detectors, joins, windows
 from tidemark.sources.tables import behaviour_from
 from tidemark.streaming import stateful
-from tidemark.streaming.run import EndOfInput, keep, run_to_table, stream_table
+from tidemark.streaming.run import EndOfInput, keep, run_to_table, run_to_tables, stream_table
 
 HOUR, FIVE_MIN = 3600, 300
 
@@ -81,30 +81,38 @@ def stream_hop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("item_id", "click_count", to_ntz("window_end").alias("window_end"))
 
 
-def stream_top(spark: SparkSession, sf_dir: str, n: int = 3, salts: int = 16) -> DataFrame:
-    """T1 on a stream: `row_number` is not allowed on streams, so chained
-    window aggregations (append mode) rank the counts:
-      1. count per (window, item)
-      2. per (window, salt of item): the best n of that salt's items
-      3. per window: the best n of the salts' candidates
-    Step 2 spreads a window's key set over `salts` groups, so no state row
-    holds every key of a busy window; step 3 holds salts x n candidates.
-    Order: count desc, then item asc."""
+def top_of_windows(counts: DataFrame, keys: list[str], score: str, n: int = 3, salts: int = 16) -> DataFrame:
+    """T1-T3 on a stream of closed window counts (window, keys..., score):
+    (window_end, rank, keys..., score) of the n best per window.
+
+    `row_number` is not allowed on streams.  Per (window end, salt of the keys)
+    a heap of n rows is kept in typed state and emitted by an event-time timer
+    (`TopOfWindow`), so a busy window is spread over `salts` groups and no
+    state holds its keys; the salts' salts * n candidates are then ranked by a
+    window aggregate.  Order: score descending, then keys ascending."""
+    types = {f.name: f.dataType.simpleString() for f in counts.schema.fields}
+    rows = counts.select(F.col("window.end").alias("window_end"), F.window_time("window").alias("at"), *keys, F.col(score).alias("score"))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64(*keys), F.lit(salts)).cast("int"))
+    best = rows.groupBy("window_end", "salt").transformWithState(
+        statefulProcessor=stateful.TopOfWindow(n, keys, [types[k] for k in keys]),
+        outputStructType=f"window_end timestamp, score bigint, {', '.join(f'{k} {types[k]}' for k in keys)}",
+        outputMode="Append", timeMode="EventTime", eventTimeColumnName="window_end")
+    cand = F.struct((-F.col("score")).alias("neg"), *keys)
+    ranked = best.groupBy("window_end").agg(F.slice(F.sort_array(F.collect_list(cand)), 1, n).alias("top"))
+    top = ranked.select("window_end", F.posexplode("top").alias("pos", "e"))
+    return top.select("window_end", (F.col("pos") + 1).alias("rank"), *[F.col(f"e.{k}").alias(k) for k in keys],
+                      (-F.col("e.neg")).alias(score))
+
+
+def stream_top(spark: SparkSession, sf_dir: str, n: int = 3, salts: int | None = None) -> DataFrame:
+    """T1 on a stream: three most viewed items per window end (1 h / 5 min).
+    `salts`: groups that a window is spread over, by default the setting
+    `tidemark.stream.salts` or 2; more for windows of very many keys."""
+    salts = salts or int(spark.conf.get("tidemark.stream.salts", "2"))
     end = EndOfInput(spark)
-    v = _views(spark, sf_dir, end)
     w = F.window("ts", f"{HOUR} seconds", f"{FIVE_MIN} seconds")
-    counts = v.groupBy(w.alias("window"), "item_id").agg(F.count(F.lit(1)).alias("click_count"))
-    cand = F.struct((-F.col("click_count")).alias("neg"), F.col("item_id").alias("item_id"))
-    part = (counts.groupBy("window", F.pmod(F.xxhash64("item_id"), F.lit(salts)).alias("salt"))
-                  .agg(F.slice(F.sort_array(F.collect_list(cand)), 1, n).alias("best")))
-    ranked = part.groupBy("window").agg(
-        F.slice(F.sort_array(F.flatten(F.collect_list("best"))), 1, n).alias("top"))
-    top = ranked.select(F.col("window.end").alias("window_end"),
-                        F.posexplode("top").alias("pos", "e"))
-    out = _drain(top.select("window_end", (F.col("pos") + 1).alias("rank"),
-                                  F.col("e.item_id").alias("item_id"),
-                                  (-F.col("e.neg")).alias("click_count")),
-                 "stream_top", end)
+    counts = _views(spark, sf_dir, end).groupBy(w.alias("window"), "item_id").agg(F.count(F.lit(1)).alias("click_count"))
+    out = _drain(top_of_windows(counts, ["item_id"], "click_count", n, salts), "stream_top", end)
     return out.select(to_ntz("window_end").alias("window_end"), F.col("rank").cast("int"),
                       "item_id", "click_count")
 
@@ -142,48 +150,57 @@ def stream_prev_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     return res.select("user_id", "seq", "last_value", "cur_value")
 
 
-def _cap_stream(spark, sf_dir):
+def _cap_stream(spark, sf_dir) -> dict[str, DataFrame]:
+    """Both outputs of the daily cap, from one run."""
     end = EndOfInput(spark)
     s = behaviour_stream(spark, sf_dir, end)
     out = stateful.apply(s, ["user_id", "behavior"],
                          stateful.DailyCap(["user_id", "behavior"], cap=2),
                          "output string, seq bigint, ts_us bigint", fields=())
-    return _drain(out, "stream_cap", end)
+    both = run_to_tables(out, "output", ["pass", "alarm"], "stream_cap", partitions=_state_partitions(spark), end=end)
+    return {o: t.select("user_id", "behavior", "seq", to_ntz(F.timestamp_micros("ts_us")).alias("ts")) for o, t in both.items()}
 
 
 def stream_cap_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K7 on a stream: rows passing the daily cap (main output)."""
-    res = _cap_stream(spark, sf_dir).filter(F.col("output") == "pass")
-    return res.select("user_id", "behavior", "seq", to_ntz(F.timestamp_micros("ts_us")).alias("ts"))
+    return _cap_stream(spark, sf_dir)["pass"]
 
 
 def stream_cap_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K7/U2 on a stream: the alarm side output."""
-    res = _cap_stream(spark, sf_dir).filter(F.col("output") == "alarm")
-    return res.select("user_id", "behavior", "seq", to_ntz(F.timestamp_micros("ts_us")).alias("ts"))
+    return _cap_stream(spark, sf_dir)["alarm"]
+
+
+def stream_cap_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main and side output of the daily cap, filled by one run."""
+    both = _cap_stream(spark, sf_dir)
+    return both["pass"].withColumn("output", F.lit("pass")).unionByName(both["alarm"].withColumn("output", F.lit("alarm")))
+
+
+def order_status_stream(events: DataFrame, limit_s: int, retention_s: int) -> DataFrame:
+    """K9 on a watermarked stream (order_id, event_type, ts): one verdict per
+    order, once nothing has come for it for `limit_s` + `retention_s`; then its
+    state is gone.  An order's events are a session with that gap, so a late
+    pay within the retention still makes it `paid_late`.  All in the JVM; for
+    verdicts at once, and corrections of them, see `stateful.OrderStatus`."""
+    gap = F.session_window("ts", f"{limit_s + retention_s} seconds")
+    first = lambda kind: F.min(F.when(F.col("event_type") == kind, F.col("ts")))
+    s = events.groupBy(gap.alias("session"), "order_id").agg(first("create").alias("create_ts"), first("pay").alias("pay_ts"))
+    return s.select("order_id", *detectors.verdict("create_ts", "pay_ts", limit_s), "create_ts", "pay_ts")
 
 
 def stream_order_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K9 on a stream: creates from the `orders` stream, pays from the
-    `lineitem` stream (each line is a pay event; the earliest counts), one
-    `OrderStatus` processor per order.  Returns the last verdict per order."""
+    `lineitem` stream (each line is a pay event; the earliest counts)."""
     end = EndOfInput(spark)
     creates = stream_table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("order_id"), event_time("o_orderdate").alias("ts"),
-        F.lit(0).cast("bigint").alias("seq"), F.lit("create").alias("event_type"))
+        F.col("o_orderkey").alias("order_id"), event_time("o_orderdate").alias("ts"), F.lit("create").alias("event_type"))
     pays = stream_table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("order_id"), event_time("l_shipdate").alias("ts"),
-        F.lit(1).cast("bigint").alias("seq"), F.lit("pay").alias("event_type"))
+        F.col("l_orderkey").alias("order_id"), event_time("l_shipdate").alias("ts"), F.lit("pay").alias("event_type"))
     s = end.attach(creates.unionByName(pays), "ts")
-    out = stateful.apply(s, ["order_id"], stateful.OrderStatus(["order_id"], 365 * 24 * HOUR),
-                         "status string, create_us bigint, pay_us bigint, delay_s bigint, n bigint")
-    res = _drain(out, "stream_order_status", end)
-    last = res.groupBy("order_id").agg(F.max_by(F.struct("status", "create_us", "pay_us",
-                                                         "delay_s"), "n").alias("v"))
-    return last.select("order_id", F.col("v.status").alias("status"),
-                       to_ntz(F.timestamp_micros("v.create_us")).alias("create_ts"),
-                       to_ntz(F.timestamp_micros("v.pay_us")).alias("pay_ts"),
-                       F.col("v.delay_s").alias("delay_s"))
+    year = 365 * 24 * HOUR      # in these tables creates and pays of an order lie years apart, in either order
+    res = _drain(order_status_stream(s, year, 10 * year), "stream_order_status", end)
+    return res.select("order_id", "status", to_ntz("create_ts").alias("create_ts"), to_ntz("pay_ts").alias("pay_ts"), "delay_s")
 
 
 def stream_rise_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,7 +215,8 @@ def stream_rise_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
                       to_ntz(F.timestamp_micros("alert_us")).alias("alert_ts"))
 
 
-def _followed_by_stream(spark, sf_dir):
+def _followed_by_stream(spark, sf_dir) -> dict[str, DataFrame]:
+    """Matches and timeouts of the rule, from one run."""
     end = EndOfInput(spark)
     s = behaviour_stream(spark, sf_dir, end)
     s = s.select("user_id", "ts", "seq",
@@ -206,24 +224,45 @@ def _followed_by_stream(spark, sf_dir):
                   .when(F.col("behavior") == "purchase", "b").alias("kind"))
     out = stateful.apply(s, ["user_id"], stateful.FollowedBy(["user_id"], 24 * HOUR),
                          "output string, a_seq bigint, a_us bigint, b_seq bigint, b_us bigint")
-    return _drain(out, "stream_followed_by", end)
+    return run_to_tables(out, "output", ["match", "timeout"], "stream_followed_by", partitions=_state_partitions(spark), end=end)
 
 
 def stream_followed_by(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3 on a stream: view followed by purchase of the same user within a
     day (`FollowedBy` processor, pending views in state)."""
-    res = _followed_by_stream(spark, sf_dir).filter(F.col("output") == "match")
+    res = _followed_by_stream(spark, sf_dir)["match"]
     return res.select("user_id", "a_seq", to_ntz(F.timestamp_micros("a_us")).alias("a_ts"),
                       "b_seq", to_ntz(F.timestamp_micros("b_us")).alias("b_ts"))
 
 
 def stream_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4 on a stream: the timeout side output, emitted at view + 1 day."""
-    res = _followed_by_stream(spark, sf_dir).filter(F.col("output") == "timeout")
+    res = _followed_by_stream(spark, sf_dir)["timeout"]
     return res.select("user_id", "a_seq", to_ntz(F.timestamp_micros("a_us")).alias("a_ts"),
                       to_ntz(F.timestamp_micros("b_us")).alias("timeout_ts"))
 
 
+def stream_pattern_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matches and timeouts, filled by one run."""
+    both = _followed_by_stream(spark, sf_dir)
+    return both["match"].withColumn("output", F.lit("match")).unionByName(
+        both["timeout"].withColumn("output", F.lit("timeout"))).select(
+        "user_id", "output", "a_seq", "b_seq", to_ntz(F.timestamp_micros("b_us")).alias("ts"))
+
+
+def stream_pattern_next(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2 on a stream: error immediately followed by error of the same user
+    within 6 h (`NextPattern`)."""
+    end = EndOfInput(spark)
+    err = F.coalesce(F.col("behavior") == "error", F.lit(False))
+    s = behaviour_stream(spark, sf_dir, end, "1 hour").select("user_id", "ts", "seq", err.alias("is_first"), err.alias("is_second"))
+    out = stateful.apply(s, ["user_id"], stateful.NextPattern(["user_id"], 6 * HOUR),
+                         "a_seq bigint, a_us bigint, b_seq bigint, b_us bigint")
+    res = _drain(out, "stream_pattern_next", end)
+    return res.select("user_id", "a_seq", to_ntz(F.timestamp_micros("a_us")).alias("a_ts"),
+                      "b_seq", to_ntz(F.timestamp_micros("b_us")).alias("b_ts"))
+
+
 def stream_first_fail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6 on a stream: errors within a day of the user's first error
     (`RepeatedFailure` processor)."""
@@ -272,11 +311,14 @@ STREAM_QUERIES = {
     "stream_prev_change": stream_prev_change,
     "stream_cap_pass": stream_cap_pass,
     "stream_cap_alarm": stream_cap_alarm,
+    "stream_cap_outputs": stream_cap_outputs,
+    "stream_pattern_outputs": stream_pattern_outputs,
     "stream_order_status": stream_order_status,
     "stream_rise_alerts": stream_rise_alerts,
     "stream_wc": stream_wc,
     "stream_followed_by": stream_followed_by,
     "stream_timeout": stream_timeout,
+    "stream_pattern_next": stream_pattern_next,
     "stream_first_fail": stream_first_fail,
 }
 
@@ -294,5 +336,6 @@ BATCH_TWIN = {
     "stream_wc": "wc_nonempty_ws",
     "stream_followed_by": "pattern_followed_by",
     "stream_timeout": "pattern_timeout",
+    "stream_pattern_next": "pattern_next",
     "stream_first_fail": "first_fail",
 }
