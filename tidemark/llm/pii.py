@@ -86,17 +86,47 @@ _VALID = {
 }
 
 
+# A plain word among tokens that are a line each (what `_EDGE` leaves of it is a `_WORD`).
+_PLAIN = r"(?md)^[^0-9\p{L}+(@\n]*+\p{L}++(?:[\x27’-]\p{L}++)*+[^0-9\p{L})@\n]*+$"
+_WHITE = r"' \t\n\r\u000B\u000C'"
+_STEP = 32      # tokens between two of the positions that are kept
+
+
 def _tokens(t: DataFrame) -> DataFrame:
-    """`t` with p, the tokens of `text` with their positions, and c, their
-    forms as context."""
-    t = (t.withColumn("m", F.expr(f"regexp_extract_all(text, {_quoted(_TOKEN)}, 0)"))
-         .withColumn("g", F.expr(f"case when size(m) > 0 then split(text, {_quoted(_TOKEN)}, -1) else cast(array() as array<string>) end"))
-         .withColumn("p", F.expr(_located("m", "g"))))
-    return t.withColumn("c", F.expr("transform(m, w -> lower(regexp_replace(right(w, 40), '[0-9]', '0')))"))
+    """`t` (text, has_digit) with m, the tokens of the text; n, their number;
+    c, their forms as context (of a long token its last 40 code points);
+    other, the tokens with '' for each plain word.  What concerns all tokens
+    is done on them as one string of lines, not token by token."""
+    none = "cast(array() as array<string>)"
+    lines = lambda e: f"case when n > 0 then split({e}, '\\n', -1) else {none} end"
+    t = t.withColumn("w", F.expr(rf"""case when has_digit then regexp_extract_all(text, r'(?:{_TOKEN})\s*+', 0)
+        else regexp_extract_all(text, r'\S++\s*+', 0) end"""))
+    t = t.withColumn("m", F.expr(f"transform(w, x -> trim(trailing {_WHITE} from x))")).withColumn("n", F.size("w"))
+    t = t.withColumn("lines", F.array_join("m", "\n"))
+    t = t.withColumn("c", F.expr(lines("lower(translate(lines, '123456789', '000000000'))")))
+    t = t.withColumn("c", F.expr("case when exists(m, x -> length(x) > 40) then transform(c, x -> right(x, 40)) else c end"))
+    return t.withColumn("other", F.expr(lines(f"regexp_replace(lines, {_quoted(_PLAIN)}, '')")))
+
+
+def _placed(t: DataFrame) -> DataFrame:
+    """`t` with what `_start` needs: the lengths of the tokens with the white
+    space behind them, and the position of every `_STEP`th."""
+    t = t.withColumn("lens", F.expr("transform(w, x -> length(x))"))
+    sums = f"""transform(sequence(0, (n - 1) div {_STEP}), k -> aggregate(slice(lens, cast(k * {_STEP} + 1 as int), {_STEP}), 0L, (a, l) -> a + l))"""
+    lead = r"cast(length(text) - length(trim(leading " + _WHITE + r" from text)) as bigint)"
+    return t.withColumn("at", F.expr(f"""case when n = 0 then cast(array() as array<bigint>) else
+        aggregate({sums}, array({lead}), (a, x) -> concat(a, array(element_at(a, -1) + x))) end"""))
+
+
+def _start(i: str) -> str:
+    """SQL: position of token i."""
+    return f"""(at[cast({i} div {_STEP} as int)] + aggregate(slice(lens, cast({i} div {_STEP} as int) * {_STEP} + 1,
+        cast({i} % {_STEP} as int)), 0L, (a, l) -> a + l))"""
 
 
 def _form(v: str) -> str:
-    """SQL: a part of a word as context, '' if only signs are left."""
+    """SQL: a part of a word as context (of a long one the last 40 code
+    points), '' if only signs are left."""
     return f"lower(regexp_replace(right(regexp_replace({v}, {_quoted(_EDGE)}, ''), 40), '[0-9]', '0'))"
 
 
@@ -121,21 +151,28 @@ def _patterns(l2: F.Column, l1r1: F.Column) -> F.Column:
 
 def plain_words(docs: DataFrame, patterns: DataFrame, text: str = "text") -> DataFrame:
     """(pattern, n_words): distinct plain words in each of the `patterns`."""
-    t = docs.select(F.col(text).alias("text")).where("text <> ''")
-    t = t.select(F.expr(f"regexp_extract_all(text, {_quoted(_TOKEN)}, 0)").alias("m"))
-    t = t.withColumn("c", F.expr("transform(m, w -> lower(regexp_replace(right(w, 40), '[0-9]', '0')))"))
-    occ = t.select(F.explode(F.expr(f"""filter(transform(m, (w, i) -> named_struct(
-        'value', lower(regexp_replace(w, {_quoted(_EDGE)}, '')), 'l2', {_left2('i')}, 'l1r1', {_around('i', 'i + 1')})),
-        u -> u.value rlike {_quoted(_WORD)})""")).alias("u")).select("u.*")
-    occ = occ.select("value", F.explode(_patterns(F.col("l2"), F.col("l1r1"))).alias("pattern")).where("pattern is not null")
-    return occ.join(bounded_broadcast(patterns), "pattern").distinct().groupBy("pattern").agg(F.count(F.lit(1)).alias("n_words"))
+    t = docs.select(F.col(f"`{text}`").alias("text")).where("text <> ''")
+    t = _tokens(t.withColumn("has_digit", F.col("text").rlike("[0-9]")))
+    # first the nearest word on the left, which is part of either pattern, then the patterns themselves
+    known = bounded_broadcast(patterns)
+    left = bounded_broadcast(saved(patterns.select(F.expr(
+        "case when pattern like 'l2 %' then substring_index(pattern, ' ', -1) else split(pattern, ' ')[1] end").alias("l1")).distinct(), "pii-left"))
+    occ = t.select(F.explode(F.expr("""transform(filter(sequence(0, n - 1), i -> n > 0 and other[i] = ''), i -> named_struct(
+        'value', m[i], 'two', case when i >= 2 then c[i - 2] end, 'l1', case when i >= 1 then c[i - 1] else '' end,
+        'next', case when i + 1 < n then c[i + 1] else '' end))""")).alias("u")).select("u.*")
+    several = F.col("l1").contains(" ")             # numbers taken together
+    near = occ.where(~several).join(left, "l1", "left_semi").unionByName(occ.where(several))
+    occ = near.select(F.expr(f"lower(regexp_replace(value, {_quoted(_EDGE)}, ''))").alias("value"), F.explode(_patterns(
+        F.expr("case when two is not null then concat(two, ' ', l1) else '' end"),
+        F.expr("concat(l1, ' _ ', next)"))).alias("pattern")).where("pattern is not null")
+    return occ.join(known, "pattern").distinct().groupBy("pattern").agg(F.count(F.lit(1)).alias("n_words"))
 
 
 def located_base(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, row_key, email, ip, card, phone, units): per row the base
     spans of each kind, and the strings that are not plain words with their contexts.
     row_key is equal only for rows with equal id and text."""
-    t = docs.select(F.col(doc).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    t = docs.select(F.col(f"`{doc}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     t = t.withColumn("has_digit", F.col("text").rlike("[0-9]"))
     none = "cast(array() as array<string>)"
     for k in KINDS:
@@ -143,21 +180,29 @@ def located_base(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> Da
              .withColumn("g", F.expr(f"case when size(m) > 0 then split(text, {_quoted(_PATTERN[k])}, -1) else {none} end"))
              .withColumn("p", F.expr(_located("m", "g")))
              .withColumn(k, F.expr(f"filter(p, x -> {_VALID[k]})")).drop("m", "g", "p"))
-    t = _tokens(t)
-    # base spans as tokens of their own: n words lie before each, and `to` begin before its end
+    t = _placed(_tokens(t))
+    # base spans: i tokens lie before each, and j begin before its end; found from the kept positions and the tokens behind one
     base = ", ".join(f"""transform({k}, b -> named_struct('s', b.s, 'e', b.e, 'v', b.v, 'kind', {i}))""" for i, k in enumerate(KINDS))
     t = t.withColumn("b", F.expr(f"concat({base})"))
-    t = t.withColumn("seeds", F.expr(f"""transform(transform(transform(b, x -> named_struct('x', x,
-        'i', size(filter(p, w -> w.e <= x.s)), 'j', size(filter(p, w -> w.s < x.e)))),
-        y -> named_struct('x', y.x, 'i', y.i, 'j', y.j,
-            'h', {_form("right(substr(p[y.i].v, 1, cast(y.x.s - p[y.i].s as int)), 60)")},
-            'r', {_form("substr(p[y.j - 1].v, cast(y.x.e - p[y.j - 1].s + 1 as int), 60)")})),
+    behind = lambda k: f"sequence({k} * {_STEP}, least(n, {k} * {_STEP} + {_STEP}) - 1)"
+    t = t.withColumn("b", F.expr(f"""transform(transform(b, x -> named_struct('x', x,
+        'k', size(filter(at, q -> q <= x.s)) - 1, 'l', size(filter(at, q -> q < x.e)) - 1)),
+        y -> named_struct('x', y.x, 'i', y.k * {_STEP} + size(filter({behind("y.k")}, u -> {_start("u")} + length(m[u]) <= y.x.s)),
+            'j', y.l * {_STEP} + size(filter({behind("y.l")}, u -> {_start("u")} < y.x.e))))"""))
+    t = t.withColumn("seeds", F.expr(f"""transform(transform(b, y -> named_struct('x', y.x, 'i', y.i, 'j', y.j,
+            'h', {_form(f"right(substr(m[y.i], 1, cast(y.x.s - {_start('y.i')} as int)), 60)")},
+            'r', {_form(f"substr(m[y.j - 1], cast(y.x.e - {_start('(y.j - 1)')} + 1 as int), 60)")})),
         y -> named_struct('s', y.x.s, 'v', y.x.v, 'l2', {_left2("y.i", "y.h")}, 'l1r1', {_around("y.i", "y.j", "y.h", "y.r")},
             'kind', y.x.kind))"""))
-    # plain words are most of a text and are dropped first; o: the base spans that meet a word
-    kept = f"""transform(filter(transform(p, (x, i) -> named_struct('x', x, 'i', i)),
-            z -> not regexp_replace(z.x.v, {_quoted(_EDGE)}, '') rlike {_quoted(_WORD)}),
-        z -> named_struct('x', z.x, 'i', z.i, 'o', case when size(b) = 0 then b else filter(b, o -> o.s < z.x.e and z.x.s < o.e) end))"""
+    # plain words are most of a text and are dropped first; o: the base spans that meet a word, looked up in groups of 64
+    t = t.withColumn("met", F.expr("array_sort(transform(b, y -> named_struct('i', y.i, 'j', y.j, 's', y.x.s, 'e', y.x.e)))"))
+    t = t.withColumn("met", F.expr("""case when size(met) > 0 then transform(sequence(0, (size(met) - 1) div 64), k -> named_struct(
+        'lo', met[cast(k * 64 as int)].i, 'hi', array_max(slice(met, cast(k * 64 + 1 as int), 64).j), 'all', slice(met, cast(k * 64 + 1 as int), 64))) end"""))
+    meets = "flatten(transform(filter(met, g -> g.lo <= z.i and z.i < g.hi), g -> filter(g.all, y -> y.i <= z.i and z.i < y.j)))"
+    none_met = "cast(array() as array<struct<i: int, j: int, s: bigint, e: bigint>>)"
+    kept = f"""transform(transform(filter(sequence(0, n - 1), i -> n > 0 and other[i] <> ''), i -> named_struct('i', i, 's', {_start("i")})),
+        z -> named_struct('x', named_struct('s', z.s, 'e', z.s + length(m[z.i]), 'v', m[z.i]), 'i', z.i,
+            'o', case when met is null then {none_met} else {meets} end))"""
     # the parts of a word outside them: between the sorted ends and the sorted starts
     kept = f"transform({kept}, z -> named_struct('x', z.x, 'i', z.i, 'o', z.o, 'ends', array_sort(z.o.e), 'starts', array_sort(z.o.s)))"
     bounds = """transform(sequence(0, size(z.o)), k -> named_struct(
@@ -225,6 +270,8 @@ def find(docs: DataFrame, doc: str = "doc_id", text: str = "text", **options) ->
     """(doc_id, email, ip, card, phone, found): one row per row of `docs`.
     The first four are the base spans (array of s, e), `found` the spans
     added by bootstrapping (kind, s, e, score), which overlap no base span.
+    A token counts as context by its last 40 code points, the parts of a token
+    before and behind a span by the 60 nearest it.
     Null and empty texts have no spans; rows may repeat; a null id is an id
     like others; an empty table gives an empty result."""
     located = saved(located_base(docs, doc, text), "pii-located")
