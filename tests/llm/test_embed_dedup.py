@@ -70,3 +70,23 @@ def test_odd_vectors(spark):
         df.where("vec_id = 9").selectExpr("cast(null as long)", "embedding", "label", "g", "n"))).collect()
     assert sorted(str(tuple(r)) for r in twice) == sorted(
         ["(8, 3, 8, True)", "(9, 3, 8, False)", "(9, 3, 8, False)", "(None, 3, 8, False)"])
+
+
+def test_cosine_of_exactly_the_limit(spark):
+    """Integer vectors whose cosine is exactly 98 / 100 link, whatever the
+    partitioning; those just below do not."""
+    import itertools
+    import math
+    pairs = []
+    for a in itertools.product(range(-9, 10, 2), repeat=4):
+        if sum(x * x for x in a) == 100:
+            pairs.append(a)
+    extra = [(-9, -3, -3, -1), (-9, -3, -3, 1), (9, 3, 3, 1), (90, 30, 30, 10), (-18, -6, -6, 2)]
+    vecs = [*dict.fromkeys([*pairs, *extra])]
+    df = spark.createDataFrame([(i, "x", [float(c) for c in v]) for i, v in enumerate(vecs)], "vec_id long, label string, embedding array<double>")
+    n = [sum(1 for j, b in enumerate(vecs) if i != j and (d := sum(x * y for x, y in zip(a, b))) > 0
+             and 10000 * d * d >= 9604 * sum(x * x for x in a) * sum(x * x for x in b)) for i, a in enumerate(vecs)]
+    for parts, cell in ((1, 2000), (7, 20)):
+        got = {r.vec_id: r.n_links for r in ed.near_duplicates(df.repartition(parts), cell=cell).collect()}
+        assert [got[i] for i in range(len(vecs))] == n
+    assert max(n) > 0 and math.isclose(98 / 100, 0.98)

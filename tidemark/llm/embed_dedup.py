@@ -1,6 +1,6 @@
 """Near-duplicate embeddings: exact metric range join.
 
-Vectors are scaled to length one, where cosine >= c is the same as a chord of
+Vectors are scaled to length one in the tasks, where cosine >= c is the same as a chord of
 at most eps = sqrt(2 - 2 c).  Within each label, pivots (a bounded number of
 vectors, in hash order) partition the vectors: a vector's home is the cell of
 its nearest pivot.  If x lies in cell p and has a neighbour y in cell q, then
@@ -16,7 +16,8 @@ a vector are present in its home cell, so links are counted there, once.
 
 Equal vectors are one class with a count beforehand.  A cell is worked in
 blocks of bounded size; a block gives link counts and the edges of a spanning
-forest, never the pairs themselves.
+forest, never the pairs themselves.  Pairs within 1e-9 of the limit are decided
+on the vectors as they are, so the result does not depend on the blocks.
 """
 
 from __future__ import annotations
@@ -40,6 +41,39 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
+def _unit(x: np.ndarray) -> np.ndarray:
+    """Rows scaled to length one; by their largest component first, so that
+    the norm neither overflows nor vanishes."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+
+
+def _exact(a: np.ndarray, b: np.ndarray, scaled: np.ndarray) -> np.ndarray:
+    """Cosine of each pair of rows as dot / (|a| |b|), each sum taken in the
+    order of the components; `scaled` where that is not finite."""
+    dot, aa, bb = (np.zeros(len(a)) for _ in range(3))
+    with np.errstate(all="ignore"):
+        for k in range(a.shape[1]):
+            dot += a[:, k] * b[:, k]
+            aa += a[:, k] * a[:, k]
+            bb += b[:, k] * b[:, k]
+        out = dot / (np.sqrt(aa) * np.sqrt(bb))
+    return np.where(np.isfinite(out) & np.isfinite(dot) & (aa > 1e-280) & (bb > 1e-280), out, scaled)
+
+
+def _linked(a: np.ndarray, b: np.ndarray, cosine: float) -> np.ndarray:
+    """Table of the pairs of rows whose cosine is at least `cosine`.  The
+    product of scaled rows depends on its rounding, and on the shape of the
+    block, near the limit only; pairs there are worked out one by one."""
+    near = _unit(a) @ _unit(b).T
+    mask = near >= cosine
+    i, j = np.nonzero(np.abs(near - cosine) <= _SLACK)
+    for lo in range(0, len(i), 1 << 16):
+        p, q = i[lo:lo + (1 << 16)], j[lo:lo + (1 << 16)]
+        mask[p, q] = _exact(a[p], b[q], near[p, q]) >= cosine
+    return mask
+
+
 def _assign(pivots: dict[str, np.ndarray], radius: dict | None, eps: float):
     """Home cell and distance of each class (radius None), or its rows for
     all cells it belongs to."""
@@ -47,7 +81,7 @@ def _assign(pivots: dict[str, np.ndarray], radius: dict | None, eps: float):
         groups = np.array(b.column(b.schema.get_field_index("g")).to_pylist(), dtype=object)
         for g in dict.fromkeys(groups):
             rows = b.take(pa.array(np.flatnonzero(groups == g)))
-            x = _matrix(rows.column(rows.schema.get_field_index("vec")))
+            x = _unit(_matrix(rows.column(rows.schema.get_field_index("vec"))))
             p = pivots.get(g)
             if p is None:                                    # a label of one cell
                 dots = np.zeros((len(x), 1))
@@ -110,7 +144,7 @@ def _block(cosine: float):
         a, b, count = [], [], []
         if own.any() and not own.all():
             hid, mid = cid[own], cid[~own]
-            mask = vec[own] @ vec[~own].T >= cosine
+            mask = _linked(vec[own], vec[~own], cosine)
             mask &= hid[:, None] != mid[None, :]
             links = mask @ n[~own].astype(np.int64)
             some = np.flatnonzero(links)
@@ -146,15 +180,10 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.98, key: str = "vec_id
     small_batches(spark)
     rows = vectors.select(F.col(f"`{key}`").alias("vec_id"), F.col(f"`{label}`").cast("string").alias("l"),
                           F.col(f"`{vector}`").cast("array<double>").alias("v"))
-    rows = rows.withColumn("norm", F.expr("""case when l is not null and size(v) > 0
-        and forall(v, x -> x is not null and not isnan(x) and abs(x) < double('infinity'))
-        then sqrt(aggregate(v, 0D, (s, x) -> s + x * x)) end"""))
-    # vectors of extreme length are scaled first, so their norm neither overflows nor vanishes
-    rows = rows.withColumn("top", F.expr("case when norm is not null then array_max(transform(v, x -> abs(x))) end"))
-    rows = rows.withColumn("v", F.expr("case when top > 0 then transform(v, x -> x / top) end"))
-    rows = rows.withColumn("norm", F.expr("sqrt(aggregate(v, 0D, (s, x) -> s + x * x))"))
-    rows = rows.select("vec_id", F.expr("case when v is not null then concat(l, ':', size(v)) end").alias("g"),
-                       F.expr("transform(v, x -> x / norm)").alias("vec"))
+    whole = F.expr("""l is not null and size(v) > 0 and exists(v, x -> x <> 0)
+        and forall(v, x -> x is not null and not isnan(x) and abs(x) < double('infinity'))""")
+    rows = rows.withColumn("g", F.when(whole, F.expr("concat(l, ':', size(v))"))).select(
+        "vec_id", "g", F.expr("case when g is not null then v end").alias("vec"))
     rows = saved(rows.withColumn("cid", F.expr("case when g is not null then xxhash64(g, vec) end")), "emb-rows")
     classes = saved(rows.where("cid is not null").groupBy("cid").agg(
         F.first("g").alias("g"), F.count(F.lit(1)).alias("n"), F.first("vec").alias("vec"))
@@ -171,7 +200,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.98, key: str = "vec_id
     by: dict[str, list] = {}
     for r in sorted(chosen, key=lambda r: (r.g, r.cid)):
         by.setdefault(r.g, []).append(r.vec)
-    centre = {g: np.array(v) for g, v in by.items()}
+    centre = {g: _unit(np.array(v)) for g, v in by.items()}
     eps = float(np.sqrt(2 - 2 * cosine))
 
     base = "cid long, g string, n long, vec array<double>"
