@@ -14,15 +14,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_written: dict[str, list[str]] = {}
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write `df` below `spark.checkpoint.dir` and read it back: a lost
     executor then costs a re-read, not a recomputation of the lineage."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, but: DataFrame | None = None) -> None:
+    """Delete the tables that `saved` has written in this application and
+    that `but` does not read.  For a job whose results are written: tables not
+    yet read to the end must not be discarded."""
+    needed = but.inputFiles() if but is not None else []
+    conf, rest = spark._jsc.hadoopConfiguration(), []
+    for path in _written.pop(spark.sparkContext.applicationId, []):
+        if any(f"/{path.rsplit('/', 1)[1]}/" in f for f in needed):
+            rest.append(path)
+            continue
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    _written[spark.sparkContext.applicationId] = rest
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound what one Arrow batch holds, so Python workers stay small even
     when texts are long."""
@@ -30,10 +49,12 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
-def bounded_broadcast(df: DataFrame, rows: int = 100_000) -> DataFrame:
+def bounded_broadcast(df: DataFrame, rows: int = 100_000, items: str | None = None, most: int = 1_000_000) -> DataFrame:
     """`df` marked for broadcast if it is counted to have at most `rows`
-    (narrow) rows; a larger table stays unmarked and joins by shuffle."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    (narrow) rows, and at most `most` elements in the lists of column `items`;
+    a larger table stays unmarked and joins by shuffle."""
+    n, k = df.limit(rows + 1).agg(F.count(F.lit(1)), F.sum(F.size(items)) if items else F.lit(0)).first()
+    return F.broadcast(df) if n <= rows and (k or 0) <= most else df
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

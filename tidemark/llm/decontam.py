@@ -99,5 +99,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of `docs` that hold no item; columns as they were.  Rows
     whose id is null stay unless a row without id holds an item."""
     key = options.get("doc", "doc_id")
-    bad = contaminated(docs, benchmark, **options).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, F.col(f"`{key}`").eqNullSafe(F.col("__bad")), "left_anti")
+    bad = saved(contaminated(docs, benchmark, **options).select(F.col("doc_id").alias("__bad")).distinct(), "decontam-bad")
+    return docs.join(bounded_broadcast(bad, 1_000_000), F.col(f"`{key}`").eqNullSafe(F.col("__bad")), "left_anti")

@@ -152,7 +152,7 @@ def links(src: DataFrame, different: DataFrame, similarity: float) -> DataFrame:
     active = saved(lists.select("id").distinct().join(different, "id"), "line-active")
     want = active.groupBy("doc", F.expr("shiftright(at, 39)").alias("tie")).agg(
         F.collect_list(F.struct("id", "at")).alias("want"))                     # bounded by the text
-    want = bounded_broadcast(saved(want, "line-wanted"), 50_000)
+    want = bounded_broadcast(saved(want, "line-wanted"), 200_000, "want")
     text = saved(src.join(want, ["doc", "tie"]).select("text", "want")
                  .mapInArrow(_text_rows, "id long, line string").dropDuplicates(["id"]), "line-texts")
 
@@ -205,15 +205,14 @@ def keep_first_lines(docs: DataFrame, similarity: float = 0.8, doc: str = "doc_i
     kept as they are, n_lines and n_dropped are replaced; an empty table gives
     an empty result.
     """
-    gone = dropped(docs, similarity, doc, text)
+    gone = bounded_broadcast(saved(dropped(docs, similarity, doc, text), "line-gone"), 1_000_000, "places", 4_000_000)
     keep = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     full = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"),
                        F.coalesce(F.col(f"`{doc}`").cast("long"), F.lit(NO_ID)).alias("doc"),
                        F.expr(f"pmod(xxhash64(`{text}`), {1 << 24})").alias("tie"))
     full = full.join(gone, ["doc", "tie"], "left").withColumn("t", F.col("row").getField(text))
-    full = full.withColumn("lines", F.expr("case when t <> '' then split(t, '\\n', -1) end"))
     left = F.expr("""case when places is null then t else array_join(transform(
-        array_except(sequence(0, size(lines) - 1), places), i -> lines[i]), '\\n') end""")
+        array_except(sequence(0, size(split(t, '\\n', -1)) - 1), places), i -> split(t, '\\n', -1)[i]), '\\n') end""")
     cols = [left.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in keep]
-    return full.select(*cols, F.expr("cast(case when lines is null then 0 else size(lines) end as long)").alias("n_lines"),
+    return full.select(*cols, F.expr("cast(case when t <> '' then length(t) - length(replace(t, '\\n', '')) + 1 else 0 end as long)").alias("n_lines"),
                        F.expr("cast(case when places is null then 0 else size(places) end as long)").alias("n_dropped"))
