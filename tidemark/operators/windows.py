@@ -111,3 +111,24 @@ def window_agg(df: DataFrame, ts: str, size, slide=None, keys=(), aggs=()) -> Da
     rest = [c for c in out.columns if c != "window"]
     return out.select(F.col("window.start").alias("window_start"),
                       F.col("window.end").alias("window_end"), *rest)
+
+
+def sketch(df: DataFrame, ts: str, size, of: str, keys=(), log_k: int = 12) -> DataFrame:
+    """A4, approximate: window_start, window_end, keys..., sketch: an HLL
+    sketch of the distinct values of `of` per tumbling window, combined on the
+    map side, of at most about 2^`log_k` bytes.  Null values are not counted."""
+    return tumbling(df, ts, size, keys, [F.hll_sketch_agg(F.col(of), F.lit(log_k)).alias("sketch")])
+
+
+def merge_sketches(sketches: DataFrame, size, keys=(), name: str = "uv") -> DataFrame:
+    """Distinct values per longer window from the sketches of shorter ones,
+    without their rows: window_start, window_end, keys..., `name`.  `size`
+    must be a multiple of the sketches' window.  The estimate's relative
+    standard error is 1.04 / sqrt(2^log_k) (`sketch_error`)."""
+    return window_agg(sketches.withColumn("__at", F.col("window_start")).drop("window_start", "window_end"), "__at", size, None, keys,
+                      [F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias(name)])
+
+
+def sketch_error(log_k: int = 12, sigmas: float = 3.0) -> float:
+    """Relative error that an estimate keeps to within `sigmas` standard errors."""
+    return sigmas * 1.04 / 2 ** (log_k / 2)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import epoch_seconds, seconds_to_ts, to_ntz
-from tidemark.operators import detectors, joins, patterns, relational, rolling, topn, windows
+from tidemark.operators import aggregate, detectors, joins, patterns, relational, rolling, topn, windows
 from tidemark.sources import text
 from tidemark.sources.tables import behaviour_log, order_log, table
 
@@ -36,6 +36,35 @@ def uv_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
                       to_ntz("window_end").alias("window_end"), "uv")
 
 
+def uv_sketch_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4, approximate: daily unique visitors merged from hourly HLL sketches,
+    held against the exact count: `within` says whether the estimate keeps to
+    three standard errors of the sketch."""
+    v = _views(spark, sf_dir)
+    day = 24 * HOUR
+    est = windows.merge_sketches(windows.sketch(v, "ts", HOUR, "user_id"), day, name="estimate")
+    exact = windows.tumbling_distinct(v, "ts", day, "user_id", name="uv")
+    both = exact.join(est, ["window_start", "window_end"], "left")
+    off = F.abs(F.col("estimate") - F.col("uv")) <= F.ceil(F.col("uv") * windows.sketch_error())
+    return both.select(to_ntz("window_start").alias("window_start"), to_ntz("window_end").alias("window_end"), "uv",
+                       F.coalesce(off, F.lit(False)).alias("within"))
+
+
+def value_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user's aggregate class (`aggregate.ValueProfile`) per hour and
+    event type, folded in every task before the shuffle."""
+    out = aggregate.window_aggregate(behaviour_log(spark, sf_dir), "ts", HOUR, ["behavior"], aggregate.ValueProfile())
+    return out.select("behavior", to_ntz("window_end").alias("window_end"), "n", "mean_item", "top_value", "top_seq")
+
+
+def uv_whole_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H6/A4: unique visitors per hour by a function over the whole window,
+    fed in user order as a stream of batches."""
+    out = aggregate.whole_window(_views(spark, sf_dir), "ts", HOUR, [], aggregate.distinct_in_order("user_id"), "uv bigint",
+                                 ["user_id"], ["user_id"])
+    return out.select(to_ntz("window_start").alias("window_start"), to_ntz("window_end").alias("window_end"), "uv")
+
+
 def hop_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Views per item on 1 h windows sliding by 5 min."""
     out = windows.sliding_count(_views(spark, sf_dir), "ts", HOUR, FIVE_MIN, ["item_id"],
@@ -358,6 +387,9 @@ def order_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "pv_tumbling": pv_tumbling,
     "uv_tumbling": uv_tumbling,
+    "uv_sketch_daily": uv_sketch_daily,
+    "uv_whole_window": uv_whole_window,
+    "value_profile": value_profile,
     "hop_count": hop_count,
     "top_items": top_items,
     "top_pages": top_pages,

@@ -49,6 +49,20 @@ SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
        count(DISTINCT user_id) AS uv
 FROM b WHERE behavior = 'view' GROUP BY 1, 2"""
 
+SQL["uv_whole_window"] = SQL["uv_tumbling"]
+
+SQL["uv_sketch_daily"] = f"""WITH {B}
+SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start,
+       time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end,
+       count(DISTINCT user_id) AS uv, true AS within
+FROM b WHERE behavior = 'view' GROUP BY 1, 2"""
+
+SQL["value_profile"] = f"""WITH {B}
+SELECT behavior, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, count(*) AS n,
+       CAST(sum(item_id) AS DOUBLE) / count(item_id) AS mean_item, max(value) AS top_value,
+       min_by(seq, (-value, seq)) FILTER (value IS NOT NULL) AS top_seq
+FROM b GROUP BY 1, 2"""
+
 SQL["hop_count"] = f"""WITH {B}, v AS (SELECT * FROM b WHERE behavior = 'view')
 SELECT item_id, count(*) AS click_count, window_end
 FROM ({_hop_rows('v', 3600, 300, 'item_id')}) GROUP BY item_id, window_end"""
