@@ -292,6 +292,10 @@ SELECT order_id,
 FROM d"""
 
 
+SQL["stream_late"] = f"""WITH {B}
+SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, count(*) AS kept, CAST(0 AS BIGINT) AS late
+FROM b WHERE behavior = 'view' GROUP BY 1"""
+
 SQL["stream_cap_outputs"] = f"""SELECT *, 'pass' AS output FROM ({SQL["cap_pass"]})
 UNION ALL BY NAME SELECT *, 'alarm' AS output FROM ({SQL["cap_alarm"]})"""
 

@@ -196,6 +196,14 @@ def read_outputs(spark: SparkSession, path: str, schema: T.StructType, tag: str,
     return {o: rows.where(F.col(tag) == o).select(*columns.names) for o in outputs}
 
 
+def dropped_rows(q: StreamingQuery) -> int:
+    """Rows that the query's built-in stateful operators dropped as late,
+    over its recent micro-batches (`spark.sql.streaming.numRecentProgressUpdates`
+    of them).  Aggregations count them after their map-side combination; for
+    an exact account by row see `stateful.count_with_late`."""
+    return sum(op["numRowsDroppedByWatermark"] for p in q.recentProgress for op in p["stateOperators"])
+
+
 def console(df: DataFrame, label: str, mode: str = "append") -> StreamingQuery:
     """Labelled print sink."""
     return (df.withColumn("label", F.lit(label)).writeStream.outputMode(mode)

@@ -495,6 +495,113 @@ class TopOfWindow(StatefulProcessor):
         pass
 
 
+class CountWithLate(StatefulProcessor):
+    """Rows per window that came before the watermark reached the
+    window's end ("count", given when it does) and, one by one, the rows that
+    came after ("late").  A window closes as soon as the watermark reaches its
+    end, and each row is in exactly one of the two outputs.  The grouping key
+    is (start_us, salt)."""
+
+    OUT = ("output", "start_us", "n", "seq", "ts_us")
+
+    def __init__(self, size_us: int):
+        self.size_us = size_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.count = handle.getValueState("count", "n bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        end_us = key[0] + self.size_us
+        make = Row(*self.OUT)
+        if end_us <= timerValues.getCurrentWatermarkInMs() * 1000:
+            return iter([make("late", key[0], None, r["seq"], r["ts_us"]) for r in rows if r["ts_us"] < FLUSH_US])
+        n = sum(1 for r in rows if r["ts_us"] < FLUSH_US)
+        if n:
+            held = self.count.get()
+            if held is None:
+                self.handle.registerTimer(_ms_ceil(end_us))
+            self.count.update((n + (held[0] if held else 0),))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        n = self.count.get()[0]
+        self.count.clear()
+        return iter([Row(*self.OUT)("count", key[0], n, None, None)])
+
+    def close(self) -> None:
+        pass
+
+
+def count_with_late(stream: DataFrame, size_s: int, salts: int = 4) -> DataFrame:
+    """(output, start_us, n, seq, ts_us) of a watermarked stream with `ts`
+    and `seq`: "count" rows hold a part of a window's count each (a window is
+    spread over `salts` groups; add them up), "late" rows one late row each.
+    Rows without a time are in no window."""
+    us = F.unix_micros("ts")
+    rows = stream.where(F.col("ts").isNotNull()).select(
+        (us - F.pmod(us, F.lit(size_s * 1_000_000))).alias("start_us"), F.pmod(F.xxhash64("seq"), F.lit(salts)).cast("int").alias("salt"),
+        us.alias("ts_us"), "seq")
+    return rows.groupBy("start_us", "salt").transformWithState(
+        statefulProcessor=CountWithLate(size_s * 1_000_000),
+        outputStructType="output string, start_us bigint, n bigint, seq bigint, ts_us bigint",
+        outputMode="Append", timeMode="EventTime")
+
+
+class RiseClock(StatefulProcessor):
+    """Alert when a key's value has not fallen for `hold_ms` of the
+    clock after a rise.  A rise arms a processing-time timer, a fall takes it
+    back, an equal value leaves it; it fires without further input.  The first
+    value is no rise (nothing to compare it with), nor is a null, which is
+    passed over.  Rows of a micro-batch are taken in (ts, seq) order."""
+
+    def __init__(self, keys: list[str], hold_ms: int):
+        self.keys, self.hold_ms = keys, hold_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.own = handle.getValueState("own", "last double, due bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        last, armed = self.own.get() or (None, None)
+        due = armed
+        for _, _, v in sorted((r["ts_us"], r["seq"], r["value"]) for r in rows if r["value"] is not None):
+            if last is not None and v > last and due is None:
+                due = timerValues.getCurrentProcessingTimeInMs() + self.hold_ms
+            elif last is not None and v < last:
+                due = None
+            last = v
+        if due != armed:
+            if armed is not None:
+                self.handle.deleteTimer(armed)
+            if due is not None:
+                self.handle.registerTimer(due)
+        self.own.update((last, due))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        when = expiredTimerInfo.getExpiryTimeInMs()
+        last, due = self.own.get()
+        if due != when:
+            return iter(())
+        self.own.update((last, None))
+        return iter([Row(*self.keys, "alert_ms")(*key, when)])
+
+    def close(self) -> None:
+        pass
+
+
+def rise_by_clock(stream: DataFrame, keys: list[str], hold_ms: int) -> DataFrame:
+    """Keys..., alert_ms of `RiseClock` over a stream with `ts`, `seq`,
+    `value`.  It needs no watermark; results follow the clock, so they are not
+    repeatable (`RiseTimer` is the event-time form)."""
+    types = {f.name: f.dataType.simpleString() for f in stream.schema.fields}
+    rows = stream.select(*keys, F.unix_micros("ts").alias("ts_us"), "seq", F.col("value").cast("double").alias("value"))
+    return rows.groupBy(*keys).transformWithState(
+        statefulProcessor=RiseClock(keys, hold_ms), outputStructType=f"{', '.join(f'{k} {types[k]}' for k in keys)}, alert_ms bigint",
+        outputMode="Append", timeMode="ProcessingTime")
+
+
 # ---------------------------------------------------------------------------
 # Stand-in for a null key (the flush row has null keys).  A null in an integer
 # key column would turn the whole Arrow batch of keys into floats on the

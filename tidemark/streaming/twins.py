@@ -14,10 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import event_time, to_ntz
-from tidemark.operators import detectors, joins, windows
+from tidemark.operators import detectors, joins, relational, windows
+from tidemark.session import scratch_path
 from tidemark.sources.tables import behaviour_from
 from tidemark.streaming import stateful
-from tidemark.streaming.run import EndOfInput, keep, run_to_table, run_to_tables, stream_table
+from tidemark.streaming.run import EndOfInput, keep, run_stream, run_to_table, run_to_tables, stream_table
+from tidemark.streaming.upsert import read_upserts, upsert_writer
 
 HOUR, FIVE_MIN = 3600, 300
 
@@ -277,29 +279,29 @@ def stream_first_fail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_wc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2/S3 on a stream: word totals over a file stream of documents (split
-    on whitespace characters, empty tokens dropped).  An aggregation without
-    event time has no watermark, so it runs in complete mode; each
-    micro-batch writes the whole result table (the vocabulary, not the rows)
-    over the previous one through `foreachBatch`."""
-    from tidemark.operators import relational
-    from tidemark.session import scratch_path
+    on whitespace characters, empty tokens dropped).  Runs in update mode: each
+    micro-batch writes only the words whose total changed (`upsert`)."""
     docs = stream_table(spark, sf_dir, "documents").select("doc_id", "text")
     counts = relational.word_count(relational.words_ws(docs, "text"), name="cnt")
     path = scratch_path(spark, "out-stream_wc")
-
-    def write(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
-
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(_state_partitions(spark)))
-    try:
-        q = (counts.writeStream.queryName("stream_wc").outputMode("complete")
-                   .option("checkpointLocation", scratch_path(spark, "ckpt-stream_wc"))
-                   .foreachBatch(write).trigger(availableNow=True).start())
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
+    q = run_stream(counts, "stream_wc", mode="update", partitions=_state_partitions(spark),
+                   each_batch=upsert_writer(path, counts.schema, ["word"]))
     q.awaitTermination()
-    return spark.read.parquet(path)
+    return read_upserts(spark, path, counts.schema, ["word"])
+
+
+def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly views of a stream with the account of its late rows.  The
+    watermark is ascending and the table is read in one go, so here every row
+    is kept; planted late rows are in the tests."""
+    end = EndOfInput(spark)
+    out = stateful.count_with_late(_views(spark, sf_dir, end), HOUR)
+    both = run_to_tables(out, "output", ["count", "late"], "stream_late", partitions=_state_partitions(spark), end=end)
+    kept = both["count"].groupBy("start_us").agg(F.sum("n").alias("kept"))
+    late = both["late"].groupBy("start_us").agg(F.count(F.lit(1)).alias("late"))
+    res = kept.join(late, "start_us", "full")
+    return res.select(to_ntz(F.timestamp_micros("start_us")).alias("window_start"), F.coalesce("kept", F.lit(0)).alias("kept"),
+                      F.coalesce("late", F.lit(0)).alias("late"))
 
 
 STREAM_QUERIES = {
@@ -316,6 +318,7 @@ STREAM_QUERIES = {
     "stream_order_status": stream_order_status,
     "stream_rise_alerts": stream_rise_alerts,
     "stream_wc": stream_wc,
+    "stream_late": stream_late,
     "stream_followed_by": stream_followed_by,
     "stream_timeout": stream_timeout,
     "stream_pattern_next": stream_pattern_next,
