@@ -2,12 +2,17 @@
 
 Lines are normalised to their words (runs of letters, digits and non-ASCII
 signs; A-Z lower-cased, digits alike).  Lines of equal words are one.  Each
-different line has a 128-bit SimHash of its words; two SimHashes that differ
-in at most `BITS_OFF` = 3 bits agree on one of four 32-bit blocks, so lines
-are joined on blocks (32 bits keep chance meetings rare at any number of
-lines), tested for the distance, and confirmed by edit similarity of the
-normalised lines.  Of every connected group of lines one occurrence is kept:
-the earliest by document and place.
+different line has a 128-bit SimHash of its distinct words (counted once, so
+that frequent words do not make all lines of a language alike), cut into 11
+blocks.  Lines that agree on two blocks meet (55 keys of 23 or 24 bits): by the
+pigeonhole principle all that differ in at most 9 bits, and most that differ in
+more.  Meetings within `BITS_OFF` = 24 bits are confirmed by edit similarity
+of the normalised lines.  Of every connected group of lines one occurrence is
+kept: the earliest by document and place.
+
+Measured against brute force on edit similarity alone (7,601 different lines,
+349 pairs of similarity 0.8 or more): 0.84 of the pairs of similarity 0.8 and
+more are found, 0.90 from 0.9, 0.95 from 0.95.
 
 Whole lines and whole texts are used; a block value that many lines share is
 worked through a hub and in blocks of bounded size, never as all pairs.
@@ -16,6 +21,7 @@ worked through a hub and in blocks of bounded size, never as all pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +32,7 @@ from tidemark.llm import lists as ls
 from tidemark.llm import textarrays as ta
 from tidemark.llm.common import bounded_broadcast, components, saved, small_batches
 
-BITS_OFF, SHORT, BLOCK = 3, 32, 1000
+BITS_OFF, BLOCKS, SHORT, BLOCK = 24, 11, 32, 1000
 NO_ID = 2**63 - 1
 
 _norm = np.arange(256, dtype=np.uint8)
@@ -72,6 +78,16 @@ def simhash(words: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
     return out
 
 
+def distinct_words(words: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct words of each line (`n` words each, one line after the
+    other), sorted, and their numbers."""
+    line = np.repeat(np.arange(len(n)), n)
+    order = np.lexsort((words, line))
+    words, line = words[order], line[order]
+    new = np.concatenate([[True], (words[1:] != words[:-1]) | (line[1:] != line[:-1])])
+    return words[new], np.bincount(line[new], minlength=len(n))
+
+
 def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         doc, tie = b.column(0).to_numpy(), b.column(1).to_numpy()
@@ -88,7 +104,8 @@ def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(some):
                 continue
             a, n, row, place = a[some], (z - a)[some], row[some], place[some]
-            sim = simhash(words, a, n)
+            single, m = distinct_words(words, n)        # every word is in one of these lines
+            sim = simhash(single, np.cumsum(m) - m, m)
             with np.errstate(over="ignore"):
                 fwd, inv = ta._Pow.upto(len(words) + 1)
                 ids = []
@@ -140,35 +157,68 @@ def _source(docs: DataFrame, doc: str, text: str) -> DataFrame:
                        F.expr(f"pmod(xxhash64(`{text}`), {1 << 24})").alias("tie"), F.col(f"`{text}`").alias("text"))
 
 
+def _cut(start: int, width: int) -> str:
+    """SQL for `width` bits of the SimHash (s1, s2) from bit `start`."""
+    mask = (1 << width) - 1
+    if start + width <= 64:
+        return f"(shiftrightunsigned(s1, {start}) & {mask})"
+    if start >= 64:
+        return f"(shiftrightunsigned(s2, {start - 64}) & {mask})"
+    return f"((shiftrightunsigned(s1, {start}) | shiftleft(s2, {64 - start})) & {mask})"
+
+
+def block_keys() -> str:
+    """SQL for the keys of a line: the number and the values of two blocks."""
+    edge = [128 * i // BLOCKS for i in range(BLOCKS + 1)]
+    value = [_cut(edge[i], edge[i + 1] - edge[i]) for i in range(BLOCKS)]
+    width = -(-128 // BLOCKS)
+    return "array(" + ", ".join(f"shiftleft({n}L, {2 * width}) | shiftleft({value[i]}, {width}) | {value[j]}"
+                                for n, (i, j) in enumerate(combinations(range(BLOCKS), 2))) + ")"
+
+
 def links(src: DataFrame, different: DataFrame, similarity: float) -> DataFrame:
-    """Links (a, b) between different lines (id, s1, s2, doc, at)."""
-    blocks = different.select("id", F.explode(F.expr("""array(
-        xxhash64(0, s1 & 4294967295), xxhash64(1, shiftrightunsigned(s1, 32)),
-        xxhash64(2, s2 & 4294967295), xxhash64(3, shiftrightunsigned(s2, 32)))""")).alias("key"))
-    size = blocks.groupBy("key").agg(F.count(F.lit(1)).alias("len")).where("len > 1")
-    lists = blocks.join(size, "key")
-    score = lists.groupBy("id").agg(F.sum("len").alias("score"))
-    lists = saved(lists.join(score, "id").select("key", "id", "score", "len"), "line-lists")
-    active = saved(lists.select("id").distinct().join(different, "id"), "line-active")
+    """Links (a, b) between different lines (id, s1, s2, doc, at).
+
+    Keys are counted first, as bare numbers; only lines that meet another are
+    then dealt out with their SimHash.  In short lists all pairs are tested for
+    the distance where they meet; long ones go through a hub and in blocks."""
+    keys = F.explode(F.expr(block_keys())).alias("key")
+    size = saved(different.select(keys).groupBy("key").agg(F.count(F.lit(1)).alias("len")).where("len > 1"), "line-keys")
+    lists = saved(different.select("id", "s1", "s2", keys).join(bounded_broadcast(size, 1_000_000), "key"), "line-lists")
+    few = lists.where(f"len <= {SHORT}").select("key", "id", "s1", "s2")
+    near = saved(few.join(few.toDF("key", "id2", "t1", "t2"), "key")
+                 .where(f"id < id2 and bit_count(s1 ^ t1) + bit_count(s2 ^ t2) <= {BITS_OFF}")
+                 .select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct(), "line-near")
+    long = lists.where(f"len > {SHORT}")
+    active = near.select(F.explode(F.array("a", "b")).alias("id")).union(long.select("id")).distinct()
+    active = saved(active.join(different, "id"), "line-active")
     want = active.groupBy("doc", F.expr("shiftright(at, 39)").alias("tie")).agg(
         F.collect_list(F.struct("id", "at")).alias("want"))                     # bounded by the text
     want = bounded_broadcast(saved(want, "line-wanted"), 200_000, "want")
     text = saved(src.join(want, ["doc", "tie"]).select("text", "want")
                  .mapInArrow(_text_rows, "id long, line string").dropDuplicates(["id"]), "line-texts")
 
-    def confirm(pairs: DataFrame) -> DataFrame:
-        s = active.select("id", "s1", "s2")
-        close = (pairs.join(s.toDF("a", "s1", "s2"), "a").join(s.toDF("b", "t1", "t2"), "b")
-                 .where(f"bit_count(s1 ^ t1) + bit_count(s2 ^ t2) <= {BITS_OFF}").select("a", "b"))
-        both = close.join(text.toDF("a", "la"), "a").join(text.toDF("b", "lb"), "b")
+    def similar(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(text.toDF("a", "la"), "a").join(text.toDF("b", "lb"), "b")
         room = f"cast(floor(greatest(length(la), length(lb)) * {1 - similarity} + 1e-9) as int)"
         return both.where(f"abs(length(la) - length(lb)) <= {room} and levenshtein(la, lb, {room}) >= 0").select("a", "b")
 
+    def confirm(pairs: DataFrame) -> DataFrame:
+        s = active.select("id", "s1", "s2")
+        return similar(pairs.join(s.toDF("a", "s1", "s2"), "a").join(s.toDF("b", "t1", "t2"), "b")
+                       .where(f"bit_count(s1 ^ t1) + bit_count(s2 ^ t2) <= {BITS_OFF}").select("a", "b"))
+
     def far(rows: DataFrame) -> DataFrame:
         full = ls.block_pairs(rows.join(active.select("id", "s1", "s2"), "id"), f"ceil(len / {BLOCK})")
-        return confirm(full.groupBy("key", "bi", "bj").applyInArrow(_block, "a long, b long").distinct())
+        return similar(full.groupBy("key", "bi", "bj").applyInArrow(_block, "a long, b long").distinct())
 
-    return ls.connect(lists, confirm, far, short=SHORT, name="line")
+    found = similar(near)
+    if long.isEmpty():
+        return found
+    # the hub of a list is its member that meets most others in all
+    score = long.groupBy("id").agg(F.sum("len").alias("score"))
+    long = saved(long.select("key", "id", "len").join(score, "id"), "line-long")
+    return found.union(ls.connect(long, confirm, far, short=SHORT, name="line"))
 
 
 def dropped(docs: DataFrame, similarity: float = 0.8, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -196,9 +246,9 @@ def keep_first_lines(docs: DataFrame, similarity: float = 0.8, doc: str = "doc_i
     """`docs` with the column `text` reduced to the lines that are the kept
     occurrence of their group, and the new columns n_lines and n_dropped.
 
-    Two lines are linked when their SimHashes differ in at most 3 of 128 bits
-    and the edit distance of the normalised lines is at most 1 - `similarity`
-    of the longer one.  Lines without a word stay.  Null stays null; an empty
+    Two lines are linked when their SimHashes agree on two of 11 blocks and
+    differ in at most 24 of 128 bits, and the edit distance of the normalised
+    lines is at most 1 - `similarity` of the longer one.  Lines without a word stay.  Null stays null; an empty
     text has no lines.  Ids are integers; a null id sorts last.  Texts that
     share an id are ordered by a hash; rows with equal id and text count as
     one document and get the same result each.  Columns of other names are
