@@ -56,7 +56,7 @@ def expected(rows, similarity=0.8):
         equal = (np.add.reduceat(off, edge, axis=1, dtype=int) == 0).sum(axis=1) if len(off) else np.zeros(0)
         for y in np.flatnonzero((equal >= 2) & (off.sum(axis=1) <= 24)) + x + 1:
             a, b = words[x], words[y]
-            if edit(a, b) <= int((1 - similarity) * max(len(a), len(b)) + 1e-9):
+            if u.find(a) != u.find(b) and edit(a, b) <= int((1 - similarity) * max(len(a), len(b)) + 1e-9):
                 u.join(a, b)
     seen, out = set(), {}
     for i, t in rows:
