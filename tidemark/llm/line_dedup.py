@@ -1,27 +1,23 @@
 """Fuzzy line deduplication.
 
 Lines are normalised to their words (runs of letters, digits and non-ASCII
-signs; A-Z lower-cased, digits alike).  Lines of equal words are one.  Each
-different line has a 128-bit SimHash of its distinct words (counted once, so
-that frequent words do not make all lines of a language alike), cut into 12
-blocks.  Lines that agree on two blocks meet (66 keys of 20 to 22 bits): by the
-pigeonhole principle all that differ in at most 10 bits, and most that differ in
-more.  Meetings within `BITS_OFF` = 24 bits are confirmed by edit similarity
-of the normalised lines.  Of every connected group of lines one occurrence is
-kept: the earliest by document and place.
-
-Share of the pairs found, of those that brute force on edit similarity alone
-finds among 7,601 different lines (349 pairs of 0.8 or more), and pairs that met
-by chance among the 29 million, by the number of blocks:
-
-    blocks  keys  from 0.8  from 0.9  from 0.95  by chance
-         9    36      0.69      0.77       0.86         42
-        10    45      0.78      0.86       0.94        133
-        11    55      0.84      0.90       0.95        606
-        12    66      0.90      0.96       0.98       2357
-
-Meetings by chance grow with the square of the lines; they are tested where
-they meet and go no further.
+signs; A-Z lower-cased, digits alike).  Lines of equal words are one.  The
+distinct words of a line are dealt by hash to 2, 4, 8, ... classes of 4 to 8 words
+on average, more classes for longer lines; the 64-bit SimHash of a class is a
+block, and lines that agree on a block meet.  Each word that only one of two
+lines holds spoils one block, so by the pigeonhole principle lines meet that
+differ in fewer words than there are blocks (of at least `LEAST` = 4 words; every
+line has one).  Lines near a change of the number of classes have the blocks
+of both.  Lines of at most `FEW` = 8 different words meet where all words but one
+agree.  Meetings are tested on the 128-bit SimHash of the line (at most
+`BITS_OFF` = 36 bits apart) and confirmed by edit similarity of the normalised
+lines.  Of every connected group of lines one occurrence is kept: the earliest
+by document and place.
+
+Of the pairs that brute force on edit similarity alone finds among 7,601
+different lines (293 of 0.8 or more, 241 of 0.9, 160 of 0.95) this met 0.95, 0.97 and
+0.98, with 8 keys a line; about 3,000 pairs of 76,606 lines met by chance (1 in
+a million), nearly all beyond 36 bits.
 
 Whole lines and whole texts are used; a block value that many lines share is
 worked through a hub and in blocks of bounded size, never as all pairs.
@@ -30,7 +26,6 @@ worked through a hub and in blocks of bounded size, never as all pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +36,10 @@ from tidemark.llm import lists as ls
 from tidemark.llm import textarrays as ta
 from tidemark.llm.common import bounded_broadcast, components, saved, small_batches
 
-BITS_OFF, BLOCKS, SHORT, BLOCK = 24, 12, 32, 1000
+BITS_OFF, SHORT, BLOCK = 36, 32, 1000
+CLASS, LEAST, FEW = 4, 4, 8
 NO_ID = 2**63 - 1
+LINE = "id long, id2 long, s1 long, s2 long, doc long, at long, keys array<long>"
 
 _norm = np.arange(256, dtype=np.uint8)
 _norm[65:91] += 32
@@ -67,15 +64,15 @@ def lines_of(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.concatenate([[0], np.cumsum(count)])
 
 
-def simhash(words: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """SimHash (two uint64) of each run of word hashes (starts, lengths; no
+def simhash(words: np.ndarray, at: np.ndarray, n: np.ndarray, halves: int = 2) -> np.ndarray:
+    """SimHash (`halves` uint64) of each run of word hashes (starts, lengths; no
     empty run): a bit is set if it is in more than half of the words."""
     owner = np.repeat(np.arange(len(n)), -(-n // 255))
     part = np.arange(len(owner)) - np.repeat(np.cumsum(-(-n // 255)) - -(-n // 255), -(-n // 255))
     sub = at[owner] + 255 * part
     first = np.flatnonzero(part == 0)
-    out = np.zeros((len(n), 2), np.uint64)
-    for half in range(2):
+    out = np.zeros((len(n), halves), np.uint64)
+    for half in range(halves):
         h = words if half == 0 else ta.mix(words ^ ta.MIX[30])
         bits = np.zeros((len(n), 64), bool)
         raw = h.view(np.uint8).reshape(-1, 8)
@@ -97,6 +94,39 @@ def distinct_words(words: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.nda
     return words[new], np.bincount(line[new], minlength=len(n))
 
 
+def block_keys(words: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The keys under which each line (`n` distinct words each, one line after
+    the other) meets others, and their numbers."""
+    line = np.repeat(np.arange(len(n)), n)
+    owner, key = [], []
+    level = [np.floor(np.log2(np.maximum(n * more, CLASS) / CLASS)).astype(np.int64) for more in (1, 1.25)]
+    place = ta.mix(words ^ ta.MIX[41])
+    for k, some in ((level[0], n > FEW), (level[1], (n > FEW) & (level[1] > level[0]))):
+        w = np.flatnonzero(some[line])
+        if not len(w):
+            continue
+        deep = k[line[w]].astype(np.uint64)
+        part = (place[w] & ((np.uint64(1) << deep) - np.uint64(1))) | deep << np.uint64(32)
+        order = np.lexsort((part, line[w]))
+        w, part = w[order], part[order]
+        at = np.flatnonzero(np.concatenate([[True], (line[w][1:] != line[w][:-1]) | (part[1:] != part[:-1])]))
+        count = np.diff(np.append(at, len(w)))
+        sim = simhash(words[w], at, count, 1)[:, 0]
+        full = count >= LEAST
+        owner.append(line[w][at][full])
+        key.append(ta.mix(sim ^ ta.mix(part[at]))[full])
+    digest = ta.mix(words ^ ta.MIX[42])
+    total = np.add.reduceat(digest, np.cumsum(n) - n) if len(n) else digest
+    few = np.flatnonzero(n <= FEW)
+    owner.append(few)
+    key.append(ta.mix(total[few]))
+    but_one = np.flatnonzero(((n > 2) & (n <= FEW + 1))[line])
+    owner.append(line[but_one])
+    key.append(ta.mix(total[line[but_one]] - digest[but_one]))
+    owner, key = np.concatenate(owner), np.concatenate(key)
+    return key[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(n))
+
+
 def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         doc, tie = b.column(0).to_numpy(), b.column(1).to_numpy()
@@ -115,6 +145,7 @@ def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             a, n, row, place = a[some], (z - a)[some], row[some], place[some]
             single, m = distinct_words(words, n)        # every word is in one of these lines
             sim = simhash(single, np.cumsum(m) - m, m)
+            keys, n_keys = block_keys(single, m)
             with np.errstate(over="ignore"):
                 fwd, inv = ta._Pow.upto(len(words) + 1)
                 ids = []
@@ -123,9 +154,10 @@ def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     np.cumsum(ta.mix(words ^ ta.MIX[salt]) * fwd[:-1], out=total[1:])
                     ids.append(ta.mix((total[a + n] - total[a]) * inv[a] + n.astype(np.uint64) * ta.MIX[salt]))
             i64 = lambda x: pa.array(np.ascontiguousarray(x).view(np.int64))
+            keys = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n_keys)]).astype(np.int32)), i64(keys))
             yield pa.RecordBatch.from_arrays(
                 [i64(ids[0]), i64(ids[1]), i64(sim[:, 0]), i64(sim[:, 1]), pa.array(doc[lo + row]),
-                 pa.array(tie[lo + row] << 39 | place)], names=["id", "id2", "s1", "s2", "doc", "at"])
+                 pa.array(tie[lo + row] << 39 | place), keys], names=["id", "id2", "s1", "s2", "doc", "at", "keys"])
 
 
 def _text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,32 +198,13 @@ def _source(docs: DataFrame, doc: str, text: str) -> DataFrame:
                        F.expr(f"pmod(xxhash64(`{text}`), {1 << 24})").alias("tie"), F.col(f"`{text}`").alias("text"))
 
 
-def _cut(start: int, width: int) -> str:
-    """SQL for `width` bits of the SimHash (s1, s2) from bit `start`."""
-    mask = (1 << width) - 1
-    if start + width <= 64:
-        return f"(shiftrightunsigned(s1, {start}) & {mask})"
-    if start >= 64:
-        return f"(shiftrightunsigned(s2, {start - 64}) & {mask})"
-    return f"((shiftrightunsigned(s1, {start}) | shiftleft(s2, {64 - start})) & {mask})"
-
-
-def block_keys() -> str:
-    """SQL for the keys of a line: the number and the values of two blocks."""
-    edge = [128 * i // BLOCKS for i in range(BLOCKS + 1)]
-    value = [_cut(edge[i], edge[i + 1] - edge[i]) for i in range(BLOCKS)]
-    width = -(-128 // BLOCKS)
-    return "array(" + ", ".join(f"shiftleft({n}L, {2 * width}) | shiftleft({value[i]}, {width}) | {value[j]}"
-                                for n, (i, j) in enumerate(combinations(range(BLOCKS), 2))) + ")"
-
-
 def links(src: DataFrame, different: DataFrame, similarity: float) -> DataFrame:
-    """Links (a, b) between different lines (id, s1, s2, doc, at).
+    """Links (a, b) between different lines (id, s1, s2, doc, at, keys).
 
     Keys are counted first, as bare numbers; only lines that meet another are
     then dealt out with their SimHash.  In short lists all pairs are tested for
     the distance where they meet; long ones go through a hub and in blocks."""
-    keys = F.explode(F.expr(block_keys())).alias("key")
+    keys = F.explode("keys").alias("key")
     size = saved(different.select(keys).groupBy("key").agg(F.count(F.lit(1)).alias("len")).where("len > 1"), "line-keys")
     lists = saved(different.select("id", "s1", "s2", keys).join(bounded_broadcast(size, 1_000_000), "key"), "line-lists")
     few = lists.where(f"len <= {SHORT}").select("key", "id", "s1", "s2")
@@ -200,7 +213,7 @@ def links(src: DataFrame, different: DataFrame, similarity: float) -> DataFrame:
                  .select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct(), "line-near")
     long = lists.where(f"len > {SHORT}")
     active = near.select(F.explode(F.array("a", "b")).alias("id")).union(long.select("id")).distinct()
-    active = saved(active.join(different, "id"), "line-active")
+    active = saved(active.join(different.drop("keys"), "id"), "line-active")
     want = active.groupBy("doc", F.expr("shiftright(at, 39)").alias("tie")).agg(
         F.collect_list(F.struct("id", "at")).alias("want"))                     # bounded by the text
     want = bounded_broadcast(saved(want, "line-wanted"), 200_000, "want")
@@ -236,10 +249,11 @@ def dropped(docs: DataFrame, similarity: float = 0.8, doc: str = "doc_id", text:
     small_batches(docs.sparkSession)
     src = _source(docs, doc, text)
     rows = saved(src.where("text <> ''").mapInArrow(
-        _line_rows, "id long, id2 long, s1 long, s2 long, doc long, at long"), "lines")
+        _line_rows, LINE), "lines")
     different = saved(rows.groupBy("id", "id2").agg(F.min(F.struct("doc", "at")).alias("p"), F.first("s1").alias("s1"),
-                                                    F.first("s2").alias("s2"), F.count(F.lit(1)).alias("n"))
-                      .select("id", "s1", "s2", "p.doc", "p.at", "n"), "lines-different")
+                                                    F.first("s2").alias("s2"), F.first("keys").alias("keys"),
+                                                    F.count(F.lit(1)).alias("n"))
+                      .select("id", "s1", "s2", "p.doc", "p.at", "keys", "n"), "lines-different")
     roots = components(links(src, different.drop("n"), similarity)).withColumnRenamed("node", "id")
     grouped = saved(different.join(roots, "id"), "line-groups")
     first = grouped.groupBy("root").agg(F.min(F.struct("doc", "at")).alias("p"))
@@ -255,10 +269,11 @@ def keep_first_lines(docs: DataFrame, similarity: float = 0.8, doc: str = "doc_i
     """`docs` with the column `text` reduced to the lines that are the kept
     occurrence of their group, and the new columns n_lines and n_dropped.
 
-    Two lines are linked when their SimHashes agree on two of 12 blocks and
-    differ in at most 24 of 128 bits, and the edit distance of the normalised
-    lines is at most 1 - `similarity` of the longer one.  Lines without a word stay.  Null stays null; an empty
-    text has no lines.  Ids are integers; a null id sorts last.  Texts that
+    Two lines are linked when they agree on a block, their SimHashes differ in
+    at most 36 of 128 bits, and the edit distance of the normalised lines is at
+    most 1 - `similarity` of the longer one.  Lines of one or two different words
+    meet lines of the same words, or of one word more.  Lines without a word
+    stay.  Null stays null; an empty text has no lines.  Ids are integers; a null id sorts last.  Texts that
     share an id are ordered by a hash; rows with equal id and text count as
     one document and get the same result each.  Columns of other names are
     kept as they are, n_lines and n_dropped are replaced; an empty table gives
