@@ -113,9 +113,27 @@ def planted(seed):
     return rows + [(100, None), (101, ""), (102, "\n\n"), (103, "a\n"), (104, rows[5][1]), (105, "x y " * 9000)]
 
 
+def test_script_is_never_shorter_than_the_edit_distance():
+    r = random.Random(9)
+    for _ in range(400):
+        a = [r.choice(["a", "bb", "ccc", "the", "dddd", "é", "ff g"]) + str(r.choice(["", "x", r.randrange(99)])) for _ in range(r.randint(1, 12))]
+        b = list(a)
+        for _ in range(r.randint(0, 4)):
+            b.insert(r.randrange(len(b) + 1), "w" * r.randint(1, 4))
+            if r.random() < .6:
+                b.pop(r.randrange(len(b)))
+        if r.random() < .2:
+            r.shuffle(b)
+        a, b = " ".join(a), " ".join(b)
+        assert ld.script_cost(a, b) >= edit(a, b)
+        assert (ld.script_cost(a, b) == 0) == (a == b)
+    assert ld.script_cost("one two three four", "one two 3 four") == 6
+
+
 @pytest.mark.parametrize("short", [32, 2])
 def test_planted_lines(spark, monkeypatch, short):
     monkeypatch.setattr(ld, "SHORT", short)
+    monkeypatch.setattr(ld, "TINY", min(ld.TINY, short))
     monkeypatch.setattr(ld, "BLOCK", 5)
     rows = [r for r in planted(short) if r[0] != 105]
     random.Random(2).shuffle(rows)

@@ -25,6 +25,8 @@ worked through a hub and in blocks of bounded size, never as all pairs.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +38,7 @@ from tidemark.llm import lists as ls
 from tidemark.llm import textarrays as ta
 from tidemark.llm.common import bounded_broadcast, components, saved, small_batches
 
-BITS_OFF, SHORT, BLOCK = 36, 32, 1000
+BITS_OFF, TINY, SHORT, BLOCK = 36, 4, 32, 1000
 CLASS, LEAST, FEW = 4, 4, 8
 NO_ID = 2**63 - 1
 LINE = "id long, id2 long, s1 long, s2 long, doc long, at long, keys array<long>"
@@ -178,6 +180,48 @@ def _text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([w.field("id"), pa.array(out, pa.string())], names=["id", "line"])
 
 
+def script_cost(a: str, b: str) -> int:
+    """Length of one edit script between two lines, so at least their edit
+    distance: words that each line holds once, in common order, stay, and what
+    lies between is replaced, but for the words it begins and ends with alike."""
+    wa, wb = a.split(" "), b.split(" ")
+    ca, cb = Counter(wa), Counter(wb)
+    where = {w: j for j, w in enumerate(wb) if cb[w] == 1}
+    ends, best, before = [], [], {}         # longest increasing run of places in b
+    for i, w in enumerate(wa):
+        j = where.get(w) if ca[w] == 1 else None
+        if j is not None:
+            k = bisect_left(ends, j)
+            before[j] = (i, best[k - 1] if k else None)
+            ends[k:k + 1], best[k:k + 1] = [j], [j]
+    stay, j = [(len(wa), len(wb))], best[-1] if best else None
+    while j is not None:
+        i, last = before[j]
+        stay.append((i, j))
+        j = last
+    cost, i, j = 0, 0, 0
+    for x, y in reversed(stay):
+        hi, hj = x, y
+        while i < hi and j < hj and wa[i] == wb[j]:
+            i, j = i + 1, j + 1
+        while i < hi and j < hj and wa[hi - 1] == wb[hj - 1]:
+            hi, hj = hi - 1, hj - 1
+        cost += max(sum(map(len, wa[i:hi])) + hi - i, sum(map(len, wb[j:hj])) + hj - j)
+        i, j = x + 1, y + 1
+    return cost
+
+
+def _cheap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs with `sure`: a script within the room is found without the edit
+    distance itself; the lines go on only where none is."""
+    for b in batches:
+        la, lb, room = (b.column(i).to_pylist() for i in (2, 3, 4))
+        sure = [script_cost(x, y) <= r for x, y, r in zip(la, lb, room)]
+        left = [pa.array([None if s else x for s, x in zip(sure, col)], pa.string()) for col in (la, lb)]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *left, b.column(4), pa.array(sure, pa.bool_())],
+                                         names=["a", "b", "la", "lb", "room", "sure"])
+
+
 def _block(t: pa.Table) -> pa.Table:
     """Pairs of one block pair of a list within the distance."""
     comp, side, ids = (t.column(c).to_numpy() for c in ("comp", "side", "id"))
@@ -202,16 +246,17 @@ def links(src: DataFrame, different: DataFrame, similarity: float) -> DataFrame:
     """Links (a, b) between different lines (id, s1, s2, doc, at, keys).
 
     Keys are counted first, as bare numbers; only lines that meet another are
-    then dealt out with their SimHash.  In short lists all pairs are tested for
-    the distance where they meet; long ones go through a hub and in blocks."""
+    then dealt out with their SimHash.  In the shortest lists all pairs are tested
+    for the distance where they meet; others go through a hub, and what that
+    leaves apart is compared in pairs or, in long lists, in blocks."""
     keys = F.explode("keys").alias("key")
     size = saved(different.select(keys).groupBy("key").agg(F.count(F.lit(1)).alias("len")).where("len > 1"), "line-keys")
     lists = saved(different.select("id", "s1", "s2", keys).join(bounded_broadcast(size, 1_000_000), "key"), "line-lists")
-    few = lists.where(f"len <= {SHORT}").select("key", "id", "s1", "s2")
+    few = lists.where(f"len <= {TINY}").select("key", "id", "s1", "s2")
     near = saved(few.join(few.toDF("key", "id2", "t1", "t2"), "key")
                  .where(f"id < id2 and bit_count(s1 ^ t1) + bit_count(s2 ^ t2) <= {BITS_OFF}")
                  .select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct(), "line-near")
-    long = lists.where(f"len > {SHORT}")
+    long = lists.where(f"len > {TINY}")
     active = near.select(F.explode(F.array("a", "b")).alias("id")).union(long.select("id")).distinct()
     active = saved(active.join(different.drop("keys"), "id"), "line-active")
     want = active.groupBy("doc", F.expr("shiftright(at, 39)").alias("tie")).agg(
@@ -222,8 +267,12 @@ def links(src: DataFrame, different: DataFrame, similarity: float) -> DataFrame:
 
     def similar(pairs: DataFrame) -> DataFrame:
         both = pairs.join(text.toDF("a", "la"), "a").join(text.toDF("b", "lb"), "b")
-        room = f"cast(floor(greatest(length(la), length(lb)) * {1 - similarity} + 1e-9) as int)"
-        return both.where(f"abs(length(la) - length(lb)) <= {room} and levenshtein(la, lb, {room}) >= 0").select("a", "b")
+        room = F.expr(f"cast(floor(greatest(length(la), length(lb)) * {1 - similarity} + 1e-9) as int)")
+        both = both.select("a", "b", "la", "lb", room.alias("room")).where("abs(length(la) - length(lb)) <= room")
+        # the cost of the distance follows the bound: smaller bounds first, up to the whole
+        within = " or ".join(f"levenshtein(la, lb, room div {part}) >= 0" for part in (16, 4, 1))
+        return both.mapInArrow(_cheap, "a long, b long, la string, lb string, room int, sure boolean").where(
+            f"case when sure then true else {within} end").select("a", "b")
 
     def confirm(pairs: DataFrame) -> DataFrame:
         s = active.select("id", "s1", "s2")
