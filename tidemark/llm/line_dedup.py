@@ -16,7 +16,7 @@ by document and place.
 
 Of the pairs that brute force on edit similarity alone finds among 7,601
 different lines (293 of 0.8 or more, 241 of 0.9, 160 of 0.95) this met 0.95, 0.97 and
-0.98, with 8 keys a line; about 3,000 pairs of 76,606 lines met by chance (1 in
+0.98 (a trial in which lines of two words met on one, too), with 8 keys a line; about 3,000 pairs of 76,606 lines met by chance (1 in
 a million), nearly all beyond 36 bits.
 
 Whole lines and whole texts are used; a block value that many lines share is
