@@ -182,6 +182,15 @@ def test_slice_then_expand_equals_window(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def test_sliding_count_tasks_follow_the_rows(spark, monkeypatch):
+    """More rows are expanded in more tasks, not in larger ones."""
+    monkeypatch.setattr(windows, "EXPANDED_ROWS", 2000)
+    df = spark.range(4000).select((F.timestamp_seconds(F.col("id") * 37)).alias("ts"), (F.col("id") % 1000).alias("k"))
+    out = windows.sliding_count(df, "ts", 3600, 300, ["k"])
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == out.count() and len(sizes) >= 20 and max(sizes) < 2 * 2000
+
+
 def test_top_n_ties_by_key(spark):
     rows = [(_ts(3600), 5, 2), (_ts(3600), 7, 2), (_ts(3600), 1, 2), (_ts(3600), 9, 9)]
     df = spark.createDataFrame(rows, "window_end timestamp, item bigint, n bigint")

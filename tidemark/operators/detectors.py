@@ -71,10 +71,12 @@ def daily_cap(df: DataFrame, keys: list[str], ts: str, seq: str, cap: int,
     return passed, alarms
 
 
-def capped_hot(passed: DataFrame, keys: list[str], ts: str, size, slide, n: int = 3) -> DataFrame:
+def capped_hot(passed: DataFrame, keys: list[str], ts: str, size, slide, n: int = 3,
+               rows: int | None = None) -> DataFrame:
     """K8: sliding count of the passed rows per key, then the top n per
-    window end (the reference leaves this step empty)."""
-    return topn.hot_keys(passed, ts, size, slide, keys, n=n)
+    window end (the reference leaves this step empty).  `rows`: upper bound of
+    the passed rows, which saves counting them."""
+    return topn.hot_keys(passed, ts, size, slide, keys, n=n, rows=rows)
 
 
 def order_status(events: DataFrame, order_id: str = "order_id", event_type: str = "event_type",

@@ -25,9 +25,10 @@ def top_n(counts: DataFrame, n: int = 3, by: str = "window_end", score: str = "n
 
 
 def hot_keys(df: DataFrame, ts: str, size, slide, keys, n: int = 3,
-             score: str = "click_count", expand: str = "slices") -> DataFrame:
-    """Sliding count per key, then the n hottest keys per window end."""
-    counts = sliding_count(df, ts, size, slide, keys, name=score, expand=expand)
+             score: str = "click_count", expand: str = "slices", rows: int | None = None) -> DataFrame:
+    """Sliding count per key, then the n hottest keys per window end.
+    `rows`: see `sliding_count`."""
+    counts = sliding_count(df, ts, size, slide, keys, name=score, expand=expand, rows=rows)
     return top_n(counts, n, "window_end", score, keys)
 
 

@@ -19,6 +19,9 @@ _UNITS = {"s": 1, "sec": 1, "second": 1, "seconds": 1, "m": 60, "min": 60, "minu
           "minutes": 60, "h": 3600, "hour": 3600, "hours": 3600, "d": 86400, "day": 86400,
           "days": 86400}
 
+# Rows that a task of a sliding count expands its slices to, on average at most.
+EXPANDED_ROWS = 1_000_000
+
 
 def seconds(d: int | str) -> int:
     """'1 hour' / '5 minutes' / 300 -> seconds; fractions of a second are refused."""
@@ -55,13 +58,15 @@ def tumbling_distinct(df: DataFrame, ts: str, size, of: str, keys=(), name: str
 
 
 def sliding_count(df: DataFrame, ts: str, size, slide, keys=(), name: str = "n",
-                  expand: str = "slices") -> DataFrame:
+                  expand: str = "slices", rows: int | None = None) -> DataFrame:
     """Rows per sliding window and key.
 
     expand="slices" (batch default): count per (slide-wide slice, key) first,
     then give each slice count to the size/slide windows that contain it and
     sum.  Each input row is touched once instead of size/slide times, and a
-    slice is shuffled at most twice.
+    slice is shuffled at most twice.  The tasks that expand slices are as many
+    as the rows ask for, so none holds more windows as the log grows; `rows`
+    is an upper bound of the rows of `df` (default: they are counted here).
     expand="window": Spark's own `window(ts, size, slide)` (used by streams).
     Output: window_start, window_end, keys..., name."""
     size_s, slide_s = seconds(size), seconds(slide)
@@ -89,9 +94,11 @@ def sliding_count(df: DataFrame, ts: str, size, slide, keys=(), name: str = "n",
     def block(us):
         return F.floor((us - F.pmod(us, F.lit(size_us).cast("bigint"))) / F.lit(size_us)).cast("bigint")
 
+    rows = df.count() if rows is None else rows
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows * (size_s // slide_s) // EXPANDED_ROWS))
     dealt = (pre.select(F.explode(F.array_distinct(F.array(block(low), block(high)))).alias("__block"),
                         "__slice", *key_names, "__n")
-             .repartition("__block", *key_names))
+             .repartition(tasks, "__block", *key_names))
     start = F.col("__block") * F.lit(size_us).cast("bigint")
     last = F.sequence(F.greatest(low, start), F.least(high, start + F.lit(size_us - slide_us).cast("bigint")),
                       F.lit(slide_us).cast("bigint"))

@@ -371,7 +371,8 @@ def cap_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cap_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K8: passed rows -> sliding 1 h / 5 min count per (user, type) -> top 3."""
     passed, _ = _cap(spark, sf_dir)
-    top = detectors.capped_hot(passed, ["user_id", "behavior"], "ts", HOUR, FIVE_MIN, n=3)
+    rows = table(spark, sf_dir, "events").count()       # from the files' footers; no more rows than that pass
+    top = detectors.capped_hot(passed, ["user_id", "behavior"], "ts", HOUR, FIVE_MIN, n=3, rows=rows)
     return top.select(to_ntz("window_end").alias("window_end"), "rank", "user_id", "behavior",
                       "click_count")
 
