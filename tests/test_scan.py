@@ -112,6 +112,36 @@ def test_row_chunks_equal_window(spark, frame, keys):
         assert by(got) == by(plain)
 
 
+@pytest.mark.parametrize("frame", ["upto", "before", "from", "after"])
+def test_only_hot_keys_are_cut_by_given_chunks(spark, frame):
+    """Given chunks with `hot_only` equal the plain window, with null keys and
+    chunks; only hot keys are cut, and only they have summaries."""
+    rows = [(None if i % 11 == 0 else 1 if i % 3 else i, None if i % 13 == 0 else i // 4, i, float(i * 7 % 50) if i % 5 else None)
+            for i in range(600)]
+    df = spark.createDataFrame(rows, "k int, t int, seq int, v double")
+    order = [F.col("t"), F.col("seq")]
+    for kind in ["sum", "count", "min", "max", "first", "last"]:
+        got = scan.running(df, ["k"], order, {"r": (kind, F.col("v"))}, frame=frame, chunk=F.floor(F.col("t") / 2),
+                           chunk_rows=40, hot_only=True)
+        plain = scan.running(df, ["k"], order, {"r": (kind, F.col("v"))}, frame=frame, chunk=F.lit(0))
+        assert got.columns == plain.columns
+        assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
+    base = df.select("*", F.coalesce("k", F.lit(-1)).alias("key"), F.floor(F.col("t") / 2).alias("given"))
+    cut, hot = scan.range_chunks(base, "key", "given", {"s": (F.count(F.lit(1)), F.sum("s"))}, rows=40)
+    assert {r["key"] for r in hot.collect()} == {1, -1}
+    sizes = {(r["key"], r["__chunk"]): r["count"] for r in cut.groupBy("key", "__chunk").count().collect()}
+    assert {(r["key"], r["__chunk"]): r["s"] for r in hot.collect()} == {k: n for k, n in sizes.items() if k[0] in (1, -1)}
+    assert max(n for (k, _), n in sizes.items() if k == 1) <= 80 and all(c == 0 for k, c in sizes if k not in (1, -1))
+
+
+def test_one_key_that_is_never_null_is_shuffled_once(spark):
+    df = spark.createDataFrame([(1, "a b a"), (2, "b a")], "doc_id bigint, text string").select(
+        "doc_id", F.posexplode(F.split("text", " ")).alias("pos", "word"))
+    out = scan.row_number(df, ["word"], ["doc_id", "pos"], chunk=F.col("doc_id"), chunk_rows=1, hot_only=True)
+    assert sorted(map(tuple, out.collect())) == [(1, 0, "a", 1), (1, 1, "b", 1), (1, 2, "a", 2), (2, 0, "b", 2), (2, 1, "a", 3)]
+    assert "named_struct" not in out._jdf.queryExecution().optimizedPlan().toString().split("Window")[-1]
+
+
 def test_row_chunks_balance_a_burst(spark):
     """One key holds a third of the rows, all of them in one second; the
     chunks it is cut into are near the asked size, sparse keys stay whole."""

@@ -38,13 +38,11 @@ def word_count(words: DataFrame, word: str = "word", name: str = "cnt") -> DataF
 
 
 def running_word_count(words: DataFrame, order, word: str = "word", name: str = "cnt",
-                       chunk: Column | None = None, carry_fanout: int | None = 1024) -> DataFrame:
+                       chunk: Column | None = None, chunk_rows: int | None = None) -> DataFrame:
     """A2: the total of each word after each of its occurrences, in `order`.
-    A hot word is split into ordered chunks (see `scan.running`); as the
-    number of chunks grows with the corpus, the carry across chunks is
-    itself chunked (`carry_fanout`)."""
-    return scan.row_number(words, [word], order, name=name, chunk=chunk,
-                           carry_fanout=carry_fanout if chunk is not None else None)
+    A hot word is split into ordered chunks (see `scan.running`), with `chunk`
+    into ranges of these whole numbers; only hot words have a carry."""
+    return scan.row_number(words, [word], order, name=name, chunk=chunk, chunk_rows=chunk_rows, hot_only=chunk is not None)
 
 
 def select_expr(df: DataFrame, *exprs: str) -> DataFrame:

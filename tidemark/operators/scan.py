@@ -16,8 +16,9 @@ numbers of rows, so the big window is partitioned by `(key, chunk)`:
 Chunks are balanced by rows, not by time, so a burst is cut as finely as its
 rows ask for, and a sparse key is one chunk however long its history.  A
 caller may give the chunks instead (`chunk`); then there is a summary for each
-`(key, chunk)` and the carry is joined by shuffle.  The result equals the plain
-window for every supported aggregate.
+`(key, chunk)` and the carry is joined by shuffle.  With `hot_only` the given
+chunks only serve to cut the hot keys (`range_chunks`).  The result equals the
+plain window for every supported aggregate.
 
 Frames: "upto" (all earlier rows and this one), "before" (earlier rows only),
 "from" (this row and all later ones), "after" (later rows only).
@@ -141,9 +142,38 @@ def row_chunks(base: DataFrame, key: str, order: list[Column], rows: int | None
     return out.withColumn(name, chunk.cast("bigint")).drop("__at", "__head", "__points"), points
 
 
+def range_chunks(base: DataFrame, key: str, given: str, summaries: dict[str, tuple[Column, Column]],
+                 rows: int | None = None, name: str = _CHUNK) -> tuple[DataFrame, DataFrame | None]:
+    """(`base` with the chunk of every row, summaries of the hot keys' chunks):
+    like `row_chunks`, by the whole numbers `given` that do not decrease along
+    the order.  A key with more than `rows` rows is cut into ranges of them, as
+    wide as holds about `rows` of its rows on average (a null comes first);
+    chunk 0 is the whole of any other key.  `summaries` gives for each name the
+    aggregate of rows, and how aggregates merge along `given`.  One pass over the
+    input counts rows and summarises them by (key, given); what belongs to hot
+    keys is written, and makes at most `MOST_CHUNKS` ranges and two more a hot key."""
+    each = base.groupBy(key, given).agg(F.count(F.lit(1)).alias("__r"), *[a.alias(n) for n, (a, _) in summaries.items()])
+    of_key = _W.partitionBy(key)
+    each = each.select("*", F.sum("__r").over(of_key).alias("__n"))
+    many = materialize(each.where(F.col("__n") > (rows or LEAST_ROWS)), "hot-keys")
+    held = many.agg(F.sum("__r")).first()[0] or 0
+    rows = rows or max(LEAST_ROWS, -(-held // MOST_CHUNKS))
+    hot = many.where(F.col("__n") > rows)
+    if hot.isEmpty():
+        return base.withColumn(name, F.lit(0).cast("bigint")), None
+    wide = hot.groupBy(key).agg(F.sum("__r").alias("__n"), F.min(given).alias("__lo"), F.max(given).alias("__hi")).select(
+        key, F.expr("coalesce(__lo, 0)").alias("__lo"),
+        F.expr(f"coalesce(greatest(1, cast(ceil((__hi - __lo + 1) * {rows}D / __n) as bigint)), 1)").alias("__wide"))
+    chunk = F.expr(f"case when __wide is null then 0 else coalesce(({given} - __lo) div __wide, -1) end").cast("bigint")
+
+    def cut(df: DataFrame) -> DataFrame:
+        return df.join(F.broadcast(wide), key, "left").withColumn(name, chunk).drop("__lo", "__wide")
+    return cut(base), cut(hot).groupBy(key, name).agg(*[m.alias(n) for n, (_, m) in summaries.items()])
+
+
 def running(df: DataFrame, keys, order, aggs: dict[str, tuple],
             frame: str = "upto", chunk: Column | None = None,
-            chunk_rows: int | None = None, carry_fanout: int | None = None) -> DataFrame:
+            chunk_rows: int | None = None, carry_fanout: int | None = None, hot_only: bool = False) -> DataFrame:
     """Add one column per entry of `aggs` ({name: (kind, column)} or
     {name: (kind, column, frame)}), computed over the rows of the same key in
     `order` with the entry's frame (default `frame`).  Several aggregates and
@@ -155,6 +185,8 @@ def running(df: DataFrame, keys, order, aggs: dict[str, tuple],
     `carry_fanout`: when a key can have very many chunks (chunks that do not
     grow with time, such as id ranges), carry across chunks with a second
     level of this scan over groups of `carry_fanout` chunks.
+    `hot_only`: the given chunks (whole numbers) cut only keys with more rows
+    than `chunk_rows`, into ranges of chunks; all others need no carry.
     """
     keys = cols_of(keys)
     order = cols_of(order)
@@ -165,18 +197,32 @@ def running(df: DataFrame, keys, order, aggs: dict[str, tuple],
     # equality on the very columns the window is partitioned by lets a
     # sort-merge carry join reuse that partitioning: only the small carry
     # table is shuffled for the join.
+    # A single key that is never null needs no struct.
     kcol = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)]) if keys else F.lit(0)
+    back = dict.fromkeys(df.columns)
+    if len(keys) == 1 and not (own := df.select(keys[0]).schema[0]).nullable:
+        kcol = keys[0]
+        if own.name in back:
+            back[own.name] = F.col("__key").alias(own.name)     # the column is shuffled once
+    columns = [b if b is not None else c for c, b in back.items()]
     part = [F.col("__key"), F.col(_CHUNK)]
     hot = None
     if chunk is None:
         base, hot = row_chunks(df.select("*", kcol.alias("__key")), "__key", order, chunk_rows)
+    elif hot_only:
+        order_key, along = F.struct(*order), F.col("__given")
+        base, hot = range_chunks(
+            df.select("*", kcol.alias("__key"), chunk.alias("__given")), "__key", "__given",
+            {f"__s_{n}": (_summary(k, c, order_key), _summary(_CARRY_KIND[k], F.col(f"__s_{n}"), F.struct(along)))
+             for n, (k, c, _) in specs.items()}, chunk_rows)
+        base = base.drop("__given")
     else:
         base = df.select("*", kcol.alias("__key"), chunk.alias(_CHUNK))
     inner = base.select("*", *[_over(k, c, part, order, f).alias(f"__in_{n}")
                                for n, (k, c, f) in specs.items()])
 
-    if chunk is None and hot is None:
-        return inner.select(*df.columns, *[F.col(f"__in_{n}").alias(n) for n in specs])
+    if (chunk is None or hot_only) and hot is None:
+        return inner.select(*columns, *[F.col(f"__in_{n}").alias(n) for n in specs])
 
     order_key = F.struct(*order)
     # Summaries are aggregated from the input, not from the windowed branch:
@@ -184,10 +230,13 @@ def running(df: DataFrame, keys, order, aggs: dict[str, tuple],
     # task.  (Catalyst prunes the two branches to different columns, so they
     # could not share one exchange anyway.)  The price is a second, pruned
     # read of the input; chained scans should `materialize` in between.
-    cut = base if hot is None else base.join(F.broadcast(hot.select("__key")), "__key", "left_semi")
-    summ = (cut.groupBy(*part)
-                .agg(*[_summary(k, c, order_key).alias(f"__s_{n}")
-                       for n, (k, c, _) in specs.items()]))
+    if hot_only:
+        summ = hot
+    else:
+        cut = base if hot is None else base.join(F.broadcast(hot.select("__key")), "__key", "left_semi")
+        summ = (cut.groupBy(*part)
+                    .agg(*[_summary(k, c, order_key).alias(f"__s_{n}")
+                           for n, (k, c, _) in specs.items()]))
     if carry_fanout:
         # The carry over a key's chunks is itself a running aggregate, ordered
         # by chunk: compute it with this scan one level up, in groups of
@@ -212,7 +261,7 @@ def running(df: DataFrame, keys, order, aggs: dict[str, tuple],
     joined = inner.join(carried, (F.col("__key") == F.col("__ckey")) &
                         (F.col(_CHUNK) == F.col("__cchunk")), "left")
     out = joined.select(
-        *df.columns,
+        *columns,
         *[_combine(k, F.col(f"__in_{n}"), F.col(f"__p_{n}"), f in ("from", "after")).alias(n)
           for n, (k, _, f) in specs.items()])
     return out

@@ -109,9 +109,9 @@ def _docs(spark, sf_dir) -> DataFrame:
 
 
 # Documents per chunk of the running word count: a hot word's running count
-# is computed in doc-id ranges of this size (bounding a task's rows by the
-# tokens of 4096 documents), then carried across ranges in groups of 1024
-# ranges (`carry_fanout`), so no task holds a growing share of a hot word.
+# is computed in ranges of such doc-id chunks, as many as hold about the rows
+# that a task should (`scan.range_chunks`), then carried across the ranges, so
+# no task holds a growing share of a hot word.
 DOC_CHUNK = 4096
 
 
