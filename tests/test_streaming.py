@@ -295,3 +295,26 @@ def test_followed_by_and_next_out_of_order_equal_batch(spark, scratch):
 def test_bad_events(spark):
     df = spark.createDataFrame([(1, "create"), (1, "refund"), (2, None), (3, "pay")], "order_id int, event_type string")
     assert sorted(r.order_id for r in detectors.bad_events(df).collect()) == [1, 2]
+
+
+@pytest.mark.parametrize("delay", ["0 seconds", "3 days", "40 days"])
+def test_keys_in_buckets_equal_batch(spark, tmp_path, delay):
+    """The daily cap with many keys to a group: state, deadlines and waiting
+    rows of each key are its own, over micro-batches in event time and with
+    null keys."""
+    ev = spark.read.parquet(f"{SMALL}/events.parquet").withColumn("user_id", F.expr("case when user_id % 50 <> 0 then user_id % 30 end"))
+    for i, (lo, hi) in enumerate([(0, 9), (9, 10), (10, 22), (22, 99)]):
+        day = F.dayofyear("ts")
+        ev.filter((day > lo) & (day <= hi)).coalesce(1).write.parquet(f"{tmp_path}/src/part{i}")
+    raw = (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", "1")
+                .parquet(f"{tmp_path}/src/part*"))
+    end = EndOfInput(spark)
+    cap = stateful.apply(end.attach(behaviour_from(raw), "ts", delay), ["user_id", "behavior"],
+                         stateful.DailyCap(["user_id", "behavior"], 2, "day"),
+                         "output string, seq bigint, ts_us bigint", buckets=7)
+    got = run_to_table(cap, "t_buckets", end=end)
+    passed, alarms = detectors.daily_cap(behaviour_from(ev).select("user_id", "behavior", "seq", "ts"),
+                                         ["user_id", "behavior"], "ts", "seq", 2, "day")
+    for output, exp in (("pass", passed), ("alarm", alarms)):
+        assert exp.count() > 20
+        assert _same(got.filter(F.col("output") == output).select("user_id", "behavior", "seq"), exp.select("user_id", "behavior", "seq"))

@@ -200,6 +200,20 @@ class OrderedProcessor(StatefulProcessor):
         if not ready and (self._dl is None or self._dl > wm_us):
             return []
         old = (self._dl, *s)
+        out = self._run(s, ready, wm_us)
+        self._move_timer(old[0], wm_us)
+        rest = [r for r in waiting if r[0] > wm_us]
+        if ready and rest:
+            self.waiting.put(rest)
+            self.handle.registerTimer(_ms_ceil(min(r[0] for r in rest)))
+        elif ready:
+            self.waiting.clear()
+        self._save(old, s, bool(rest))
+        return self._emit(key, out)
+
+    def _run(self, s: list, ready: list[tuple], wm_us: int) -> list[tuple]:
+        """Outputs of the sorted rows and of the deadlines between them and up
+        to the watermark."""
         out: list[tuple] = []
         for r in ready:
             while self._dl is not None and self._dl < r[0]:
@@ -209,15 +223,113 @@ class OrderedProcessor(StatefulProcessor):
         while self._dl is not None and self._dl <= wm_us:
             d, self._dl = self._dl, None
             out += self.on_deadline(s, d)
-        self._move_timer(old[0], wm_us)
-        rest = [r for r in waiting if r[0] > wm_us]
+        return out
+
+    def close(self) -> None:
+        pass
+
+
+class Bucketed(StatefulProcessor):
+    """Runs an ordered processor for all keys of a bucket, so that very many
+    small keys do not cost calls of the state API, timers and output batches
+    each.  Rows wait for the watermark in lists of up to `PACK` rows, packed by
+    column; a key's own state and deadline are an entry of a map, read and
+    written when rows of the key are due.  The bucket's earliest deadline is
+    kept apart; only when the watermark passes it is the whole map read, so
+    this suits processors whose deadlines fall together.  A key whose state is
+    the initial one has no entry."""
+
+    PACK = 1000
+
+    def __init__(self, inner: OrderedProcessor, key_types: list[str]):
+        if not inner.ORDERED or inner.ITEMS:
+            raise ValueError("only ordered processors without pending items run in buckets")
+        self.inner, self.key_types = inner, key_types
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        p, self.handle = self.inner, handle
+        keys = [(f"k{i}", t) for i, t in enumerate(self.key_types)]
+        cols = [*keys, ("ts_us", "bigint"), ("seq", "bigint"), *[(f"f{i}", t) for i, t in enumerate(p.FIELD_TYPES)]]
+        self.own = handle.getMapState("own", ", ".join(f"{n} {t}" for n, t in keys), f"deadline bigint, {p.STATE}")
+        self.due = handle.getValueState("due", "due bigint")
+        self.waiting = handle.getListState("waiting", ", ".join(f"{n} array<{t}>" for n, t in cols))
+        self.make = Row(*p.KEYS, *p.OUT)
+
+    def _packed(self, rows: list[tuple]) -> list[tuple]:
+        return [tuple(map(list, zip(*rows[i:i + self.PACK]))) for i in range(0, len(rows), self.PACK)]
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator:
+        names = [*self.inner.KEYS, "ts_us", "seq", *self.inner.FIELDS]
+        at, first, new = len(self.key_types), None, []
+
+        def put():
+            nonlocal first, new
+            if new:
+                first = min(r[at] for r in new) if first is None else min(first, *[r[at] for r in new])
+                self.waiting.appendList(self._packed(new))
+                new = []
+        for r in rows:
+            row = tuple(r[n] for n in names)
+            if row[at] < FLUSH_US:      # the flush row only moves the watermark
+                new.append(row)
+                if len(new) == self.PACK:
+                    put()
+        put()
+        if first is not None:
+            self.handle.registerTimer(_ms_ceil(first))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:
+        # eager, as in `OrderedProcessor`
+        return iter(self._advance(timerValues.getCurrentWatermarkInMs() * 1000))
+
+    def _advance(self, wm_us: int) -> list[Row]:
+        p, at = self.inner, len(self.key_types)
+        ready, rest = {}, []
+        for pack in self.waiting.get():
+            for r in zip(*pack):
+                if r[at] <= wm_us:
+                    ready.setdefault(r[:at], []).append(r[at:])
+                else:
+                    rest.append(r)
+        due = (self.due.get() or (None,))[0]
+        passed = due is not None and due <= wm_us
+        if not ready and not passed:
+            return []
+        held = {tuple(k): tuple(v) for k, v in self.own.iterator()} if passed else None
+        empty = not passed and not self.own.exists()
+        waits = {r[:at] for r in rest}
+        left = [] if passed or due is None else [due]
+        out, todo = [], list(ready)
+        for k, v in (held or {}).items():
+            if k not in ready and v[0] is not None:
+                todo.append(k) if v[0] <= wm_us else left.append(v[0])
+        for k in todo:
+            old = held.get(k) if passed else None if empty or not self.own.containsKey(k) else tuple(self.own.getValue(k))
+            p._dl, s = (None, list(p.INITIAL)) if old is None else (old[0], list(old[1:]))
+            p._forget = False
+            done = p._run(s, sorted(ready.get(k, ()), key=lambda r: r[:2]), wm_us)
+            names = tuple(_py(x) for x in k)
+            out += [self.make(*names, *o) for o in done]
+            now = (p._dl, *s)
+            if p._dl is None and (tuple(s) == tuple(p.INITIAL) or (p._forget and k not in waits)):
+                if old is not None:
+                    self.own.removeKey(k)
+            elif now != old:
+                self.own.updateValue(k, now)
+            if p._dl is not None:
+                left.append(p._dl)
+        low = min(left, default=None)
+        if low != due:
+            self.due.update((low,))
+            if low is not None:
+                self.handle.registerTimer(_ms_ceil(low))
         if ready and rest:
-            self.waiting.put(rest)
-            self.handle.registerTimer(_ms_ceil(min(r[0] for r in rest)))
+            self.waiting.put(self._packed(rest))
+            self.handle.registerTimer(_ms_ceil(min(r[at] for r in rest)))
         elif ready:
             self.waiting.clear()
-        self._save(old, s, bool(rest))
-        return self._emit(key, out)
+        return out
 
     def close(self) -> None:
         pass
@@ -610,9 +722,12 @@ _NULL_KEY = {"bigint": -(2 ** 63), "int": -(2 ** 31), "string": "\u0000null"}
 
 
 def apply(stream: DataFrame, keys: list[str], processor: OrderedProcessor, out_schema: str,
-          fields: tuple[str, ...] = (), rows: bool = True) -> DataFrame:
+          fields: tuple[str, ...] = (), rows: bool = True, buckets: int | None = None) -> DataFrame:
     """Run a processor per key over a watermarked stream with `ts` and `seq`.
     Null keys are grouped under a stand-in value and come out as null.
+    `buckets`: deal the keys by hash to so many groups, each worked by one
+    `Bucketed` processor (fixed for the life of a checkpoint; a task holds the
+    rows of a bucket that one advance of the watermark makes due).
     rows=True uses the row-based `transformWithState` (cheaper for many small
     keys); rows=False the pandas-based `transformWithStateInPandas`."""
     types = {f.name: f.dataType.simpleString() for f in stream.schema.fields}
@@ -623,8 +738,12 @@ def apply(stream: DataFrame, keys: list[str], processor: OrderedProcessor, out_s
             for k in keys]
     cols += [F.unix_micros("ts").alias("ts_us"), "seq"] + list(fields or processor.FIELDS)
     key_schema = ", ".join(f"{k} {types[k]}" for k in keys)
-    processor.ROWS = rows
-    g = stream.select(*cols).groupBy(*keys)
+    processor.ROWS = rows or bool(buckets)
+    if buckets:
+        rows, processor = True, Bucketed(processor, [types[k] for k in keys])
+        g = stream.select(*cols).withColumn("__bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")).groupBy("__bucket")
+    else:
+        g = stream.select(*cols).groupBy(*keys)
     run = g.transformWithState if rows else g.transformWithStateInPandas
     out = run(statefulProcessor=processor, outputStructType=f"{key_schema}, {out_schema}",
               outputMode="Append", timeMode="EventTime")

@@ -32,6 +32,13 @@ def _state_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("tidemark.stream.partitions", str(spark.sparkContext.defaultParallelism)))
 
 
+def _buckets(spark: SparkSession) -> int:
+    """Groups that the very many keys of the daily cap are dealt to:
+    `tidemark.stream.buckets`, by default 1024; like the state partitions they
+    are fixed for the life of a checkpoint."""
+    return int(spark.conf.get("tidemark.stream.buckets", "1024"))
+
+
 def _drain(df: DataFrame, name: str, end: EndOfInput | None = None) -> DataFrame:
     return run_to_table(df, name, partitions=_state_partitions(df.sparkSession), end=end)
 
@@ -158,7 +165,7 @@ def _cap_stream(spark, sf_dir) -> dict[str, DataFrame]:
     s = behaviour_stream(spark, sf_dir, end)
     out = stateful.apply(s, ["user_id", "behavior"],
                          stateful.DailyCap(["user_id", "behavior"], cap=2),
-                         "output string, seq bigint, ts_us bigint", fields=())
+                         "output string, seq bigint, ts_us bigint", fields=(), buckets=_buckets(spark))
     both = run_to_tables(out, "output", ["pass", "alarm"], "stream_cap", partitions=_state_partitions(spark), end=end)
     return {o: t.select("user_id", "behavior", "seq", to_ntz(F.timestamp_micros("ts_us")).alias("ts")) for o, t in both.items()}
 
