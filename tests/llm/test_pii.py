@@ -120,3 +120,23 @@ def test_plain_words_and_other_kinds_are_evidence_against_a_pattern(spark):
         df = spark.createDataFrame(*seeded([(100, "reach support mail sam99(at)site now")] + extra))
         got = {r.doc_id: r for r in pii.digest_columns(pii.find(df)).collect()}
         assert got[100].spans == "" and sum(r.n_found for r in got.values()) == 0
+
+
+def test_hopeless_patterns_are_not_counted_in_all_texts(spark, monkeypatch):
+    """Words are counted in one pass over all texts for patterns that may yet
+    count; the words of some texts rule out the others."""
+    rows, schema = seeded([(100, "reach support mail sam99(at)site now")])
+    rows += [(1000 + 400 * j + i, f"just the mail {f'p{i}@site.org' if j else chr(97 + i // 26) + chr(97 + i % 26)} of") for j in (0, 1) for i in range((200, 4)[j])]
+    asked, count = [], pii.plain_words
+
+    def counted(docs, patterns, *a):
+        asked.append({r.pattern for r in patterns.collect()})
+        out = count(docs, patterns, *a)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_extract_all") <= 2, plan          # the tokens of a text are found once
+        return out
+
+    monkeypatch.setattr(pii, "plain_words", counted)
+    got = {r.doc_id: r for r in pii.digest_columns(pii.find(spark.createDataFrame(rows, schema))).collect()}
+    assert got[100].spans == "email:19:32" and sum(r.n_found for r in got.values()) == 1
+    assert "l2 the mail" not in asked[-1] and "l2 support mail" in asked[-1]

@@ -90,6 +90,7 @@ _VALID = {
 _PLAIN = r"(?md)^[^0-9\p{L}+(@\n]*+\p{L}++(?:[\x27’-]\p{L}++)*+[^0-9\p{L})@\n]*+$"
 _WHITE = r"' \t\n\r\u000B\u000C'"
 _STEP = 32      # tokens between two of the positions that are kept
+_PART = 16      # one text in so many is read first for evidence against patterns
 
 
 def _tokens(t: DataFrame) -> DataFrame:
@@ -160,8 +161,8 @@ def plain_words(docs: DataFrame, patterns: DataFrame, text: str = "text") -> Dat
     occ = t.select(F.explode(F.expr("""transform(filter(sequence(0, n - 1), i -> n > 0 and other[i] = ''), i -> named_struct(
         'value', m[i], 'two', case when i >= 2 then c[i - 2] end, 'l1', case when i >= 1 then c[i - 1] else '' end,
         'next', case when i + 1 < n then c[i + 1] else '' end))""")).alias("u")).select("u.*")
-    several = F.col("l1").contains(" ")             # numbers taken together
-    near = occ.where(~several).join(left, "l1", "left_semi").unionByName(occ.where(several))
+    # words behind numbers taken together are kept, too; the texts are read once
+    near = occ.join(left.withColumn("near", F.lit(True)), "l1", "left").where(F.col("near") | F.col("l1").contains(" "))
     occ = near.select(F.expr(f"lower(regexp_replace(value, {_quoted(_EDGE)}, ''))").alias("value"), F.explode(_patterns(
         F.expr("case when two is not null then concat(two, ' ', l1) else '' end"),
         F.expr("concat(l1, ' _ ', next)"))).alias("pattern")).where("pattern is not null")
@@ -237,17 +238,33 @@ def bootstrap(located: DataFrame, docs: DataFrame, text: str = "text", rounds: i
     seeds = saved(edges.where("kind >= 0").select("value", F.element_at(F.array(*map(F.lit, KINDS)), F.col("kind") + 1).alias("kind"),
                                                   F.lit(1.0).alias("score")).distinct(), "pii-seeds")
     plain = edges.select("pattern", "value", F.expr(f"kind < 0 and value rlike {_quoted(_NUMBER)}").alias("number"))
-    # what may come to count in any round: patterns of enough seeds, then of enough strings in such patterns
-    reach = seeds.select("value").distinct()
-    for r in range(rounds):
-        able = saved(plain.where("not number").join(reach, "value").groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
-                     .where(F.col("n") >= support).select("pattern"), f"pii-able-{r}")
-        if r < rounds - 1:
-            reach = saved(plain.where("not number").join(able, "pattern").select("value").union(reach).distinct(), f"pii-reach-{r}")
-    plain = plain.join(able, "pattern")
-    against = plain.groupBy("pattern").agg(F.sum(F.col("number").cast("long")).alias("n_numbers"))
-    against = saved(against.join(plain_words(docs, able, text), "pattern", "left").select(
-        "pattern", (F.col("n_numbers") + F.coalesce("n_words", F.lit(0))).alias("against")), "pii-against")
+    strings = plain.where("not number").select("pattern", "value")
+    numbers = plain.groupBy("pattern").agg(F.sum(F.col("number").cast("long")).alias("against"))
+
+    def able(against: DataFrame, name: str) -> DataFrame:
+        """What may come to count in any round, by evidence that is not less
+        than `against`: patterns of enough seeds, then of enough strings in such patterns.  The
+        weight of a pattern is at most the number of these strings."""
+        reach = seeds.select("value").distinct()
+        for r in range(rounds):
+            held = strings.join(reach, "value").groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= support)
+            may = saved(held.join(against, "pattern").where(F.col("n") >= (pattern_score - 1e-9) * (F.col("n") + F.col("against")))
+                        .select("pattern"), f"pii-{name}-{r}")
+            if r < rounds - 1:
+                reach = saved(strings.join(may, "pattern").select("value").union(reach).distinct(), f"pii-{name}-reach-{r}")
+        return may
+
+    def with_words(some: DataFrame, patterns: DataFrame, name: str) -> DataFrame:
+        words = plain_words(some, patterns, text)
+        return saved(numbers.join(patterns, "pattern").join(words, "pattern", "left").select(
+            "pattern", (F.col("against") + F.coalesce("n_words", F.lit(0))).alias("against")), name)
+
+    # most patterns are ruled out by the words of some texts alone; all words are counted for the others
+    first = able(numbers, "able")
+    some = docs.where(F.expr(f"pmod(xxhash64(`{text}`), {_PART}) = 0"))
+    able_now = able(with_words(some, first, "pii-against-some"), "left")
+    against = with_words(docs, able_now, "pii-against")
+    plain = plain.join(able_now, "pattern")
     plain = saved(plain.where("not number").select("pattern", "value"), "pii-plain")
     belief = seeds
     for r in range(rounds):
