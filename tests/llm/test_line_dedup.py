@@ -130,6 +130,66 @@ def test_script_is_never_shorter_than_the_edit_distance():
     assert ld.script_cost("one two three four", "one two 3 four") == 6
 
 
+def test_within_is_the_edit_distance():
+    r = random.Random(12)
+    for _ in range(300):
+        a = "".join(r.choice("abé ") for _ in range(r.choice([0, 1, 5, 40, 70, 130])))
+        b = list(a)
+        for _ in range(r.randint(0, len(a) // 2 + 2)):
+            i = r.randrange(len(b) + 1)
+            b[i:i + r.randint(0, 1)] = r.choice(["", "a", "c", "é"])
+        b = "".join(b)
+        d = int(edit(a, b)) if b else len(a)
+        for room in {0, max(0, d - 1), d, d + 1}:
+            assert ld.within(a, b, room) == (d <= room), (a, b, d, room)
+    a = "".join(r.choice("abcd") for _ in range(2500))
+    b = a[:700] + "xyz" + a[705:1900] + a[1904:]
+    assert ld.within(a, b, 9) and not ld.within(a, b, 8)
+
+
+def test_block_returns_links_and_no_pairs():
+    """Near copies that share a block: what leaves the block follows its
+    members, and connects what all pairs connect; a pair is tested in its first
+    list only."""
+    r = random.Random(6)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    base = [word() for _ in range(60)]
+    lines = []
+    for share in [.02] * 25 + [.1] * 25 + [.2] * 30:
+        lines.append(" ".join([*(word() if r.random() < share else w for w in base), word()]))
+    rows = pa.Table.from_batches(list(ld._line_rows(iter([pa.RecordBatch.from_arrays(
+        [pa.array(range(len(lines))), pa.array([0] * len(lines)), pa.array(lines)], names=["doc", "tie", "text"])]))))
+    ids = rows.column("id").to_pylist()
+
+    def block(lists, comp=ids, side=None):
+        t = pa.table({"key": [7] * len(ids), "id": ids, "comp": comp, "side": side or [0] * len(ids), "line": lines,
+                      "s1": rows.column("s1"), "s2": rows.column("s2"), "lists": pa.array(lists, pa.list_(pa.int64()))})
+        return [tuple(x.values()) for x in ld._block(0.8)(t).to_pylist()]
+
+    bits = [np.unpackbits(np.array([x, y]).view(np.uint8)) for x, y in zip(rows.column("s1").to_pylist(), rows.column("s2").to_pylist())]
+    u, pairs, across = brute.Union(), 0, brute.Union()
+    for i, a in enumerate(lines):
+        for j in range(i):
+            if (bits[i] != bits[j]).sum() <= 36 and edit(a, lines[j]) <= int(0.2 * max(len(a), len(lines[j])) + 1e-9):
+                pairs += 1
+                u.join(ids[i], ids[j])
+                if i % 2 != j % 2:
+                    across.join(ids[i], ids[j])
+    groups = len({u.find(i) for i in ids})
+    got, links = brute.Union(), block([[7]] * len(ids))
+    for a, b in links:
+        got.join(a, b)
+    assert {(i, j) for i in ids for j in ids if got.find(i) == got.find(j)} == {(i, j) for i in ids for j in ids if u.find(i) == u.find(j)}
+    assert len(links) == len(ids) - groups < pairs / 5 and groups > 1
+    both, two = brute.Union(), block([[7]] * len(ids), side=[1 + i % 2 for i in range(len(ids))])
+    for a, b in two:
+        both.join(a, b)
+    assert {(i, j) for i in ids for j in ids if both.find(i) == both.find(j)} == {(i, j) for i in ids for j in ids if across.find(i) == across.find(j)}
+    assert block([[3, 7]] * len(ids)) == [] == block([[7]] * len(ids), comp=[1] * len(ids))
+    some = block([[3, 7] if i % 3 else [5, 7, 9] for i in range(len(ids))])
+    assert some and all(ids.index(a) % 3 == 0 or ids.index(b) % 3 == 0 for a, b in some)
+
+
 @pytest.mark.parametrize("short", [32, 2])
 def test_planted_lines(spark, monkeypatch, short):
     monkeypatch.setattr(ld, "SHORT", short)

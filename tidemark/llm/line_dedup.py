@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +39,7 @@ from tidemark.llm import lists as ls
 from tidemark.llm import textarrays as ta
 from tidemark.llm.common import bounded_broadcast, components, saved, small_batches
 
-BITS_OFF, TINY, SHORT, BLOCK = 36, 4, 32, 1000
+BITS_OFF, TINY, SHORT, BLOCK, BLOCK_CHARS = 36, 4, 32, 500, 4_000_000
 CLASS, LEAST, FEW = 4, 4, 8
 NO_ID = 2**63 - 1
 LINE = "id long, id2 long, s1 long, s2 long, doc long, at long, keys array<long>"
@@ -211,30 +212,93 @@ def script_cost(a: str, b: str) -> int:
     return cost
 
 
-def _cheap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs with `sure`: a script within the room is found without the edit
-    distance itself; the lines go on only where none is."""
+def within(a: str, b: str, room: int) -> bool:
+    """Whether the edit distance of two lines is at most `room`: a script as
+    short is enough; where none is found, the distance itself by columns of bits
+    (Myers), up to where the diagonal of the end exceeds the room, as no diagonal
+    ever descends."""
+    if abs(len(a) - len(b)) > room:
+        return False
+    if script_cost(a, b) <= room:
+        return True
+    lo, hi, most = 0, 0, min(len(a), len(b))
+    while lo < most and a[lo] == b[lo]:
+        lo += 1
+    while hi < most - lo and a[-1 - hi] == b[-1 - hi]:
+        hi += 1
+    a, b = a[lo:len(a) - hi], b[lo:len(b) - hi]
+    n, ahead, at = len(a), len(b) - len(a), {}
+    for i, c in enumerate(a):
+        at.setdefault(c, []).append(i)
+    if n > 2000:                                    # one bit after the other would copy the whole mask each time
+        masks = {}
+        for c, places in at.items():
+            bits = np.zeros(n, np.uint8)
+            bits[places] = 1
+            masks[c] = int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+    else:
+        masks = {c: sum(1 << i for i in places) for c, places in at.items()}
+    full = (1 << n) - 1
+    up, down = full, 0                              # rows where the column ascends and descends by one
+    for j, c in enumerate(b, 1):
+        same = masks.get(c, 0)
+        v = same | down
+        h = (((same & up) + up) ^ up) | same
+        right = down | (full & ~(h | up))
+        left = up & h
+        right = right << 1 | 1
+        up = (left << 1 | ~(v | right)) & full
+        down = right & v & full
+        if j % 32 == 0 and j > ahead:
+            above = (1 << min(n, j - ahead)) - 1
+            if j + (up & above).bit_count() - (down & above).bit_count() > room:
+                return False
+    return len(b) + up.bit_count() - down.bit_count() <= room
+
+
+def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (columns 0 and 1) whose lines are within the room."""
     for b in batches:
         la, lb, room = (b.column(i).to_pylist() for i in (2, 3, 4))
-        sure = [script_cost(x, y) <= r for x, y, r in zip(la, lb, room)]
-        left = [pa.array([None if s else x for s, x in zip(sure, col)], pa.string()) for col in (la, lb)]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *left, b.column(4), pa.array(sure, pa.bool_())],
-                                         names=["a", "b", "la", "lb", "room", "sure"])
-
-
-def _block(t: pa.Table) -> pa.Table:
-    """Pairs of one block pair of a list within the distance."""
-    comp, side, ids = (t.column(c).to_numpy() for c in ("comp", "side", "id"))
-    sig = np.stack([t.column("s1").to_numpy(), t.column("s2").to_numpy()], axis=1).view(np.uint64)
-    left, right = np.flatnonzero(side != 2), np.flatnonzero(side != 1)
-    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for i in left:
-        other = right[comp[right] != comp[i]]
-        off = np.bitwise_count(sig[other] ^ sig[i]).sum(axis=1)
-        hit = ids[other[off <= BITS_OFF]]
-        a.append(np.minimum(hit, ids[i]))
-        b.append(np.maximum(hit, ids[i]))
-    return pa.table({"a": pa.array(np.concatenate(a)), "b": pa.array(np.concatenate(b))})
+        close = pa.array([within(x, y, r) for x, y, r in zip(la, lb, room)], pa.bool_())
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(close)
+
+
+def _earlier(t: pa.Table) -> np.ndarray:
+    """Bits of each row's lists (`lists`) that come before this one (`key`)."""
+    lists = t.column("lists").combine_chunks()
+    flat, owner = lists.flatten().to_numpy(), np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+    before = flat < t.column("key")[0].as_py()
+    _, column = np.unique(flat[before], return_inverse=True)
+    out = np.zeros((len(lists), column.max(initial=-1) // 8 + 1), np.uint8)
+    np.bitwise_or.at(out, (owner[before], column // 8), np.left_shift(1, column % 8).astype(np.uint8))
+    return out
+
+
+def _block(similarity: float):
+    """Task that links the lines of one block pair of a list: pairs within the
+    distance that are not linked yet, each in the first list that both are in."""
+    def run(t: pa.Table) -> pa.Table:
+        comp, side, ids = (t.column(c).to_numpy() for c in ("comp", "side", "id"))
+        sig = np.stack([t.column("s1").to_numpy(), t.column("s2").to_numpy()], axis=1).view(np.uint64)
+        line, earlier = t.column("line").to_pylist(), _earlier(t)
+        size = np.array([len(x) for x in line])
+        comp = np.unique(comp, return_inverse=True)[1]
+        right, a, b = np.flatnonzero(side != 1), [], []
+        for i in np.flatnonzero(side != 2):
+            other = right[comp[right] != comp[i]]
+            room = np.floor(np.maximum(size[other], size[i]) * (1 - similarity) + 1e-9).astype(np.int64)
+            may = (np.bitwise_count(sig[other] ^ sig[i]).sum(axis=1) <= BITS_OFF) & (np.abs(size[other] - size[i]) <= room)
+            if side[i] == 0:
+                may &= ids[other] > ids[i]
+            may[may] &= ~(earlier[other[may]] & earlier[i]).any(axis=1)
+            for j, r in zip(other[may].tolist(), room[may].tolist()):
+                if comp[j] != comp[i] and within(line[i], line[j], r):
+                    comp[comp == comp[j]] = comp[i]
+                    a.append(min(ids[i], ids[j]))
+                    b.append(max(ids[i], ids[j]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    return run
 
 
 def _source(docs: DataFrame, doc: str, text: str) -> DataFrame:
@@ -269,10 +333,7 @@ def links(src: DataFrame, different: DataFrame, similarity: float) -> DataFrame:
         both = pairs.join(text.toDF("a", "la"), "a").join(text.toDF("b", "lb"), "b")
         room = F.expr(f"cast(floor(greatest(length(la), length(lb)) * {1 - similarity} + 1e-9) as int)")
         both = both.select("a", "b", "la", "lb", room.alias("room")).where("abs(length(la) - length(lb)) <= room")
-        # the cost of the distance follows the bound: smaller bounds first, up to the whole
-        within = " or ".join(f"levenshtein(la, lb, room div {part}) >= 0" for part in (16, 4, 1))
-        return both.mapInArrow(_cheap, "a long, b long, la string, lb string, room int, sure boolean").where(
-            f"case when sure then true else {within} end").select("a", "b")
+        return both.mapInArrow(_close, "a long, b long")
 
     def confirm(pairs: DataFrame) -> DataFrame:
         s = active.select("id", "s1", "s2")
@@ -280,8 +341,13 @@ def links(src: DataFrame, different: DataFrame, similarity: float) -> DataFrame:
                        .where(f"bit_count(s1 ^ t1) + bit_count(s2 ^ t2) <= {BITS_OFF}").select("a", "b"))
 
     def far(rows: DataFrame) -> DataFrame:
-        full = ls.block_pairs(rows.join(active.select("id", "s1", "s2"), "id"), f"ceil(len / {BLOCK})")
-        return similar(full.groupBy("key", "bi", "bj").applyInArrow(_block, "a long, b long").distinct())
+        # the lines themselves go to the blocks, so that of a block only links come back and no pairs
+        lists = rows.groupBy("id").agg(F.sort_array(F.collect_list("key")).alias("lists"))     # bounded by the line's keys
+        rows = saved(rows.join(lists, "id").join(active.select("id", "s1", "s2"), "id").join(text, "id"), "line-far")
+        chars = rows.groupBy("key").agg(F.sum(F.length("line")).alias("chars"))
+        full = ls.block_pairs(rows.join(chars, "key"), f"ceil(greatest(len / {BLOCK}, chars / {BLOCK_CHARS}))").drop("chars")
+        full = full.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key", "bi", "bj")
+        return full.groupBy("key", "bi", "bj").applyInArrow(_block(similarity), "a long, b long").distinct()
 
     found = similar(near)
     if long.isEmpty():
