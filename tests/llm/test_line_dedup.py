@@ -190,6 +190,21 @@ def test_block_returns_links_and_no_pairs():
     assert some and all(ids.index(a) % 3 == 0 or ids.index(b) % 3 == 0 for a, b in some)
 
 
+def test_text_of_many_lines(spark):
+    """Splitting the text anew for each of its lines took minutes."""
+    import time
+    text = "\n".join(["one two three", *[f"{'abcdefgh'[i % 8]}{'ijklmnop'[i // 8 % 8]} --" if i % 2 else "--" for i in range(60_000)]])
+    start = time.monotonic()
+    got = ld.keep_first_lines(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert time.monotonic() - start < 100
+    split, seen, kept = text.split("\n"), set(), []
+    for x in split:
+        n = normal(x)
+        kept += [] if n and n in seen else [x]
+        seen.add(n)
+    assert got[0].text == "\n".join(kept) and got[0].n_lines == 60_001 and got[0].n_dropped == 60_001 - len(kept)
+
+
 @pytest.mark.parametrize("short", [32, 2])
 def test_planted_lines(spark, monkeypatch, short):
     monkeypatch.setattr(ld, "SHORT", short)

@@ -400,8 +400,9 @@ def keep_first_lines(docs: DataFrame, similarity: float = 0.8, doc: str = "doc_i
                        F.coalesce(F.col(f"`{doc}`").cast("long"), F.lit(NO_ID)).alias("doc"),
                        F.expr(f"pmod(xxhash64(`{text}`), {1 << 24})").alias("tie"))
     full = full.join(gone, ["doc", "tie"], "left").withColumn("t", F.col("row").getField(text))
-    left = F.expr("""case when places is null then t else array_join(transform(
-        array_except(sequence(0, size(split(t, '\\n', -1)) - 1), places), i -> split(t, '\\n', -1)[i]), '\\n') end""")
+    # the text is split once: its lines are bound to s
+    left = F.expr("""case when places is null then t else transform(array(split(t, '\\n', -1)), s -> array_join(transform(
+        array_except(sequence(0, size(s) - 1), places), i -> s[i]), '\\n'))[0] end""")
     cols = [left.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in keep]
     return full.select(*cols, F.expr("cast(case when t <> '' then length(t) - length(replace(t, '\\n', '')) + 1 else 0 end as long)").alias("n_lines"),
                        F.expr("cast(case when places is null then 0 else size(places) end as long)").alias("n_dropped"))
