@@ -92,6 +92,35 @@ def test_equals_brute_force(spark, depth, p_min, head):
         assert close((r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score), brute.row(r.text)), r.text
 
 
+@pytest.mark.parametrize("depth,p_min,head,held", [(1, 0.0, 10, 0.05), (2, 0.0, 4, 0.02), (2, 0.003, 1000, 1.0), (4, 0.0, 3, 0.03)])
+def test_rare_sequences_are_part_of_the_tree(spark, depth, p_min, head, held):
+    rows = corpus(depth + 20, 90) + [(90, None), (91, ""), (91, "a b dog"), (None, "a b dog"), (93, "unseen words here " * 300),
+                                     (94, "twice in all"), (98, "twice in all"), (97, "twice in all")]
+    df = spark.createDataFrame(rows, "id long, text string").selectExpr("*", "map('a', 1) as row", "1 as rid", "2 as add", "3 as key")
+    model, tables = suffix_tree.fit(df, "id is null or id % 4 <> 1", depth=depth, p_min=p_min, divergence=0.05, head=head, held=held)
+    assert model.grown == depth and not model.levels
+    brute = Brute([t for i, t in rows if i is None or i % 4 != 1], depth, p_min, 0.05)
+    got = suffix_tree.score(df, model, tables).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert close((r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score), brute.row(r.text)), r.text
+
+
+def test_a_text_that_occurs_twice_is_part_of_the_tree_of_a_large_corpus(spark):
+    """In 1.4 million tokens a sequence seen twice is below a share of 2e-6."""
+    twice, once = "vix mor talen vix dro hap", "nul bas teren nul pri gof"
+    rows = [(0, twice), (1, once), (2, twice)] + [(i, "a b c d e f g " * 20_000) for i in range(3, 13)]
+    df = spark.createDataFrame(rows, "id long, text string")
+    model, tables = suffix_tree.fit(df)
+    got = {r.id: r.score - r.base_score for r in suffix_tree.score(df.where("id < 2"), model, tables).collect()}
+    assert model.grown == 2
+    brute = Brute([t for _, t in rows], 2, 0.0, suffix_tree.DIVERGENCE)
+    for i, t in ((0, twice), (1, once)):
+        row = brute.row(t)
+        assert abs(got[i] - (row[4] - row[3])) < 1e-9
+    assert got[0] > got[1] + 10
+
+
 def test_probabilities_sum_to_one(spark):
     texts = corpus(9, 80)
     model, _ = suffix_tree.fit(spark.createDataFrame(texts, "id long, text string"), depth=3, p_min=0.01)
